@@ -1,0 +1,27 @@
+"""Ordered content fingerprint of a small table such as a parameter file."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from peakloom.functions.keys import hash8
+
+# The digest runs over one concatenated text, so the table must be small; this is checked.
+MAX_ROWS = 100_000
+
+
+def fingerprint(df: DataFrame, order_by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Hash every row (fields joined by `, `), join the hashes in order, hash again.
+
+    One row, one column `fingerprint`. Raises if the table has more than `MAX_ROWS` rows: a chained
+    digest is sequential by definition and is meant for parameter files and summaries.
+    """
+    if df.limit(MAX_ROWS + 1).count() > MAX_ROWS:
+        raise ValueError(f"a content fingerprint is limited to {MAX_ROWS} rows")
+    text = F.concat_ws(", ", *[F.col(name).cast("string") for name in cols])
+    hashed = df.select(F.struct(*order_by, hash8(text).alias("_hash")).alias("_row"))
+    ordered = F.transform(F.sort_array(F.collect_list("_row")), lambda row: row["_hash"])
+    return hashed.agg(hash8(F.array_join(ordered, "")).alias("fingerprint"))
