@@ -11,7 +11,7 @@ EXPORT = """
 WITH cell AS (
   SELECT l_partkey, l_returnflag, l_linestatus, l_linenumber,
          round(sum(l_extendedprice), 2) AS area, max(l_quantity) AS lib,
-         round(avg(l_discount) * 140, 6) AS err,
+         round(avg(l_discount) * 140, 9) AS err,
          sum(l_orderkey) % 5 - 2 AS shift, sum(l_suppkey) % 3 + 2 AS width
   FROM lineitem GROUP BY 1, 2, 3, 4),
 raw AS (
@@ -133,10 +133,10 @@ def surviving(name: str, source: str, error_cut: bool) -> str:
 {name}_w AS MATERIALIZED (
   SELECT *, count(*) OVER (PARTITION BY ID_Analyte) AS n,
          row_number() OVER (PARTITION BY ID_Analyte
-           ORDER BY rank_similarity DESC, Rank DESC NULLS LAST, {FRAG}) AS at FROM {source}),
+           ORDER BY rank_similarity DESC, Rank DESC NULLS LAST, {FRAG}) AS nth FROM {source}),
 {name} AS MATERIALIZED (
   SELECT ID_Analyte, {FRAG}, TRUE AS in_set FROM {name}_w
-  WHERE at > greatest(0, least(floor(n * 0.25), n - 3)) {cut})"""
+  WHERE nth > greatest(0, least(floor(n * 0.25), n - 3)) {cut})"""
 
 
 def search(name: str, kept: str, s: str = "") -> str:

@@ -24,7 +24,7 @@ def cell_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "lineitem").groupBy(*keys).agg(
         F.round(F.sum("l_extendedprice"), 2).alias("area"),
         F.max("l_quantity").alias("lib"),
-        F.round(F.avg("l_discount") * 140, 6).alias("err"),
+        F.round(F.avg("l_discount") * 140, 9).alias("err"),
         (F.sum("l_orderkey") % 5 - 2).alias("shift"),
         (F.sum("l_suppkey") % 3 + 2).alias("width"))
 

@@ -25,9 +25,14 @@ def composite_score(similarity: Column, library: Column, mass_error: Column, pro
     return F.when(~F.isnan(product), product)
 
 
+def at_most_one(value: Column) -> Column:
+    """Undo rounding errors above 1; null stays null."""
+    return F.when(value > 1, F.lit(1.0)).otherwise(value)
+
+
 def cosine(dot_xy: Column, dot_xx: Column, dot_yy: Column) -> Column:
     """Cosine from inner products, null for an empty vector; rounding never lifts it above 1."""
-    return F.least(F.lit(1.0), F.try_divide(dot_xy, F.sqrt(dot_xx * dot_yy)))
+    return at_most_one(F.try_divide(dot_xy, F.sqrt(dot_xx * dot_yy)))
 
 
 def na_text(col: Column, numeric: bool = True, scale: int = 6) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from peakloom.config import RefineParams
 from peakloom.functions import traces as tr
-from peakloom.functions.scores import composite_score, cosine
+from peakloom.functions.scores import at_most_one, composite_score, cosine
 from peakloom.schema import ANALYTE, FRAGMENT, LABEL, RUN
 from peakloom.session import materialise
 
@@ -21,7 +21,7 @@ _SUMS = ("n", "e", "aa", "al", "ll", "ap", "pp")
 
 def _fitness(us: Column, ss: Column, sums: dict[str, Column]) -> Column:
     score = composite_score(
-        F.least(F.lit(1.0), F.try_divide(us, sums["n"] * F.sqrt(F.greatest(ss, F.lit(0.0))))),
+        at_most_one(F.try_divide(us, sums["n"] * F.sqrt(F.greatest(ss, F.lit(0.0))))),
         cosine(sums["al"], sums["aa"], sums["ll"]), F.try_divide(sums["e"], sums["n"]),
         cosine(sums["ap"], sums["aa"], sums["pp"]))
     return F.coalesce(score, F.lit(0.0))

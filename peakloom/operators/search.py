@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakloom.config import RefineParams
-from peakloom.functions.scores import composite_score, cosine, subset_quadratic, subset_sums
+from peakloom.functions.scores import (at_most_one, composite_score, cosine,
+                                       subset_quadratic, subset_sums)
 from peakloom.schema import ANALYTE, FRAGMENT, RUN
 
 
@@ -62,7 +63,7 @@ def search_subsets(grams: DataFrame, kept: DataFrame, params: RefineParams) -> D
     names = scored.schema["t"].dataType.names
     q, r, n, e, aa, al, ll, ap, pp = (F.col("t")[name] for name in names)
     fitness = composite_score(
-        F.least(F.lit(1.0), F.try_divide(r, n * F.sqrt(F.greatest(q, F.lit(0.0))))),
+        at_most_one(F.try_divide(r, n * F.sqrt(F.greatest(q, F.lit(0.0))))),
         cosine(al, aa, ll), F.try_divide(e, n), cosine(ap, aa, pp))
     enough = F.bit_count("subset") >= F.least(F.lit(params.min_fragments), F.col("k"))
     means = (scored.filter((F.col("subset") > 0) & enough)
