@@ -215,11 +215,11 @@ def integration_zone(spark, sf):
 
 
 def quarantine(spark, sf):
-    return ce.quarantine(ce.build_cells(tb.export(spark, sf), PARAMS))
+    return ce.quarantine(materialise(ce.build_cells(tb.stored_export(spark, sf), PARAMS), "cells"))
 
 
 def cut_normalise(spark, sf):
-    cells = ce.build_cells(tb.export(spark, sf), PARAMS)
+    cells = ce.build_cells(tb.stored_export(spark, sf), PARAMS)
     return (cells.select(*CELL, F.posexplode("x").alias("pos", "value"))
             .select(*CELL, "pos", r6("value")))
 
@@ -253,11 +253,11 @@ def prefilter(spark, sf):
 # --- scores ----------------------------------------------------------------------------------------
 
 def _cells(spark, sf):
-    return ce.usable_cells(ce.build_cells(tb.export(spark, sf), PARAMS))
+    return ce.usable_cells(ce.build_cells(tb.stored_export(spark, sf), PARAMS))
 
 
 def mass_error_score(spark, sf):
-    return ce.build_cells(tb.export(spark, sf), PARAMS).filter(F.col("reason") == ce.OK).select(
+    return ce.build_cells(tb.stored_export(spark, sf), PARAMS).filter(F.col("reason") == ce.OK).select(
         *CELL, r6("mean_err"), r6("err_score"))
 
 
@@ -318,7 +318,7 @@ def similarity_traces(spark, sf):
 
 
 def _initial_rows(spark, sf):
-    prep = rf.prepare(tb.export(spark, sf), PARAMS)
+    prep = rf.prepare(tb.stored_export(spark, sf), PARAMS)
     return prep, materialise(rf.full_set_rows(prep, F.lit(cfg.STAGE_INITIAL)), "rows")
 
 
@@ -352,7 +352,7 @@ def worst_n(spark, sf):
 
 
 def subset_search(spark, sf):
-    prep = rf.prepare(tb.export(spark, sf), PARAMS)
+    prep = rf.prepare(tb.stored_export(spark, sf), PARAMS)
     everything = prep.cells.select(ANALYTE, FRAGMENT).distinct()
     found = search.search_subsets(prep.grams, search.fragments_mask(everything, prep.fragments), PARAMS)
     names = search.mask_fragments(found, prep.fragments, "solution")
@@ -360,7 +360,7 @@ def subset_search(spark, sf):
 
 
 def _selection(spark, sf):
-    return rf.refine_transitions(rf.prepare(tb.export(spark, sf), PARAMS), PARAMS)
+    return rf.refine_transitions(rf.prepare(tb.stored_export(spark, sf), PARAMS), PARAMS)
 
 
 def refine_transitions(spark, sf):
@@ -382,14 +382,14 @@ def peak_island(spark, sf):
 
 
 def refine_boundaries(spark, sf):
-    rows = tb.export(spark, sf)
+    rows = tb.stored_export(spark, sf)
     points = materialise(bd.summed_traces(rows, rows.select(ANALYTE, FRAGMENT).distinct()), "points")
     return bd.refine_boundaries(points, PARAMS.edge_fraction).select(
         ANALYTE, REP, r6("MinStartTime"), r6("MaxEndTime"))
 
 
 def _refined(spark, sf):
-    return rf.refine_global(tb.export(spark, sf), PARAMS)
+    return rf.refine_global(tb.stored_export(spark, sf), PARAMS)
 
 
 def refine_global_boundaries(spark, sf):

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peakloom.functions.keys import add_ids
+from peakloom.session import materialise
 
 POINTS = 11
 
@@ -75,3 +76,8 @@ def export(spark: SparkSession, sf_dir: str, n_groups: int | None = 6) -> DataFr
     return add_ids(rows, n_groups)
 
 
+
+
+def stored_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived export as a written table, for queries that scan it several times."""
+    return materialise(export(spark, sf_dir), "export")

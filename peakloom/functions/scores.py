@@ -1,4 +1,4 @@
-"""Scalar scores and the subset-sum expressions of the exhaustive search."""
+"""Scalar scores and text forms of numbers."""
 
 from __future__ import annotations
 
@@ -47,21 +47,3 @@ def ion_token(col: Column) -> Column:
     """The fragment ion up to its first blank."""
     return F.substring_index(col, " ", 1)
 
-
-def subset_sums(values: Column) -> Column:
-    """Sum of `values` over each of the 2^n subsets; entry `mask` of the result (from zero) adds the
-    elements whose bit is set. Every element doubles the table, so the cost is 2^n, not n * 2^n."""
-    return F.aggregate(
-        values, F.array(F.lit(0.0)),
-        lambda sums, v: F.concat(sums, F.transform(sums, lambda s: s + v)))
-
-
-def subset_quadratic(matrix: Column, size: Column) -> Column:
-    """Sum of the symmetric `matrix` over all index pairs inside each of the 2^n subsets."""
-    def add(sums: Column, i: Column) -> Column:
-        row = F.get(matrix, i)
-        cross = subset_sums(F.slice(row, F.lit(1), i))
-        return F.concat(sums, F.zip_with(sums, cross, lambda q, c: q + F.get(row, i) + 2 * c))
-
-    indices = F.filter(F.sequence(F.lit(0), size), lambda i: i < size)
-    return F.aggregate(indices, F.array(F.lit(0.0)), add)

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once, however often the body uses it. Without this, an
+    expression used inside a lambda is computed again for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def parse_trace(col: Column) -> Column:
     """Comma-joined numbers to `array<double>`; what is no number becomes null."""
     return F.transform(F.split(F.translate(col, " ", ""), ","), lambda x: x.try_cast("double"))
@@ -21,17 +29,20 @@ def clamp_nonneg(values: Column) -> Column:
 
 def integration_zone(times: Column, low: Column, high: Column) -> Column:
     """0/1 per point: inside the inclusive limits, compared at five decimals."""
-    inside = lambda t: F.round(t, 5).between(F.round(low, 5), F.round(high, 5))
-    return F.transform(times, lambda t: F.when(inside(t), 1).otherwise(0))
+    limits = F.struct(F.round(low, 5).alias("low"), F.round(high, 5).alias("high"))
+    return bind(limits, lambda z: F.transform(
+        times, lambda t: F.when(F.round(t, 5).between(z["low"], z["high"]), 1).otherwise(0)))
 
 
 def widen_single_point(flags: Column) -> Column:
     """If exactly one point is flagged, flag the one before it too (after it if it is the first)."""
-    total = F.aggregate(flags, F.lit(0), lambda acc, z: acc + z)
-    at = F.array_position(flags, 1)
-    extra = F.when(at == 1, F.lit(2)).otherwise(at - 1)
-    widened = F.transform(flags, lambda z, i: F.when(i + 1 == extra, 1).otherwise(z))
-    return F.when(total == 1, widened).otherwise(flags)
+    def neighbour(f: Column) -> Column:
+        at = F.array_position(f, 1)
+        single = F.aggregate(f, F.lit(0), lambda acc, z: acc + z) == 1
+        return F.when(single, F.when(at == 1, F.lit(2)).otherwise(at - 1)).otherwise(F.lit(0))
+
+    return bind(flags, lambda f: bind(neighbour(f), lambda extra: F.transform(
+        f, lambda z, i: F.when(i + 1 == extra, 1).otherwise(z))))
 
 
 def cut_to_zone(values: Column, flags: Column) -> Column:
@@ -41,8 +52,8 @@ def cut_to_zone(values: Column, flags: Column) -> Column:
 
 def normalise_trace(values: Column) -> Column:
     """Scale to a maximum of 100; an all-zero trace becomes null throughout."""
-    top = F.array_max(values)
-    return F.transform(values, lambda y: F.try_divide(y, top) * 100)
+    return bind(values, lambda v: bind(F.array_max(v), lambda top: F.transform(
+        v, lambda y: F.try_divide(y, top) * 100)))
 
 
 def dot(xs: Column, ys: Column) -> Column:

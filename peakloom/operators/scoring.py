@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from peakloom.functions.scores import cosine
 from peakloom.operators.quantiles import grouped_quantiles
 from peakloom.schema import ANALYTE, FRAGMENT, LABEL, RUN, SCORE_COLUMNS
+from peakloom.session import materialise
 
 # Scores are compared with quantiles of themselves at this many decimals, so that the order of a
 # floating-point sum cannot decide a tie.
@@ -63,8 +64,9 @@ def profile_scores(rows: DataFrame, best: DataFrame) -> DataFrame:
 
 def score_replicates(rows: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """The replicate score table of every stage in `rows`. `rows` is read several times, so pass a
-    written table when it is costly to compute."""
-    scores = run_scores(rows)
+    written table when it is costly to compute. The run scores are written before their quantiles
+    are taken."""
+    scores = materialise(run_scores(rows), "scores")
     profile = profile_scores(rows, best_runs(scores, hot_rows))
     return scores.join(profile, STAGE_RUN, "left").select(*SCORE_COLUMNS)
 
