@@ -68,7 +68,7 @@ def export(spark: SparkSession, sf_dir: str, n_groups: int | None = 6) -> DataFr
         F.col("area").alias("Area"), F.col("lib").alias("LibraryIntensity"),
         F.concat(F.lit("p/"), key.cast("string"), F.lit("/"), F.col("l_returnflag"), F.lit("/"),
                  F.col("l_linestatus")).alias("PrecursorResultLocator"),
-        F.transform(points, lambda k: F.round(10 + k * 0.1, 4)).alias("times"),
+        F.array(*[F.lit(round(10 + k * 0.1, 4)) for k in range(POINTS)]).alias("times"),
         F.transform(points, height).alias("intens"),
         F.transform(points, lambda k: F.col("err") * (1 + 0.1 * (k - 5))
                     * F.when(k % 2 == 1, -1).otherwise(1)).alias("mass_err"),

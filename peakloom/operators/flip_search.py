@@ -50,15 +50,15 @@ def _best_flips(cells: DataFrame, state: DataFrame, params: RefineParams) -> Dat
                            F.coalesce(F.try_divide(x, F.col("norm")), F.lit(0.0)).alias("u"))
     chosen = F.col("in_set")
     totals = points.groupBy(*RUN, "pos").agg(
-        F.sum(F.when(chosen, F.col("x")).otherwise(0.0)).alias("S"),
-        F.sum(F.when(chosen, F.col("u")).otherwise(0.0)).alias("U"))
-    current = (totals.groupBy(*RUN).agg(F.sum(F.col("S") * F.col("U")).alias("us"),
-                                        F.sum(F.col("S") * F.col("S")).alias("ss"))
+        F.sum(F.when(chosen, F.col("x")).otherwise(0.0)).alias("sum_x"),
+        F.sum(F.when(chosen, F.col("u")).otherwise(0.0)).alias("sum_u"))
+    current = (totals.groupBy(*RUN).agg(F.sum(F.col("sum_x") * F.col("sum_u")).alias("us"),
+                                        F.sum(F.col("sum_x") * F.col("sum_x")).alias("ss"))
                .join(scalars, RUN)
                .withColumn("now", _fitness(F.col("us"), F.col("ss"),
                                            {name: F.col(f"s_{name}") for name in _SUMS})))
     sign = F.when(chosen, -1.0).otherwise(1.0)
-    s_new, u_new = F.col("S") + sign * F.col("x"), F.col("U") + sign * F.col("u")
+    s_new, u_new = F.col("sum_x") + sign * F.col("x"), F.col("sum_u") + sign * F.col("u")
     # the points of the other fragments stay in the sums: only rows of the run's own grid matter
     tried = points.join(totals, [*RUN, "pos"]).groupBy(*RUN, FRAGMENT).agg(
         F.sum(s_new * u_new).alias("us_new"), F.sum(s_new * s_new).alias("ss_new"))

@@ -8,10 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rank error of the sketch and half width of the bracket drawn around the wanted rank. The bracket is
-# wider than the error, so the wanted values always lie inside it.
+# The sketch's ranks are off by at most rows / this.
 _SKETCH_ACCURACY = 100_000
-_BRACKET = 3.0 / _SKETCH_ACCURACY
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], specs: dict[str, tuple[str, float]],
@@ -34,17 +32,21 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], specs: dict[str, tuple
         *[F.percentile(inputs[column], F.lit(q)).alias(alias)
           for alias, (column, q) in specs.items()])
     hot_rows_df = rows.join(hot, keys, "left_semi")
-    parts = [_bracketed(hot_rows_df, keys, inputs[column], q, alias)
+    # Half width of the bracket, as a share of the ranks: the sketch error on both sides, and three
+    # ranks of a group just above the limit, so the two neighbouring values always lie inside.
+    width = 2.0 / _SKETCH_ACCURACY + 3.0 / hot_rows
+    parts = [_bracketed(hot_rows_df, keys, inputs[column], q, alias, width)
              for alias, (column, q) in specs.items()]
     large = reduce(lambda left, right: left.join(right, keys, "left"),
                    parts, hot_rows_df.select(*keys).distinct())
     return small.unionByName(large)
 
 
-def _bracketed(rows: DataFrame, keys: list[str], value: str, q: float, alias: str) -> DataFrame:
+def _bracketed(rows: DataFrame, keys: list[str], value: str, q: float, alias: str,
+               width: float) -> DataFrame:
     rows = rows.select(*keys, value).filter(F.col(value).isNotNull())
     bracket = rows.groupBy(*keys).agg(
-        F.percentile_approx(value, [max(0.0, q - _BRACKET), min(1.0, q + _BRACKET)],
+        F.percentile_approx(value, [max(0.0, q - width), min(1.0, q + width)],
                             _SKETCH_ACCURACY).alias("_b"))
     counted = rows.groupBy(*keys, value).agg(F.count("*").alias("_c"))
     inside = F.col(value).between(F.col("_b")[0], F.col("_b")[1])

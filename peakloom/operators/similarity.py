@@ -51,12 +51,15 @@ def gram_table(cells: DataFrame, refs: DataFrame) -> DataFrame:
     intensity, mean-area profile, mass-error mean and score; `gram`: inner products of the normalised
     traces. Rows are ordered by analyte over a range partitioning: the runs of an analyte lie
     together, so later per-analyte sums collapse before their shuffle, and a frequent analyte is
-    still cut into several tasks.
+    still cut into several tasks. The rows are placed before the matrices are computed, because
+    range partitioning reads its input twice. At most as many fragments as the exhaustive limit are
+    gathered per run; runs with conflicting rows were left out before.
     """
     short = cells.filter(F.col("code").isNotNull()).join(refs, [ANALYTE, LABEL, FRAGMENT], "left")
     cell = F.struct("code", F.col(FRAGMENT).alias("fragment"), "x", F.col("Area").alias("area"),
                     "lib", "mean_area", "mean_err", "err_score")
-    runs = short.groupBy(*RUN, "n_frag").agg(F.collect_list(cell).alias("cells"))
+    runs = (short.groupBy(*RUN, "n_frag").agg(F.collect_list(cell).alias("cells"))
+            .repartitionByRange(ANALYTE, REP, LABEL).sortWithinPartitions(ANALYTE, REP, LABEL))
     codes = F.sequence(F.lit(0), F.col("n_frag") - 1)
     slots = F.transform(codes, _slot)
     inner = lambda a, b: F.coalesce(tr.dot(a["x"], b["x"]), F.lit(0.0))
@@ -66,8 +69,7 @@ def gram_table(cells: DataFrame, refs: DataFrame) -> DataFrame:
         s["mean_area"].alias("mean_area"), s["mean_err"].alias("mean_err"),
         s["err_score"].alias("err_score"))))
     return (runs.withColumn("slots", slots).withColumn("gram", gram)
-            .select(*RUN, "n_frag", bare.alias("slots"), "gram")
-            .repartitionByRange(ANALYTE, REP, LABEL).sortWithinPartitions(ANALYTE, REP, LABEL))
+            .select(*RUN, "n_frag", bare.alias("slots"), "gram"))
 
 
 def subset_rows(grams: DataFrame, stages: DataFrame) -> DataFrame:
