@@ -253,7 +253,7 @@ def prefilter(spark, sf):
 # --- scores ----------------------------------------------------------------------------------------
 
 def _cells(spark, sf):
-    return ce.usable_cells(ce.build_cells(tb.stored_export(spark, sf), PARAMS))
+    return ce.usable_cells(materialise(ce.build_cells(tb.stored_export(spark, sf), PARAMS), "cells"))
 
 
 def mass_error_score(spark, sf):
@@ -262,7 +262,7 @@ def mass_error_score(spark, sf):
 
 
 def median_error_filter(spark, sf):
-    rows = materialise(_cells(spark, sf), "cells").withColumn("similarity", F.lit(None).cast("double"))
+    rows = _cells(spark, sf).withColumn("similarity", F.lit(None).cast("double"))
     table = selection.fragment_quartiles(rows)
     return selection.high_error(table, PARAMS.mass_error_cutoff).join(table, [ANALYTE, FRAGMENT]).select(
         ANALYTE, FRAGMENT, r6("median_error"))
@@ -317,8 +317,8 @@ def similarity_traces(spark, sf):
     return si.cell_similarity(_cells(spark, sf)).select(*CELL, r6("similarity"))
 
 
-def _initial_rows(spark, sf):
-    prep = rf.prepare(tb.stored_export(spark, sf), PARAMS)
+def _initial_rows(traces):
+    prep = rf.prepare(traces, PARAMS)
     return prep, materialise(rf.full_set_rows(prep, F.lit(cfg.STAGE_INITIAL)), "rows")
 
 
@@ -330,24 +330,25 @@ def _rounded(df, keys):
 
 
 def score_replicates(spark, sf):
-    _, rows = _initial_rows(spark, sf)
+    _, rows = _initial_rows(tb.stored_export(spark, sf))
     return _rounded(scoring.score_replicates(rows), [*RUN, "Comment"])
 
 
 def score_transitions(spark, sf):
-    _, rows = _initial_rows(spark, sf)
-    return scoring.score_transitions(rows, tb.export(spark, sf)).select(*CELL, r6("similarity"))
+    traces = tb.stored_export(spark, sf)
+    _, rows = _initial_rows(traces)
+    return scoring.score_transitions(rows, traces).select(*CELL, r6("similarity"))
 
 
 def fragment_classifier(spark, sf):
-    prep, rows = _initial_rows(spark, sf)
+    prep, rows = _initial_rows(tb.stored_export(spark, sf))
     table = selection.classify(rows, prep.library)
     return table.select(ANALYTE, FRAGMENT, "rank_similarity", "rank_area", F.col("Rank").alias("rank_library"),
                         r6("q25_similarity"), r6("q25_area"), r6("median_error"))
 
 
 def worst_n(spark, sf):
-    prep, rows = _initial_rows(spark, sf)
+    prep, rows = _initial_rows(tb.stored_export(spark, sf))
     return selection.worst_n(selection.classify(rows, prep.library), PARAMS)
 
 
@@ -388,54 +389,52 @@ def refine_boundaries(spark, sf):
         ANALYTE, REP, r6("MinStartTime"), r6("MaxEndTime"))
 
 
-def _refined(spark, sf):
-    return rf.refine_global(tb.stored_export(spark, sf), PARAMS)
-
-
 def refine_global_boundaries(spark, sf):
-    return _refined(spark, sf).boundaries.select(ANALYTE, REP, r6("MinStartTime"), r6("MaxEndTime"))
+    return rf.refine_global(tb.stored_export(spark, sf), PARAMS).boundaries.select(ANALYTE, REP, r6("MinStartTime"), r6("MaxEndTime"))
 
 
 def rescore(spark, sf):
-    return _rounded(_refined(spark, sf).rescore, [*RUN, "Comment"])
+    return _rounded(rf.refine_global(tb.stored_export(spark, sf), PARAMS).rescore, [*RUN, "Comment"])
 
 
-def _glossaries(spark, sf):
-    rows = tb.export(spark, sf)
+def _glossaries(rows):
     return gl.glossary(rows, "analyte"), gl.glossary(rows, "rep")
 
 
 def report_boundaries(spark, sf):
-    rows = tb.export(spark, sf)
+    rows = tb.stored_export(spark, sf)
     limits = rows.select("MinStartTime", "MaxEndTime", REP, ANALYTE).distinct()
-    return reports.report_boundaries(limits, *_glossaries(spark, sf))
+    return reports.report_boundaries(limits, *_glossaries(rows))
 
 
 def report_transitions(spark, sf):
-    cells = materialise(_cells(spark, sf), "cells")
+    rows = tb.stored_export(spark, sf)
+    cells = ce.usable_cells(materialise(ce.build_cells(rows, PARAMS), "cells"))
     table = selection.fragment_quartiles(cells.withColumn("similarity", F.lit(None).cast("double")))
     kept = table.filter(F.col("median_error") < PARAMS.mass_error_cutoff)
-    return reports.report_transitions(kept, gl.glossary(tb.export(spark, sf), "locator"))
+    return reports.report_transitions(kept, gl.glossary(rows, "locator"))
 
 
 META = ["ProteinName", "PeptideModifiedSequence", "PrecursorCharge", "IsDecoy", "FileName"]
 
 
 def report_replicates(spark, sf):
-    _, rows = _initial_rows(spark, sf)
-    table = reports.report_replicates(scoring.score_replicates(rows), *_glossaries(spark, sf))
+    traces = tb.stored_export(spark, sf)
+    _, rows = _initial_rows(traces)
+    table = reports.report_replicates(scoring.score_replicates(rows), *_glossaries(traces))
     return table.select(*RUN, "Comment", *META, *[r6(name) for name in [*SCORES, "Skor"]])
 
 
 def report_rescore(spark, sf):
-    table = reports.report_rescore(_refined(spark, sf).rescore, *_glossaries(spark, sf))
+    traces = tb.stored_export(spark, sf)
+    table = reports.report_rescore(rf.refine_global(traces, PARAMS).rescore, *_glossaries(traces))
     return table.select(*RUN, "Comment", *META, *[r6(name) for name in [*SCORES, "Skor"]])
 
 
 def report_annotations(spark, sf):
-    rows = tb.export(spark, sf)
-    table = reports.report_annotations(_refined(spark, sf).rescore, *_glossaries(spark, sf),
-                                       gl.glossary(rows, "precursor"), as_text=False)
+    traces = tb.stored_export(spark, sf)
+    table = reports.report_annotations(rf.refine_global(traces, PARAMS).rescore, *_glossaries(traces),
+                                       gl.glossary(traces, "precursor"), as_text=False)
     return table.select("ElementLocator", *[r6(name) for name in table.columns if name != "ElementLocator"])
 
 

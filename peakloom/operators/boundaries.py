@@ -37,11 +37,11 @@ def peak_island(points: DataFrame, keys: Sequence[str], time: str, value: str, z
             .select(*keys, "left", "right", "apex_time", "apex"))
 
 
-def summed_traces(traces: DataFrame, kept: DataFrame) -> DataFrame:
+def summed_traces(traces: DataFrame, kept: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     """Clean intensities of the kept fragments summed over fragments and labels:
     (analyte, replicate, pos, time, zone, value). The time grid and the zone are those of the first
-    label of the replicate."""
-    runs = run_zones(traces).filter(F.col("reason") == OK)
+    label of the replicate; `zones` are those of `run_zones`, computed unless given."""
+    runs = (run_zones(traces) if zones is None else zones).filter(F.col("reason") == OK)
     grid = (runs.groupBy(ANALYTE, REP).agg(F.min(F.struct(LABEL, "times", "zone")).alias("g"))
             .select(ANALYTE, REP, F.posexplode(F.arrays_zip("g.times", "g.zone")).alias("pos", "p"))
             .select(ANALYTE, REP, "pos", F.col("p.times").alias("time"), (F.col("p.zone") == 1).alias("zone")))

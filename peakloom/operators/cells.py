@@ -9,6 +9,7 @@ from peakloom.config import RefineParams
 from peakloom.functions import traces as tr
 from peakloom.functions.scores import mass_error_score
 from peakloom.schema import ANALYTE, CELL, FRAGMENT, LABEL, REP, RUN
+from peakloom.session import materialise
 
 OK = "ok"
 
@@ -23,14 +24,21 @@ def analyte_fragments(traces: DataFrame, limit: int) -> DataFrame:
     return counts.join(short, ANALYTE, "left")
 
 
-def run_zones(traces: DataFrame) -> DataFrame:
-    """Per run: the integration zone given by its first fragment, and whether the run is usable."""
+def run_zones(traces: DataFrame, limits: DataFrame | None = None) -> DataFrame:
+    """Per run: the integration zone given by its first fragment, and whether the run is usable.
+
+    `limits` (MinStartTime, MaxEndTime per analyte and replicate) replace those in the rows; they are
+    joined to the one row per run, never to the traces.
+    """
     sizes = [F.size(name) for name in ("times", "intens", "mass_err")]
     first = F.struct(FRAGMENT, "MinStartTime", "MaxEndTime", "times")
     runs = traces.groupBy(*RUN).agg(F.min(first).alias("first"),
                                     F.min(F.least(*sizes)).alias("shortest"),
                                     F.max(F.greatest(*sizes)).alias("longest"))
     low, high = F.col("first.MinStartTime"), F.col("first.MaxEndTime")
+    if limits is not None:
+        runs = runs.join(limits.select(ANALYTE, REP, "MinStartTime", "MaxEndTime"), [ANALYTE, REP])
+        low, high = F.col("MinStartTime"), F.col("MaxEndTime")
     flags = tr.widen_single_point(tr.integration_zone(F.col("first.times"), low, high))
     reason = (F.when(low.isNull() | high.isNull(), "no integration limits")
               .when(F.col("shortest") != F.col("longest"), "unequal trace lengths")
@@ -39,8 +47,9 @@ def run_zones(traces: DataFrame) -> DataFrame:
             .select(*RUN, "zone", "reason", F.col("first.times").alias("times")))
 
 
-def build_cells(traces: DataFrame, params: RefineParams) -> DataFrame:
-    """Cut every trace to its run's zone and reduce it to what scoring needs.
+def build_cells(traces: DataFrame, params: RefineParams, zones: DataFrame | None = None) -> DataFrame:
+    """Cut every trace to its run's zone (`run_zones` unless given) and reduce it to what scoring
+    needs.
 
     Columns: the cell, `reason` (`ok` or why the run is unusable), `n_frag`, `code` (position of the
     fragment in its analyte's list, null for large analytes), `x` (normalised in-zone intensities),
@@ -49,7 +58,7 @@ def build_cells(traces: DataFrame, params: RefineParams) -> DataFrame:
     The wide rows are shuffled once, on the run. Duplicate rows are dropped after the cut, on that
     same partitioning, when they are small.
     """
-    zones = (run_zones(traces).drop("times")
+    zones = ((run_zones(traces) if zones is None else zones).drop("times")
              .join(analyte_fragments(traces, params.exhaustive_limit), ANALYTE))
     rows = traces.select(*CELL, "intens", "mass_err", "Area", "LibraryIntensity").join(zones, RUN)
     clean = tr.clamp_nonneg(tr.nan_to_zero(F.col("intens")))
@@ -73,7 +82,11 @@ def conflicting_runs(cells: DataFrame) -> DataFrame:
 
 
 def usable_cells(cells: DataFrame) -> DataFrame:
-    return cells.filter(F.col("reason") == OK).join(conflicting_runs(cells), RUN, "left_anti")
+    """The cells of usable runs. `cells` must be a written table: conflicts are looked for at once,
+    and without any (the usual case) the result is just a pushed-down filter."""
+    usable = cells.filter(F.col("reason") == OK)
+    clash = materialise(conflicting_runs(usable), "conflicts")
+    return usable if clash.isEmpty() else materialise(usable.join(clash, RUN, "left_anti"), "usable")
 
 
 def quarantine(cells: DataFrame) -> DataFrame:

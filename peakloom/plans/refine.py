@@ -21,20 +21,26 @@ from peakloom.operators import scoring, search, selection
 from peakloom.operators.flip_search import flip_search
 from peakloom.operators.prefilter import prefilter
 from peakloom.operators.similarity import gram_table, subset_rows, subset_rows_long
-from peakloom.schema import ANALYTE, FRAGMENT, REP
+from peakloom.schema import ANALYTE, CELL, FRAGMENT
 from peakloom.session import materialise
 
 
+TRACE_COLUMNS = [*CELL, "times", "intens", "mass_err", "MinStartTime", "MaxEndTime", "Area",
+                 "LibraryIntensity"]
+
+
 @dataclass(frozen=True)
 class Prepared:
     """Written tables every later step reads."""
 
+    zones: DataFrame
     all_cells: DataFrame
     cells: DataFrame
     fragments: DataFrame
     library: DataFrame
     refs: DataFrame
     grams: DataFrame
+    has_large: bool
 
     @property
     def large(self) -> DataFrame:
@@ -62,15 +68,18 @@ class Refined:
     quarantine: DataFrame
 
 
-def prepare(traces: DataFrame, params: RefineParams) -> Prepared:
-    all_cells = materialise(ce.build_cells(traces, params), "cells")
-    cells = materialise(ce.usable_cells(all_cells), "usable")
+def prepare(traces: DataFrame, params: RefineParams, limits: DataFrame | None = None) -> Prepared:
+    """Everything derived from the traces for one set of integration limits."""
+    zones = materialise(ce.run_zones(traces, limits), "zones")
+    all_cells = materialise(ce.build_cells(traces, params, zones), "cells")
+    cells = ce.usable_cells(all_cells)
     fragments = (all_cells.filter(F.col("code").isNotNull()).select(ANALYTE, FRAGMENT, "n_frag").distinct()
                  .groupBy(ANALYTE, "n_frag").agg(F.sort_array(F.collect_list(FRAGMENT)).alias("frags")))
     library = materialise(ce.library_rank(cells), "library")
     refs = materialise(ce.reference_values(cells, library), "refs")
     grams = materialise(gram_table(cells, refs), "grams")
-    return Prepared(all_cells, cells, materialise(fragments, "fragments"), library, refs, grams)
+    has_large = not cells.filter(F.col("code").isNull()).isEmpty()
+    return Prepared(zones, all_cells, cells, materialise(fragments, "fragments"), library, refs, grams, has_large)
 
 
 def _stage(comment: str, base: Column, mask: Column) -> Column:
@@ -94,6 +103,8 @@ def full_set_rows(prep: Prepared, comment: Column) -> DataFrame:
     """Subset rows for the full fragment set of every analyte; `comment` may use `n_frag`."""
     stages = prep.fragments.select(ANALYTE, F.array(F.struct(
         comment.alias("Comment"), _all_mask().alias("base"), _all_mask().alias("mask"))).alias("stages"))
+    if not prep.has_large:
+        return subset_rows(prep.grams, stages)
     members = prep.large.select(ANALYTE, FRAGMENT, "n_frag").distinct().select(
         ANALYTE, FRAGMENT, comment.alias("Comment"), F.lit(True).alias("in_set"))
     return subset_rows(prep.grams, stages).unionByName(
@@ -108,13 +119,12 @@ def refine_transitions(prep: Prepared, params: RefineParams) -> Selection:
         rows_a = rows_a.filter(F.col("Comment") != cfg.STAGE_SMALL)
     rows_a = materialise(rows_a, "rows-a")
     enough = rows_a.filter(F.col("Comment") == cfg.STAGE_INITIAL)
-    has_large = not prep.large.isEmpty()
 
     def searched(kept: DataFrame, start: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         """Masks of the exhaustive search, and members found by flips if there are large analytes."""
         masks = search.fragments_mask(kept, prep.fragments)
         found = materialise(search.search_subsets(prep.grams, masks, params), "found")
-        if not has_large:
+        if not prep.has_large:
             return found, None
         large_kept = kept.join(prep.fragments, ANALYTE, "left_anti")
         state = _members(large_kept, start, "")
@@ -162,11 +172,9 @@ def refine_transitions(prep: Prepared, params: RefineParams) -> Selection:
 def rescore(traces: DataFrame, transitions: DataFrame, boundaries: DataFrame,
             params: RefineParams) -> DataFrame:
     """Score the kept fragments again inside the new boundaries."""
-    limits = boundaries.select(ANALYTE, REP, F.col("MinStartTime").alias("_lo"),
-                               F.col("MaxEndTime").alias("_hi"))
-    moved = (traces.join(transitions, [ANALYTE, FRAGMENT], "left_semi").join(limits, [ANALYTE, REP])
-             .withColumns({"MinStartTime": F.col("_lo"), "MaxEndTime": F.col("_hi")}).drop("_lo", "_hi"))
-    prep = prepare(moved, params)
+    kept = materialise(traces.select(*TRACE_COLUMNS).join(transitions, [ANALYTE, FRAGMENT], "left_semi"),
+                       "kept-traces")
+    prep = prepare(kept, params, limits=boundaries)
     rows = materialise(full_set_rows(prep, F.lit(cfg.STAGE_RESCORE)), "rows-f")
     return scoring.score_replicates(rows, params.hot_group_rows)
 
@@ -183,7 +191,7 @@ def refine_global(traces: DataFrame, params: RefineParams = RefineParams()) -> R
         traces = materialise(prefilter(traces, params), "filtered")
     prep = prepare(traces, params)
     selected = refine_transitions(prep, params)
-    points = materialise(bd.summed_traces(traces, selected.transitions), "points")
+    points = materialise(bd.summed_traces(traces, selected.transitions, prep.zones), "points")
     boundaries = materialise(bd.refine_boundaries(points, params.edge_fraction), "boundaries")
     left_out = ce.quarantine(prep.all_cells).unionByName(
         lost_analytes(prep, selected.transitions).withColumn("reason", F.lit("no fragment left")),
