@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from peakloom.llm import mixing, quality, sharding
+from peakloom.llm import mixing, quality, sharding, simhash, substrings
 from peakloom.llm.common import table
 from peakloom.llm.sql import ORACLE  # noqa: F401
 
@@ -16,6 +17,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_lines", "n_exclaim", "failed")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.assign(docs).select("doc_id", "n_bytes", "hash", "shard", "depth", "shard_bytes", "oversize")
@@ -26,4 +31,10 @@ def op6_fair_queue_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_extendible_sharding, op6_fair_queue_mixing)}
+def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_quality_rules, op3_suffix_array_dedup, op4_extendible_sharding, op6_fair_queue_mixing, op10_simhash_tiles)}
