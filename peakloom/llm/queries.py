@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import mixing, quality, sharding, simhash, substrings
+from peakloom.llm import bpe, mixing, quality, sharding, simhash, substrings, tokens
 from peakloom.llm.common import table
 from peakloom.llm.sql import ORACLE  # noqa: F401
 
 
+def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return quality.apply_policy(led, "web-2").select(
@@ -31,10 +35,15 @@ def op6_fair_queue_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_rules, op3_suffix_array_dedup, op4_extendible_sharding, op6_fair_queue_mixing, op10_simhash_tiles)}
+    op1_token_frames, op2_quality_rules, op3_suffix_array_dedup, op4_extendible_sharding, op6_fair_queue_mixing,
+    op7_forced_boundary_bpe, op10_simhash_tiles)}
