@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import bpe, mixing, quality, sharding, simhash, substrings, tokens
+from peakloom.llm import bpe, hnsw, mixing, quality, sharding, simhash, substrings, tokens, warc
 from peakloom.llm.common import table
 from peakloom.llm.sql import ORACLE  # noqa: F401
 
@@ -39,6 +39,17 @@ def op7_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hnsw.vectors(table(spark, sf_dir, "embeddings"))
+    return hnsw.search(hnsw.index(rows), rows.where("vec_id % 50 = 0"))
+
+
+def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.read_warc(warc.convert(warc.write_arc(table(spark, sf_dir, "pages"))))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id",
+                        "url", "date")
+
+
 def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,4 +57,4 @@ def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_frames, op2_quality_rules, op3_suffix_array_dedup, op4_extendible_sharding, op6_fair_queue_mixing,
-    op7_forced_boundary_bpe, op10_simhash_tiles)}
+    op7_forced_boundary_bpe, op8_hnsw_shards, op9_arc_to_warc, op10_simhash_tiles)}
