@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import bpe, hnsw, mixing, quality, sharding, simhash, substrings, tokens, warc
+from peakloom.llm import bpe, chaining, hnsw, mixing, quality, sharding, simhash, substrings, tokens, warc
 from peakloom.llm.common import table
 from peakloom.llm.sql import ORACLE  # noqa: F401
 
@@ -30,6 +30,10 @@ def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(docs).select("doc_id", "n_bytes", "hash", "shard", "depth", "shard_bytes", "oversize")
 
 
+def op5_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_fair_queue_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -56,5 +60,6 @@ def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_frames, op2_quality_rules, op3_suffix_array_dedup, op4_extendible_sharding, op6_fair_queue_mixing,
+    op1_token_frames, op2_quality_rules, op3_suffix_array_dedup, op4_extendible_sharding, op5_collinear_chaining,
+    op6_fair_queue_mixing,
     op7_forced_boundary_bpe, op8_hnsw_shards, op9_arc_to_warc, op10_simhash_tiles)}
