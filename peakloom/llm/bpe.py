@@ -180,10 +180,11 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, ids, decoded): ids as an array, and the text they decode to."""
+    """(doc_id, n_tokens, ids, decoded): ids as an array, and the text they decode to."""
     def make(part, found):
         lists = pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x, _ in found], pa.list_(pa.int32()))
-        return pa.RecordBatch.from_arrays([part.column(0), lists, pa.array([y for _, y in found], pa.string())],
-                                          ["doc_id", "ids", "decoded"])
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array([len(x) // 4 for x, _ in found], pa.int64()), lists,
+             pa.array([y for _, y in found], pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return _run(rows, ["doc_id"], "doc_id bigint, ids array<int>, decoded string", path, make)
+    return _run(rows, ["doc_id"], "doc_id bigint, n_tokens bigint, ids array<int>, decoded string", path, make)

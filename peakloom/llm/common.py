@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,6 +25,14 @@ def word_count(text: str) -> F.Column:
     return F.coalesce(F.size(F.array_remove(F.split(text, BLANKS), "")), F.lit(0)).cast("bigint")
 
 
+def masked(docs: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`docs` with every column but the needed ones renamed out of the way, and how to turn a frame derived
+    from it back into the columns of `docs`."""
+    names = {c: c if c in needed else f"_kept{k}_" for k, c in enumerate(docs.columns)}
+    aside = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return aside, lambda df: df.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

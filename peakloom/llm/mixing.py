@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peakloom.llm.common import running_total, word_count
+from peakloom.llm.common import masked, running_total, word_count
 from peakloom.session import materialise
 
 WEIGHTS = (3, 1, 2)
@@ -92,3 +92,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     at = once.select(F.col("source").alias("_s"), F.col("_key").alias("_k"), F.col("_tie").alias("_t"), *OUT)
     return keyed.join(at, keyed["source"].eqNullSafe(at["_s"]) & (keyed["_key"] == at["_k"])
                       & (keyed["_tie"] == at["_t"])).select(*rest, *OUT)
+
+
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, with their own columns only."""
+    aside, back = masked(docs, "doc_id", "text", "source")
+    rows = mix(aside, **how).where("taken > 0")
+    times = F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))
+    return back(rows.withColumn("_times", F.explode(times)))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peakloom.llm.common import BLANKS
+from peakloom.llm.common import BLANKS, masked
 
 WINDOW = 5
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_exclaim", "n_repeat_words"]
@@ -100,6 +100,12 @@ def apply_policy(led: DataFrame, policy: str) -> DataFrame:
     return led.withColumns({"base_failed": hit(BASE), "kept": ~hit(BASE | POLICIES[policy])})
 
 
+def keep(docs: DataFrame, policy: str) -> DataFrame:
+    """The rows of `docs` that pass, with their own columns only."""
+    aside, back = masked(docs, "text")
+    return back(apply_policy(ledger(aside), policy).where("kept"))
+
+
 def ablations(led: DataFrame, policy: str) -> DataFrame:
     """Per rule of a policy: `n_failed` rows that fail it, `n_only` rows that fail no other rule of the
     policy (they would be kept without it). Rows are first counted per bit pattern, at most 2^rules."""
