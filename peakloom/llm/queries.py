@@ -50,8 +50,7 @@ def op8_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.read_warc(warc.convert(warc.write_arc(table(spark, sf_dir, "pages"))))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id",
-                        "url", "date")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
