@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peakloom.schema import ANALYTE, FRAGMENT, GROUP, LABEL, REP
+from peakloom.schema import ANALYTE, FRAGMENT, GROUP, LABEL, NO_LABEL, REP
 
 # Fixed value: order of the hex digits used for bucketing.
 HEX_ORDER = "abcdef0123456789"
@@ -40,6 +40,9 @@ def add_ids(df: DataFrame, n_groups: int | None = None, width: int = 8) -> DataF
     analyte = F.concat(part("ProteinName"), F.lit("_"), part("PeptideModifiedSequence"), F.lit("_"),
                        part("PrecursorCharge"), part("IsDecoy"))
     fragment = F.concat(part("FragmentIon"), F.lit("_"), part("ProductCharge"))
+    if LABEL in df.columns:
+        # a missing label is a label of its own, so its rows match in every join
+        df = df.withColumn(LABEL, F.coalesce(LABEL, F.lit(NO_LABEL)))
     out = df.withColumns({
         FRAGMENT: hash8(fragment, width=width),
         REP: hash8(part("FileName"), width=width),

@@ -35,12 +35,12 @@ def cosine(dot_xy: Column, dot_xx: Column, dot_yy: Column) -> Column:
     return at_most_one(F.try_divide(dot_xy, F.sqrt(dot_xx * dot_yy)))
 
 
-def na_text(col: Column, numeric: bool = True, scale: int = 6) -> Column:
-    """Text with `#N/A` for missing; numbers in plain decimal notation without trailing zeros."""
+def na_text(col: Column, numeric: bool = True) -> Column:
+    """Text with `#N/A` for missing; a number keeps all its digits and reads back as itself."""
     if not numeric:
         return F.coalesce(col.cast("string"), F.lit("#N/A"))
-    plain = F.when(~F.isnan(col), col).cast(f"decimal(38,{scale})").cast("string")
-    return F.coalesce(F.regexp_replace(plain, r"\.?0+$", ""), F.lit("#N/A"))
+    text = F.when(~F.isnan(col), col).cast("string")
+    return F.coalesce(F.regexp_replace(text, r"\.0(?=E|$)", ""), F.lit("#N/A"))
 
 
 def ion_token(col: Column) -> Column:

@@ -18,6 +18,16 @@ def merge_glossary(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new).distinct()
 
 
+def check_ids(df: DataFrame) -> None:
+    """Raise if an analyte, fragment or replicate id stands for several originals: their rows would be
+    refined as one. Give `add_ids` a greater width then."""
+    for kind in ("analyte", "fragment", "rep"):
+        key = GLOSSARIES[kind][0]
+        clash = [row[key] for row in id_collisions(glossary(df, kind), key).limit(20).collect()]
+        if clash:
+            raise ValueError(f"{kind} ids that stand for several originals: {', '.join(sorted(clash))}")
+
+
 def id_collisions(table: DataFrame, key: str) -> DataFrame:
     """Ids that stand for more than one original; empty when the hash width suffices."""
     return table.distinct().groupBy(key).agg(F.count("*").alias("originals")).filter("originals > 1")

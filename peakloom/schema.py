@@ -75,6 +75,9 @@ INDEXED = T.StructType(
     [*EXPORT.fields, *_struct((FRAGMENT, _S), (REP, _S), (ANALYTE, _S), (GROUP, _L)).fields]
 )
 
+# Stands for a missing label.
+NO_LABEL = "NA"
+
 # Text read as missing.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")

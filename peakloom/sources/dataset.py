@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakloom.schema import ANALYTE, CELL, GROUP
+from peakloom.sources.export import QUOTED
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -17,9 +18,10 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def write_indexed(df: DataFrame, path: str, by: Sequence[str] = (GROUP,), mode: str = "append",
+def write_indexed(df: DataFrame, path: str, by: Sequence[str] = (GROUP,), mode: str = "overwrite",
                   files: int | None = None) -> None:
-    """Write the dataset with one directory level per column of `by`.
+    """Write the dataset with one directory level per column of `by`. The partitions that occur in `df`
+    are replaced, others stay, so a rerun changes nothing.
 
     Rows are range-partitioned on the directory columns and then on the cell, so an analyte (or a
     group) with very many rows is cut into several tasks and files, while the rows of one run stay
@@ -28,7 +30,7 @@ def write_indexed(df: DataFrame, path: str, by: Sequence[str] = (GROUP,), mode:
     order = list(dict.fromkeys([*by, *[name for name in CELL if name in df.columns]]))
     placed = (df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order))
     (placed.sortWithinPartitions(*order).write.mode(mode).partitionBy(*by)
-     .option("compression", "snappy").parquet(path))
+     .option("partitionOverwriteMode", "dynamic").option("compression", "snappy").parquet(path))
 
 
 def read_partition(spark: SparkSession, path: str, schema: T.StructType,
@@ -43,7 +45,7 @@ def read_partition(spark: SparkSession, path: str, schema: T.StructType,
 
 def export_partition_csv(df: DataFrame, path: str, key: str, value: object) -> None:
     """The rows of one key as CSV with header, in a folder named by the key."""
-    (df.filter(F.col(key) == F.lit(value)).write.option("header", True)
+    (df.filter(F.col(key) == F.lit(value)).write.option("header", True).options(**QUOTED)
      .csv(f"{path}/data_analyte_{value}"))
 
 
@@ -56,9 +58,9 @@ def export_all_csv(df: DataFrame, path: str, key: str = ANALYTE,
         df = df.join(glossary.select(key).distinct(), key, "left_semi")
     order = list(dict.fromkeys([key, *[name for name in CELL if name in df.columns]]))
     (df.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy(key)
-     .option("header", True).csv(path))
+     .option("header", True).options(**QUOTED).csv(path))
 
 
 def read_exported_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read back what `export_all_csv` wrote."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).options(**QUOTED).csv(path)

@@ -12,6 +12,10 @@ from peakloom.functions.traces import parse_trace
 from peakloom.schema import EXPORT, EXPORT_HEADER, NA_TOKENS
 
 
+# A quote inside a quoted field is doubled.
+QUOTED = {"quote": '"', "escape": '"'}
+
+
 def normalise_names(df: DataFrame) -> DataFrame:
     """Drop dots, then blanks, from every column name."""
     return df.toDF(*[name.replace(".", "").replace(" ", "") for name in df.columns])
@@ -33,9 +37,10 @@ def coerce_types(df: DataFrame, schema: T.StructType,
         if field.dataType == T.StringType():
             return col.cast("string").alias(field.name)
         if field.dataType == T.LongType():
-            # an integer column exported with gaps is often printed as 2.0
+            # an integer column exported with gaps is often printed as 2.0; 2.7 is no integer
+            whole = col.try_cast("decimal(38,6)")
             return F.coalesce(col.try_cast("bigint"),
-                              col.try_cast("decimal(38,6)").try_cast("bigint")).alias(field.name)
+                              F.when(whole == F.floor(whole), whole.try_cast("bigint"))).alias(field.name)
         return col.try_cast(field.dataType).alias(field.name)
 
     return df.select(*[typed(field) for field in schema.fields])
@@ -45,7 +50,7 @@ def read_export(spark: SparkSession, path: str, header: Sequence[str] = EXPORT_H
                 schema: T.StructType = EXPORT) -> DataFrame:
     """Scan an export CSV (file, folder or glob) and type it; input splits bound the memory."""
     raw = (spark.read.schema(text_schema(header)).option("header", True)
-           .option("enforceSchema", False).csv(path))
+           .option("enforceSchema", False).options(**QUOTED).csv(path))
     return coerce_types(normalise_names(raw), schema)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from peakloom.functions.keys import add_ids
 from peakloom.schema import EXPORT, EXPORT_HEADER, GLOSSARIES, GROUP
-from peakloom.sources.export import coerce_types, normalise_names, text_schema
+from peakloom.sources.export import QUOTED, coerce_types, normalise_names, text_schema
 
 # Distinct glossary rows are kept on disk, not on the heap.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -18,8 +18,10 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 def stream_export(spark: SparkSession, src: str, n_groups: int = 6, files_per_trigger: int = 64,
                   header: Sequence[str] = EXPORT_HEADER, schema: T.StructType = EXPORT) -> DataFrame:
-    """Streaming rows of the export files that arrive in the folder `src`, typed and with ids."""
+    """Streaming rows of the export files that arrive in the folder `src`, typed and with ids. A file
+    with other columns, or the same in another order, fails the stream."""
     raw = (spark.readStream.schema(text_schema(header)).option("header", True)
+           .option("enforceSchema", False).options(**QUOTED)
            .option("maxFilesPerTrigger", files_per_trigger).csv(src))
     return add_ids(coerce_types(normalise_names(raw), schema), n_groups)
 

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from peakloom.functions.keys import add_ids
+from peakloom.operators import glossary
 from peakloom.schema import ANALYTE, EXPORT, EXPORT_HEADER, FRAGMENT, GROUP, LABEL, REP, RESULTS
 from peakloom.sources import dataset, export, results
 from peakloom.streaming import ingest
@@ -30,6 +32,45 @@ def test_read_export(spark, folder):
     assert trace.intens[1] != trace.intens[1]
 
 
+def test_doubled_quotes_and_fractions(spark, folder):
+    odd = [*LINE[:1], 'PEP"T,IDE', *LINE[2:5], "2.7", *LINE[6:]]
+    text = ",".join(EXPORT_HEADER) + "\n" + ",".join('"' + v.replace('"', '""') + '"' for v in odd) + "\n"
+    (folder / "odd").mkdir()
+    (folder / "odd" / "a.csv").write_text(text)
+    row = export.read_export(spark, str(folder / "odd")).first()
+    assert row.PeptideModifiedSequence == 'PEP"T,IDE' and row.FileName == "run1.raw" and row.PrecursorCharge is None
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_a_reordered_header_fails(spark, folder, stream):
+    (folder / "bad").mkdir()
+    (folder / "bad" / "a.csv").write_text(",".join(reversed(EXPORT_HEADER)) + "\n" + ",".join(f'"{v}"' for v in reversed(LINE)) + "\n")
+    with pytest.raises(Exception):
+        if stream:
+            rows = ingest.stream_export(spark, str(folder / "bad"))
+            ingest.stream_ingest(rows, str(folder / "bad-out"), str(folder / "c9")).awaitTermination()
+        else:
+            export.read_export(spark, str(folder / "bad")).collect()
+
+
+def test_a_rerun_replaces_its_partitions_only(spark, tmp_path):
+    df = spark.createDataFrame([(g, f"a{k}", f"f{k}") for g in (1, 2) for k in range(3)],
+                               f"{GROUP} bigint, {ANALYTE} string, {FRAGMENT} string")
+    path = str(tmp_path / "ds")
+    for part in (df, df, df.filter(f"{GROUP} = 2")):
+        dataset.write_indexed(part, path)
+        assert dataset.read_partition(spark, path, df.schema).count() == 6
+
+
+def test_colliding_ids_are_refused(spark):
+    rows = spark.createDataFrame([("P", f"PEP{k}", 2, False, "y5", 1, "r.raw") for k in range(40)],
+                                 "ProteinName string, PeptideModifiedSequence string, PrecursorCharge long, "
+                                 "IsDecoy boolean, FragmentIon string, ProductCharge long, FileName string")
+    glossary.check_ids(add_ids(rows))
+    with pytest.raises(ValueError, match="analyte ids"):
+        glossary.check_ids(add_ids(rows, width=1))
+
+
 def test_normalise_names(spark):
     assert export.normalise_names(spark.range(1).toDF("A. b c")).columns == ["Abc"]
 

@@ -58,7 +58,9 @@ def test_composite(spark):
 
 def test_na_text(spark):
     text = lambda v: one(spark, sc.na_text(F.lit(v).cast("double")))
-    assert [text(v) for v in (12.5, 100.0, None, float("nan"), 12345678.5)] == ["12.5", "100", "#N/A", "#N/A", "12345678.5"]
+    assert [text(v) for v in (12.5, 100.0, None, float("nan"))] == ["12.5", "100", "#N/A", "#N/A"]
+    for value in (3.2e-7, 0.1234567891, 12345678.5, 1e33, -1e-300, 2 / 3, 1e7):
+        assert float(text(value)) == value
 
 
 def test_golden_cells(spark):
