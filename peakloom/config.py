@@ -34,9 +34,8 @@ class RefineParams:
     drop_fraction: float = 0.25
     edge_fraction: float = 0.05
     # Analytes with at most this many fragments are searched exhaustively; larger ones by rounds of
-    # single-fragment flips. At most 12: the subset table of one run has 2^n entries.
+    # single-fragment flips until none gains. At most 12: the subset table of one run has 2^n entries.
     exhaustive_limit: int = 12
-    flip_rounds: int = 6
     # Groups with more rows than this get their quantiles from a bracketing sketch plus an exact finish.
     hot_group_rows: int = 1_000_000
 

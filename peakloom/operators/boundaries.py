@@ -53,7 +53,8 @@ def summed_traces(traces: DataFrame, kept: DataFrame, zones: DataFrame | None =
 
 
 def refine_boundaries(points: DataFrame, edge_fraction: float) -> DataFrame:
-    """(MinStartTime, MaxEndTime, replicate, analyte) from `summed_traces`."""
+    """(MinStartTime, MaxEndTime, replicate, analyte) from `summed_traces`; null limits without signal."""
     island = peak_island(points, [ANALYTE, REP], "time", "value", "zone", edge_fraction)
-    return island.select(F.col("left").alias("MinStartTime"), F.col("right").alias("MaxEndTime"),
+    limit = lambda name: F.when(F.col("apex") > 0, F.col(name))
+    return island.select(limit("left").alias("MinStartTime"), limit("right").alias("MaxEndTime"),
                          REP, ANALYTE)

@@ -31,13 +31,15 @@ def run_zones(traces: DataFrame, limits: DataFrame | None = None) -> DataFrame:
     joined to the one row per run, never to the traces.
     """
     sizes = [F.size(name) for name in ("times", "intens", "mass_err")]
-    first = F.struct(FRAGMENT, "MinStartTime", "MaxEndTime", "times")
-    runs = traces.groupBy(*RUN).agg(F.min(first).alias("first"),
-                                    F.min(F.least(*sizes)).alias("shortest"),
+    # only a fragment key per run is aggregated; limits and times come from that fragment's row
+    keys = traces.groupBy(*RUN).agg(F.min(FRAGMENT).alias(FRAGMENT), F.min(F.least(*sizes)).alias("shortest"),
                                     F.max(F.greatest(*sizes)).alias("longest"))
+    row = F.struct("MinStartTime", "MaxEndTime", "times")
+    runs = (traces.select(*CELL, row.alias("first")).join(keys, CELL)
+            .groupBy(*RUN, "shortest", "longest").agg(F.min("first").alias("first")))
     low, high = F.col("first.MinStartTime"), F.col("first.MaxEndTime")
     if limits is not None:
-        runs = runs.join(limits.select(ANALYTE, REP, "MinStartTime", "MaxEndTime"), [ANALYTE, REP])
+        runs = runs.join(limits.select(ANALYTE, REP, "MinStartTime", "MaxEndTime"), [ANALYTE, REP], "left")
         low, high = F.col("MinStartTime"), F.col("MaxEndTime")
     flags = tr.widen_single_point(tr.integration_zone(F.col("first.times"), low, high))
     reason = (F.when(low.isNull() | high.isNull(), "no integration limits")

@@ -77,11 +77,12 @@ def _best_flips(cells: DataFrame, state: DataFrame, params: RefineParams) -> Dat
 
 
 def flip_search(cells: DataFrame, refs: DataFrame, state: DataFrame, params: RefineParams) -> DataFrame:
-    """Improve `state` (analyte, fragment, in_set) by at most `flip_rounds` rounds; the fragments of
-    the result are those with `in_set`. Every round is written, so plans do not grow."""
+    """Improve `state` (analyte, fragment, in_set) until no flip gains; the fragments of the result are
+    those with `in_set`. Each flip raises the score by 1e-9 at least, so the rounds end. Every round is
+    written, so plans do not grow."""
     cells = materialise(_terms(cells.join(refs, [ANALYTE, LABEL, FRAGMENT], "left")), "flip-cells")
     state = materialise(state.select(ANALYTE, FRAGMENT, "in_set"), "flip-state")
-    for _ in range(params.flip_rounds):
+    while True:
         flips = materialise(_best_flips(cells, state, params), "flips")
         if flips.isEmpty():
             break

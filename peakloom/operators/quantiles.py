@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peakloom.session import materialise
+
 # The sketch's ranks are off by at most rows / this.
 _SKETCH_ACCURACY = 100_000
 
@@ -19,18 +21,19 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], specs: dict[str, tuple
 
     Ordinary groups use the built-in exact percentile. Its buffer holds a whole group, so keys with
     more than `hot_rows` rows are taken out: a mergeable sketch brackets the wanted rank and only the
-    distinct values inside the bracket are looked at. There are at most rows / `hot_rows` such keys,
-    which bounds the two broadcasts; without any, the adaptive planner drops that branch.
+    distinct values inside the bracket are looked at. The hot keys are looked for at once, in one
+    count; without any, the plan is a single aggregate.
     """
     keys = list(keys)
     inputs = {column: f"_v{i}" for i, column in enumerate(dict.fromkeys(c for c, _ in specs.values()))}
     rows = df.select(*keys, *[F.when(~F.isnan(column), F.col(column)).alias(name)
                               for column, name in inputs.items()])
-    hot = F.broadcast(rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-                      .filter(F.col("_n") > hot_rows).select(*keys))
-    small = rows.join(hot, keys, "left_anti").groupBy(*keys).agg(
-        *[F.percentile(inputs[column], F.lit(q)).alias(alias)
-          for alias, (column, q) in specs.items()])
+    exact = [F.percentile(inputs[column], F.lit(q)).alias(alias) for alias, (column, q) in specs.items()]
+    hot = materialise(rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+                      .filter(F.col("_n") > hot_rows).select(*keys), "hot-keys")
+    if hot.isEmpty():
+        return rows.groupBy(*keys).agg(*exact)
+    small = rows.join(hot, keys, "left_anti").groupBy(*keys).agg(*exact)
     hot_rows_df = rows.join(hot, keys, "left_semi")
     # Half width of the bracket, as a share of the ranks: the sketch error on both sides, and three
     # ranks of a group just above the limit, so the two neighbouring values always lie inside.
@@ -50,7 +53,7 @@ def _bracketed(rows: DataFrame, keys: list[str], value: str, q: float, alias: st
                             _SKETCH_ACCURACY).alias("_b"))
     counted = rows.groupBy(*keys, value).agg(F.count("*").alias("_c"))
     inside = F.col(value).between(F.col("_b")[0], F.col("_b")[1])
-    summed = counted.join(F.broadcast(bracket), keys).groupBy(*keys).agg(
+    summed = counted.join(bracket, keys).groupBy(*keys).agg(
         F.sum("_c").alias("_total"),
         F.sum(F.when(F.col(value) < F.col("_b")[0], F.col("_c")).otherwise(0)).alias("_below"),
         F.sort_array(F.collect_list(F.when(inside, F.struct(F.col(value).alias("v"),

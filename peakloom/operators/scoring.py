@@ -71,7 +71,6 @@ def score_replicates(rows: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     return scores.join(profile, STAGE_RUN, "left").select(*SCORE_COLUMNS)
 
 
-def score_transitions(rows: DataFrame, run_keys: DataFrame | None = None) -> DataFrame:
-    """Similarity per fragment and run of the subset, limited to known runs if they are given."""
-    out = rows.filter("in_set").select(FRAGMENT, "similarity", *RUN)
-    return out if run_keys is None else run_keys.select(*RUN).distinct().join(out, RUN, "right")
+def score_transitions(rows: DataFrame) -> DataFrame:
+    """Similarity per fragment and run of the subset."""
+    return rows.filter("in_set").select(FRAGMENT, "similarity", *RUN)

@@ -88,6 +88,46 @@ def subset_sums(exponents: tuple[float, float, float, float] = SCORE_EXPONENTS):
     return partial_sums
 
 
+BEST = f"{ANALYTE} string, kept bigint, subset bigint, fitness double"
+
+
+def best_subsets(min_fragments: int):
+    """A `mapInArrow` function over sorted partial sums: adds the arrays of one analyte and picks its best
+    subset. One array is open at a time."""
+    analyte_column = ANALYTE
+
+    def pick(k, runs, sums):
+        subsets = np.arange(1, 1 << k)
+        bits = np.bitwise_count(subsets).astype(np.int64)
+        score = np.floor(sums[1:] / runs * 1e9 + 0.5).astype(np.int64)
+        # score at nine decimals, then size, then the lower mask
+        order = np.where(bits >= min(min_fragments, k), (score << 16) + (bits << 12) + 4095 - subsets, -1)
+        at = int(order.argmax())
+        return int(subsets[at]), float(score[at]) / 1e9
+
+    def run(batches):
+        key, size, runs, sums, out = None, 0, 0, None, []
+        for batch in batches:
+            ids, kept, sizes, counts = (batch.column(c).to_pylist() for c in range(4))
+            flat, ends = batch.column(4).flatten().to_numpy(), np.cumsum([0, *(1 << k for k in sizes)])
+            for row in range(len(batch)):
+                part = flat[ends[row]:ends[row + 1]]
+                if (ids[row], kept[row]) == key:
+                    runs, sums = runs + counts[row], sums + part
+                    continue
+                if key is not None:
+                    out.append((*key, *pick(size, runs, sums)))
+                key, size, runs, sums = (ids[row], kept[row]), sizes[row], counts[row], part
+        if key is not None:
+            out.append((*key, *pick(size, runs, sums)))
+        if out:
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)],
+                                             names=[analyte_column, "kept", "subset", "fitness"])
+
+    return run
+
+
 def search_subsets(grams: DataFrame, kept: DataFrame, params: RefineParams) -> DataFrame:
     """Exhaustive search: (analyte, kept, solution, fitness), masks over the fragment codes.
 
@@ -111,24 +151,17 @@ def search_subsets(grams: DataFrame, kept: DataFrame, params: RefineParams) -> D
         "codes", lambda b: F.get(row, b))))
     partial = rows.select(ANALYTE, "kept", F.size("codes").alias("k"), F.flatten(matrix).alias("g"),
                           F.flatten(F.transform("codes", terms)).alias("t"))
-    scored = (partial.mapInArrow(subset_sums(), PARTIAL)
-              .select(ANALYTE, "kept", "k", "runs", F.posexplode("sums").alias("subset", "f")))
-    enough = F.bit_count("subset") >= F.least(F.lit(params.min_fragments), F.col("k"))
-    means = (scored.filter((F.col("subset") > 0) & enough)
-             .groupBy(ANALYTE, "kept", "subset").agg((F.sum("f") / F.sum("runs")).alias("fitness")))
-    # One integer orders the candidates: score at nine decimals, then size, then the lower mask.
-    order = (F.round(F.col("fitness") * 1_000_000_000).cast("bigint") * F.lit(1 << 16)
-             + F.bit_count("subset").cast("bigint") * F.lit(1 << 12) + (F.lit(4095) - F.col("subset")))
-    best = means.groupBy(ANALYTE, "kept").agg(F.max(order).alias("best"))
-    chosen = F.lit(4095) - F.col("best").bitwiseAND(F.lit(4095))
+    partials = partial.mapInArrow(subset_sums(), PARTIAL)
+    best = (partials.repartition(ANALYTE).sortWithinPartitions(ANALYTE, "kept")
+            .mapInArrow(best_subsets(params.min_fragments), BEST))
+    chosen = F.col("subset")
     codes = mask_codes(F.col("kept"), F.lit(params.exhaustive_limit))
     one = F.lit(1).cast("bigint")
     spread = F.aggregate(
         F.transform(codes, lambda c, i: F.when(
             F.getbit(chosen, i) == 1, F.call_function("shiftleft", one, c)).otherwise(F.lit(0).cast("bigint"))),
         F.lit(0).cast("bigint"), lambda acc, bit: acc + bit)
-    score = F.call_function("shiftright", F.col("best"), F.lit(16)) / F.lit(1_000_000_000.0)
-    return best.select(ANALYTE, "kept", spread.alias("solution"), score.alias("fitness"))
+    return best.select(ANALYTE, "kept", spread.alias("solution"), "fitness")
 
 
 def mask_fragments(masks: DataFrame, fragments: DataFrame, mask: str) -> DataFrame:

@@ -21,10 +21,11 @@ from peakloom.operators import scoring, search, selection
 from peakloom.operators.flip_search import flip_search
 from peakloom.operators.prefilter import prefilter
 from peakloom.operators.similarity import gram_table, subset_rows, subset_rows_long
-from peakloom.schema import ANALYTE, CELL, FRAGMENT
+from peakloom.schema import ANALYTE, CELL, FRAGMENT, LABEL, NO_LABEL, RUN
 from peakloom.session import materialise
 
 
+RESCORED = "rescored"
 TRACE_COLUMNS = [*CELL, "times", "intens", "mass_err", "MinStartTime", "MaxEndTime", "Area",
                  "LibraryIntensity"]
 
@@ -53,19 +54,40 @@ class Selection:
 
     transitions: DataFrame
     rows: DataFrame
-    replicates: DataFrame
-    transition_scores: DataFrame
+    params: RefineParams
+
+    @property
+    def replicates(self) -> DataFrame:
+        """Replicate scores of every stage, computed when asked for."""
+        return scoring.score_replicates(self.rows, self.params.hot_group_rows)
+
+    @property
+    def transition_scores(self) -> DataFrame:
+        return scoring.score_transitions(self.rows.filter(
+            F.col("Comment").isin(cfg.STAGE_SEARCH_2, cfg.STAGE_SMALL)))
 
 
 @dataclass(frozen=True)
 class Refined:
     """Outcome of the whole refinement."""
 
-    transitions: DataFrame
+    selection: Selection
     boundaries: DataFrame
-    replicates: DataFrame
     rescore: DataFrame
-    quarantine: DataFrame
+    account: DataFrame
+
+    @property
+    def transitions(self) -> DataFrame:
+        return self.selection.transitions
+
+    @property
+    def replicates(self) -> DataFrame:
+        return self.selection.replicates
+
+    @property
+    def quarantine(self) -> DataFrame:
+        """The runs that were not rescored, and why."""
+        return self.account.filter(F.col("reason") != RESCORED)
 
 
 def prepare(traces: DataFrame, params: RefineParams, limits: DataFrame | None = None) -> Prepared:
@@ -164,19 +186,17 @@ def refine_transitions(prep: Prepared, params: RefineParams) -> Selection:
     rows = reduce(DataFrame.unionByName, [rows_a, rows_bc, rows_de])
     untouched = rows_a.filter(F.col("Comment") == cfg.STAGE_SMALL).select(ANALYTE, FRAGMENT).distinct()
     transitions = materialise(solution(found_2, large_2).unionByName(untouched), "transitions")
-    final = rows.filter(F.col("Comment").isin(cfg.STAGE_SEARCH_2, cfg.STAGE_SMALL))
-    return Selection(transitions, rows, scoring.score_replicates(rows, hot),
-                     scoring.score_transitions(final))
+    return Selection(transitions, rows, params)
 
 
 def rescore(traces: DataFrame, transitions: DataFrame, boundaries: DataFrame,
-            params: RefineParams) -> DataFrame:
-    """Score the kept fragments again inside the new boundaries."""
+            params: RefineParams) -> tuple[DataFrame, Prepared]:
+    """Score the kept fragments again inside the new boundaries; also what the scores were taken from."""
     kept = materialise(traces.select(*TRACE_COLUMNS).join(transitions, [ANALYTE, FRAGMENT], "left_semi"),
                        "kept-traces")
     prep = prepare(kept, params, limits=boundaries)
     rows = materialise(full_set_rows(prep, F.lit(cfg.STAGE_RESCORE)), "rows-f")
-    return scoring.score_replicates(rows, params.hot_group_rows)
+    return materialise(scoring.score_replicates(rows, params.hot_group_rows), "rescored"), prep
 
 
 def lost_analytes(prep: Prepared, transitions: DataFrame) -> DataFrame:
@@ -186,15 +206,33 @@ def lost_analytes(prep: Prepared, transitions: DataFrame) -> DataFrame:
 
 
 def refine_global(traces: DataFrame, params: RefineParams = RefineParams()) -> Refined:
-    """Transitions, boundaries, rescored values and the list of what was left out, and why."""
+    """Transitions, boundaries, rescored values, and an account of every run of the input: `rescored`, or
+    the reason why not. A missing label counts as a label of its own."""
+    traces = traces.withColumn(LABEL, F.coalesce(LABEL, F.lit(NO_LABEL)))
     if params.apply_prefilter:
         traces = materialise(prefilter(traces, params), "filtered")
     prep = prepare(traces, params)
     selected = refine_transitions(prep, params)
     points = materialise(bd.summed_traces(traces, selected.transitions, prep.zones), "points")
     boundaries = materialise(bd.refine_boundaries(points, params.edge_fraction), "boundaries")
-    left_out = ce.quarantine(prep.all_cells).unionByName(
-        lost_analytes(prep, selected.transitions).withColumn("reason", F.lit("no fragment left")),
-        allowMissingColumns=True)
-    return Refined(selected.transitions, boundaries, selected.replicates,
-                   rescore(traces, selected.transitions, boundaries, params), left_out)
+    scores, again = rescore(traces, selected.transitions, boundaries, params)
+    return Refined(selected, boundaries, scores, account(prep, again, selected.transitions, scores, params))
+
+
+def account(prep: Prepared, again: Prepared, transitions: DataFrame, scores: DataFrame,
+            params: RefineParams) -> DataFrame:
+    """(run, reason) with one row per run of the input: `rescored`, or the first reason that holds."""
+    def marked(runs: DataFrame, keys: list[str], name: str, reason: Column) -> DataFrame:
+        return runs.select(*keys, reason.alias(name)).distinct()
+
+    before = marked(ce.quarantine(prep.all_cells), RUN, "_before", F.col("reason"))
+    few = F.when(F.col("n_frag") < params.min_fragments, "too few fragments").otherwise("no fragment left")
+    sizes = prep.cells.select(ANALYTE, "n_frag").distinct()
+    lost = marked(lost_analytes(prep, transitions).join(sizes, ANALYTE), [ANALYTE], "_lost", few)
+    after = marked(ce.quarantine(again.all_cells), RUN, "_after",
+                   F.concat("reason", F.lit(" after the refinement")))
+    done = marked(scores, RUN, "_done", F.lit(RESCORED))
+    rows = (prep.zones.select(*RUN).join(done, RUN, "left").join(before, RUN, "left")
+            .join(lost, ANALYTE, "left").join(after, RUN, "left"))
+    return materialise(rows.select(*RUN, F.coalesce(
+        "_done", "_before", "_lost", "_after", F.lit("no kept fragment in the run")).alias("reason")), "account")

@@ -55,14 +55,14 @@ def test_flip_search_climbs_by_the_true_score(spark):
     assert prep.grams.count() == 0 and prep.large.count() == prep.cells.count()
     cells, library, profile = tables(prep)
     start = prep.large.select(ANALYTE, FRAGMENT).distinct().withColumn("in_set", F.lit(True))
-    params = RefineParams(flip_rounds=3)
-    rows = flip_search(prep.large, prep.refs, start, params).filter("in_set").collect()
+    rows = flip_search(prep.large, prep.refs, start, PARAMS).filter("in_set").collect()
     for analyte in cells:
         fragments = set(library[analyte])
         current = set(fragments)
         fit = lambda s: mean_fitness(cells[analyte], sorted(s), library[analyte], profile[analyte])
-        for _ in range(params.flip_rounds):
-            options = {f: fit(current ^ {f}) for f in fragments}
+        while True:
+            options = {f: fit(current ^ {f}) for f in fragments
+                       if f not in current or len(current) > PARAMS.min_fragments}
             best = max(options, key=options.get)
             if options[best] <= fit(current) + 1e-9:
                 break
@@ -83,12 +83,14 @@ def test_both_scoring_ways_agree(spark, traces):
 def test_refine_global_invariants(spark, traces):
     wide = random_traces(spark, {"w": 14}, seed=2)
     everything = traces.unionByName(wide)
-    params = RefineParams(flip_rounds=1)
+    params = PARAMS
     out = rf.refine_global(everything, params)
     kept = {tuple(r) for r in out.transitions.select(ANALYTE, FRAGMENT).collect()}
     seen = {tuple(r) for r in everything.select(ANALYTE, FRAGMENT).distinct().collect()}
     assert kept and kept <= seen and len(kept) == out.transitions.count()
     lost = {r[ANALYTE] for r in out.quarantine.collect()}
+    runs = [tuple(r[k] for k in RUN) for r in out.account.collect()]
+    assert sorted(runs) == sorted({tuple(r[k] for k in RUN) for r in everything.select(*RUN).distinct().collect()})
     assert {a for a, _ in kept} | lost == {"a", "b", "c", "d", "w"}
     # analytes with too few fragments keep all of them
     assert {f for a, f in kept if a == "c"} == {"f00", "f01"}
