@@ -24,7 +24,7 @@ from peakloom.plans import refine as rf
 from peakloom.schema import (ANALYTE, CELL, EXPORT, EXPORT_HEADER, FRAGMENT, GLOSSARIES, GROUP, LABEL,
                              REP, RUN)
 from peakloom.session import materialise, new_path
-from peakloom.sources import dataset, export, fingerprint, results
+from peakloom.sources import dataset, export, results
 from peakloom.streaming import ingest
 
 PARAMS = RefineParams()
@@ -37,6 +37,11 @@ def r6(name: str | Column, alias: str | None = None) -> Column:
     return (F.round(col, 6) + F.lit(0.0)).alias(alias or name)
 
 
+def back(name: str, alias: str) -> list[Column]:
+    """A number's text read again: whether it is missing, and the number with all its digits."""
+    return [(F.col(name) == "#N/A").alias(f"{alias}_na"), F.col(name).try_cast("double").alias(alias)]
+
+
 # --- keys ------------------------------------------------------------------------------------------
 
 def hash_key(spark, sf):
@@ -71,17 +76,6 @@ def run_label_roundtrip(spark, sf):
                        *[part.alias(name.lower()) for name, part in parts.items()])
 
 
-def content_fingerprint(spark, sf):
-    summary = load(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        F.count("*").alias("n"), F.min("l_orderkey").alias("first"), F.max("l_orderkey").alias("last"))
-    return fingerprint.fingerprint(summary, ["l_returnflag", "l_linestatus"],
-                                   ["l_returnflag", "l_linestatus", "n", "first", "last"])
-
-
-def file_fingerprint(spark, sf):
-    return results.file_fingerprint(spark, sf, "*.parquet")
-
-
 # --- glossaries ------------------------------------------------------------------------------------
 
 def glossary_query(kind: str) -> Query:
@@ -112,9 +106,9 @@ def export_text(spark, sf) -> DataFrame:
                          for name, header in zip(EXPORT.names, EXPORT_HEADER)])
 
 
-def _written_export(spark, sf, name) -> str:
+def _written_export(spark, sf, name, change=lambda rows: rows) -> str:
     path = new_path(spark, name)
-    export_text(spark, sf).write.option("header", True).csv(path)
+    change(export_text(spark, sf)).write.option("header", True).options(**export.QUOTED).csv(path)
     return path
 
 
@@ -129,6 +123,18 @@ def csv_roundtrip(spark, sf):
     return rows.select(*EXPORT_VIEW, r6(total, "abs_error"))
 
 
+def csv_quotes(spark, sf):
+    """Names with quotes and commas, read back by the batch and the stream reader."""
+    odd = F.concat(F.lit('"a ""b'), F.col("Modified Sequence"), F.lit('", c\\'))
+    path = _written_export(spark, sf, "quotes", lambda rows: rows.withColumn("Modified Sequence", odd))
+    columns = ["TransitionLocator", "ModifiedSequence", "FileName", LABEL]
+    batch = export.read_export(spark, path).select(F.lit("batch").alias("reader"), *columns)
+    rows = ingest.stream_export(spark, path).select(F.lit("stream").alias("reader"), *columns, GROUP)
+    dst = new_path(spark, "quotes-out")
+    ingest.stream_ingest(rows, dst, new_path(spark, "progress")).awaitTermination()
+    return batch.unionByName(spark.read.schema(rows.schema).parquet(dst).drop(GROUP))
+
+
 def parquet_roundtrip(spark, sf):
     path = new_path(spark, "orders")
     export.csv_to_parquet(load(spark, sf, "orders"), path)
@@ -149,6 +155,24 @@ def partition_write(spark, sf):
     return dataset.read_partition(spark, path, schema)
 
 
+def _layout(*by: str) -> Query:
+    """Written twice with these directory levels, read back: the second write replaces the first."""
+    def query(spark, sf):
+        rows = tb.stored_export(spark, sf).select(*CELL, GROUP, "TransitionLocator", "Area")
+        path = new_path(spark, "layout")
+        for _ in range(2):
+            dataset.write_indexed(rows, path, by)
+        return dataset.read_partition(spark, path, rows.schema)
+    return query
+
+
+def analyte_csv_export(spark, sf):
+    rows = tb.stored_export(spark, sf).select(*CELL, GROUP, "TransitionLocator", "Area")
+    path = new_path(spark, "csv-by-analyte")
+    dataset.export_all_csv(rows, path, ANALYTE, glossary=gl.glossary(tb.export(spark, sf), "analyte"))
+    return dataset.read_exported_csv(spark, path, rows.schema)
+
+
 def partition_read(spark, sf):
     path, schema = _indexed(spark, sf)
     return dataset.read_partition(spark, path, schema, [ANALYTE, FRAGMENT, "Area"], ID_group=3)
@@ -163,9 +187,9 @@ def partition_csv_export(spark, sf):
 
 def results_read(spark, sf):
     path = new_path(spark, "results")
-    kept = gl.glossary(tb.export(spark, sf), "locator").select(FRAGMENT, ANALYTE)
+    kept = gl.glossary(tb.export(spark, sf), "locator").select(FRAGMENT, ANALYTE).distinct()
     results.write_results(kept, path, "Transitions")
-    return results.read_results(spark, path, "Transitions").distinct()
+    return results.read_results(spark, path, "Transitions")
 
 
 def na_coerce(spark, sf):
@@ -181,8 +205,9 @@ def na_coerce(spark, sf):
 def na_text(spark, sf):
     value = F.when(F.col("event_type") != "error", F.col("value"))
     kind = F.when(F.col("event_type") != "error", F.col("event_type"))
-    return load(spark, sf, "events").select("event_id", sc.na_text(value, scale=2).alias("value_text"),
+    text = load(spark, sf, "events").select("event_id", sc.na_text(value).alias("t"),
                                             sc.na_text(kind, numeric=False).alias("kind_text"))
+    return text.select("event_id", *back("t", "value"), "kind_text")
 
 
 # --- traces ----------------------------------------------------------------------------------------
@@ -264,7 +289,7 @@ def mass_error_score(spark, sf):
 def median_error_filter(spark, sf):
     rows = _cells(spark, sf).withColumn("similarity", F.lit(None).cast("double"))
     table = selection.fragment_quartiles(rows)
-    return selection.high_error(table, PARAMS.mass_error_cutoff).join(table, [ANALYTE, FRAGMENT]).select(
+    return table.filter(F.col("median_error") >= PARAMS.mass_error_cutoff).select(
         ANALYTE, FRAGMENT, r6("median_error"))
 
 
@@ -335,9 +360,8 @@ def score_replicates(spark, sf):
 
 
 def score_transitions(spark, sf):
-    traces = tb.stored_export(spark, sf)
-    _, rows = _initial_rows(traces)
-    return scoring.score_transitions(rows, traces).select(*CELL, r6("similarity"))
+    _, rows = _initial_rows(tb.stored_export(spark, sf))
+    return scoring.score_transitions(rows).select(*CELL, r6("similarity"))
 
 
 def fragment_classifier(spark, sf):
@@ -403,15 +427,15 @@ def _glossaries(rows):
 
 def report_boundaries(spark, sf):
     rows = tb.stored_export(spark, sf)
-    limits = rows.select("MinStartTime", "MaxEndTime", REP, ANALYTE).distinct()
-    return reports.report_boundaries(limits, *_glossaries(rows))
+    limits = rf.refine_global(rows, PARAMS).boundaries
+    table = reports.report_boundaries(limits, *_glossaries(rows))
+    return table.select("FileName", "PeptideModifiedSequence", *back("MinStartTime", "start"),
+                        *back("MaxEndTime", "end"), "PrecursorCharge", "PrecursorIsDecoy")
 
 
 def report_transitions(spark, sf):
     rows = tb.stored_export(spark, sf)
-    cells = ce.usable_cells(materialise(ce.build_cells(rows, PARAMS), "cells"))
-    table = selection.fragment_quartiles(cells.withColumn("similarity", F.lit(None).cast("double")))
-    kept = table.filter(F.col("median_error") < PARAMS.mass_error_cutoff)
+    kept = rf.refine_transitions(rf.prepare(rows, PARAMS), PARAMS).transitions
     return reports.report_transitions(kept, gl.glossary(rows, "locator"))
 
 
@@ -420,8 +444,8 @@ META = ["ProteinName", "PeptideModifiedSequence", "PrecursorCharge", "IsDecoy",
 
 def report_replicates(spark, sf):
     traces = tb.stored_export(spark, sf)
-    _, rows = _initial_rows(traces)
-    table = reports.report_replicates(scoring.score_replicates(rows), *_glossaries(traces))
+    scores = rf.refine_transitions(rf.prepare(traces, PARAMS), PARAMS).replicates
+    table = reports.report_replicates(scores, *_glossaries(traces))
     return table.select(*RUN, "Comment", *META, *[r6(name) for name in [*SCORES, "Skor"]])
 
 
@@ -434,8 +458,63 @@ def report_rescore(spark, sf):
 def report_annotations(spark, sf):
     traces = tb.stored_export(spark, sf)
     table = reports.report_annotations(rf.refine_global(traces, PARAMS).rescore, *_glossaries(traces),
-                                       gl.glossary(traces, "precursor"), as_text=False)
-    return table.select("ElementLocator", *[r6(name) for name in table.columns if name != "ElementLocator"])
+                                       gl.glossary(traces, "precursor"))
+    return _annotation_values(table)
+
+
+def _annotation_values(table):
+    """The text form of the report as numbers again."""
+    return table.select("ElementLocator", *[r6(F.col(name).try_cast("double"), name)
+                                            for name in table.columns if name != "ElementLocator"])
+
+
+def run_account(spark, sf):
+    """Every run once, rescored or with a reason; duplicates, missing labels and silent runs included."""
+    rows = tb.stored_export(spark, sf)
+    odd = rows.filter((F.col(LABEL) == "F") & (F.substring(ANALYTE, 1, 1) < "8"))
+    nameless = odd.withColumn(LABEL, F.lit(None).cast("string"))
+    silent = odd.withColumns({LABEL: F.lit("silent"), "intens": F.transform("intens", lambda _: F.lit(0.0))})
+    ragged = odd.withColumns({LABEL: F.lit("ragged"), "mass_err": F.slice("mass_err", 1, 5)})
+    clash = odd.withColumn(LABEL, F.lit("clash"))
+    clash = clash.unionByName(clash.withColumn("Area", F.col("Area") + 1))
+    every = rows.unionByName(odd)
+    for part in (nameless, silent, ragged, clash):
+        every = every.unionByName(part)
+    account = rf.refine_global(materialise(every, "odd-export"), PARAMS).account
+    return account.groupBy(*RUN).agg(
+        F.count("*").alias("times"), F.min(F.col("reason").isNotNull()).alias("told"),
+        F.min(F.when(F.col(LABEL).isin("ragged", "clash"), F.col("reason"))).alias("reason"))
+
+
+def file_to_report(spark, sf):
+    """From the export file to the annotation report: ids, dataset, refinement, result files of all four
+    kinds, the five report files, read back."""
+    rows = ks.add_ids(export.with_traces(export.read_export(spark, _written_export(spark, sf, "export"))),
+                      PARAMS.n_groups)
+    gl.check_ids(rows)
+    path, out = new_path(spark, "indexed"), new_path(spark, "results")
+    dataset.write_indexed(rows, path)
+    traces = dataset.read_partition(spark, path, rows.schema)
+    done = rf.refine_global(traces, PARAMS)
+    for kind, table in (("PeakBoundaries", done.boundaries), ("Transitions", done.transitions),
+                        ("Replicate", done.replicates), ("ReScore", done.rescore)):
+        results.write_results(table, out, kind)
+    read = lambda kind: results.read_results(spark, out, kind)
+    names, analytes = _glossaries(traces), gl.glossary(traces, "analyte")
+    files = new_path(spark, "reports")
+    for name, table in (
+            ("boundaries", reports.report_boundaries(read("PeakBoundaries"), *names)),
+            ("transitions", reports.report_transitions(read("Transitions"), gl.glossary(traces, "locator"))),
+            ("replicates", reports.report_replicates(read("Replicate"), *names)),
+            ("rescore", reports.report_rescore(read("ReScore"), *names)),
+            ("annotations", reports.report_annotations(read("ReScore"), *names, gl.glossary(traces, "precursor")))):
+        results.write_report(table, files, name, analytes)
+    back_ = lambda name: spark.read.option("header", True).csv(f"{files}/{name}")
+    complete = back_("completed_analytes").agg(F.count("*").alias("n_completed"))
+    kept = back_("transitions").agg(F.count_if(F.col("Quantitative") == "true").alias("n_kept"))
+    one = complete.withColumn("_one", F.lit(1)).join(kept.withColumn("_one", F.lit(1)), "_one")
+    return (_annotation_values(back_("annotations")).withColumn("_one", F.lit(1))
+            .join(one, "_one", "left").drop("_one"))
 
 
 # --- streaming -------------------------------------------------------------------------------------
@@ -460,14 +539,16 @@ QUERIES: dict[str, Query] = {
     "add_ids": add_ids,
     "prefix_bucket": prefix_bucket,
     "run_label_roundtrip": run_label_roundtrip,
-    "fingerprint": content_fingerprint,
-    "file_fingerprint": file_fingerprint,
     **{f"glossary_{kind}": glossary_query(kind) for kind in GLOSSARIES},
     "glossary_merge": glossary_merge,
     "id_collisions": id_collisions,
     "csv_roundtrip": csv_roundtrip,
+    "csv_quotes": csv_quotes,
     "parquet_roundtrip": parquet_roundtrip,
     "partition_write": partition_write,
+    "layout_analyte": _layout(ANALYTE),
+    "layout_group_analyte": _layout(GROUP, ANALYTE),
+    "analyte_csv_export": analyte_csv_export,
     "partition_read": partition_read,
     "partition_csv_export": partition_csv_export,
     "results_read": results_read,
@@ -511,6 +592,8 @@ QUERIES: dict[str, Query] = {
     "report_replicates": report_replicates,
     "report_rescore": report_rescore,
     "report_annotations": report_annotations,
+    "run_account": run_account,
+    "file_to_report": file_to_report,
     "stream_ingest": stream_ingest,
     "stream_glossary": stream_glossary,
 }
