@@ -19,12 +19,8 @@ first; rows that share a doc_id follow one another, ordered by their text; an em
 
 from __future__ import annotations
 
-import re
 import struct
-import sys
-from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -36,60 +32,119 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from peakloom.llm.common import new_folder, open_file, parts, write_file
+from peakloom.llm.pieces import Store, distinct, lay_out, slices, texts_of
 from peakloom.session import materialise
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 #: Plain bytes of a frame at least; a document is never split.
 FRAME = 1 << 18
-#: Words a worker remembers: the last full store and the one being filled.
-STORE = 80_000
+#: Pieces a worker remembers at most.
+STORE = 1_000_000
+#: Bytes of text encoded at a time.
+SLICE = 4 << 20
 _DOC = np.dtype([("doc_id", "<i8"), ("given", "<i8"), ("start", "<i8"), ("count", "<i8")])
 _SEEK = np.dtype([("packed", "<u4"), ("plain", "<u4"), ("check", "<u4")])
 _TABLE, _END, _MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
-#: A space next to other white space takes part in its piece; only lone spaces are safe cuts.
-_OTHER = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: White space other than the space itself and the line feed, in ASCII.
+_ODD = np.zeros(256, bool)
+_ODD[[9, 11, 12, 13, 28, 29, 30, 31]] = True
+_LETTER, _STOP = np.zeros((2, 256), bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_STOP[list(b".,;:!?")] = True
+
+
+def _odd_space(data: np.ndarray) -> np.ndarray:
+    """Places of white space other than space and line feed, in UTF-8."""
+    found = [np.flatnonzero(_ODD[data])]
+    lead = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    if len(lead):
+        padded = np.concatenate([data, np.zeros(2, np.uint8)])
+        a, b, c = padded[lead], padded[lead + 1], padded[lead + 2]
+        hit = ((a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) & (c == 0x80)
+               | (a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+               | (a == 0xE2) & (b == 0x81) & (c == 0x9F) | (a == 0xE3) & (b == 0x80) & (c == 0x80))
+        found.append(lead[hit])
+    return np.concatenate(found)
 
 
 class Encoder:
-    """Whole texts to ids. A single space begins a piece, so the text may be cut before it and recurring
-    words are encoded once; texts with other runs of white space go to the tokenizer whole."""
+    """Whole texts to ids. A space or line feed between two visible characters begins a piece of the
+    tokenizer, so does a stop after a letter: the text may be cut there and recurring pieces are encoded once,
+    in a batch and, as long as the store holds them, after it. Texts with other white space stay whole. Many pieces go to the tokenizer as lines of one text: a line feed is a piece too."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        if sys.byteorder == "big":
-            return [np.array(x.ids, "<u4").tobytes() for x in found]
-        return [array("I", x.ids).tobytes() for x in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        words: list[list[str] | None] = []
-        for text in texts:
-            lone = not ("  " in text or " \n" in text or "\n " in text or text.endswith(" ") or _OTHER.search(text))
-            words.append(text.split(" ") if lone else None)
-        # the stores hold words by their text without the space before them; a text's first word has none
-        new, old = self.new, self.old
-        missing = set(chain.from_iterable(line[1:] for line in words if line))
-        missing.difference_update(new)
-        for word in [w for w in missing if w in old]:
-            new[word] = old[word]
-            missing.discard(word)
-        lookup = list(missing)
-        for k in range(0, len(lookup), 4096):
-            new.update(zip(lookup[k:k + 4096], self._ids([" " + w for w in lookup[k:k + 4096]])))
-        whole = iter(self._ids([t if line is None else line[0] for t, line in zip(texts, words)]))
-        out = [ids if line is None else ids + b"".join(map(new.__getitem__, line[1:]))
-               for ids, line in zip(whole, words)]
-        if len(new) >= STORE:
-            self.new, self.old = {}, new
-        return out
+        self.feed, = self._ids("\n")
+        self.store = Store(STORE)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _lines(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, ids of each) of pieces without line feeds."""
+        ids = self._ids(b"\n".join(words).decode())
+        feeds = np.flatnonzero(ids == self.feed)
+        ends = np.append(feeds, len(ids))
+        return np.delete(ids, feeds), np.diff(ends, prepend=-1) - 1
+
+    def _pieces(self, words: list[bytes], alone: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of any pieces; those with inner white space or line feeds go alone."""
+        found, line = [], []
+        for word, apart in zip(words, alone):
+            if apart or len(line) == 4096:
+                found += [self._lines(line)] if line else []
+                line = []
+            if apart:
+                ids = self._ids(word.decode())
+                found.append((ids, np.array([len(ids)])))
+            else:
+                line.append(word)
+        found += [self._lines(line)] if line else []
+        if not found:
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+
+    @staticmethod
+    def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where pieces begin, in ascending order, the begin of every non-empty text among them; and whether
+        each is to be encoded alone."""
+        space, feed = data == 32, data == 10
+        blank = space | feed
+        near = np.append(blank[:-1] & blank[1:], False)
+        last = offsets[1:][offsets[:-1] < offsets[1:]] - 1
+        odd = np.concatenate([np.flatnonzero(near), last[blank[last]], _odd_space(data)])
+        whole = np.zeros(len(offsets), bool)
+        whole[np.searchsorted(offsets, odd, "right") - 1] = True
+        cut = blank.copy()
+        cut[1:] |= feed[:-1] | _LETTER[data[:-1]] & _STOP[data[1:]]
+        for k in np.flatnonzero(whole).tolist():
+            cut[offsets[k]:offsets[k + 1]] = False
+        cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        starts = np.flatnonzero(cut)
+        return starts, whole[np.searchsorted(offsets, starts, "right") - 1] | (data[starts] == 10)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, n + 1 offsets) of texts given as bytes and offsets."""
+        if not len(data):
+            return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
+        starts, alone = self.cuts(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        one, which, codes, checks = distinct(data, starts, ends)
+        known, at = self.store.find(codes, checks)
+        raw, new = data.tobytes(), np.flatnonzero(~known)
+        flat, length = self._pieces([raw[a:b] for a, b in zip(starts[one[new]].tolist(), ends[one[new]].tolist())],
+                                    alone[one[new]].tolist())
+        begins, lengths = np.empty(len(one), np.int64), np.empty(len(one), np.int64)
+        begins[known], lengths[known] = self.store.begin[at[known]], self.store.length[at[known]]
+        begins[new], lengths[new] = np.cumsum(length) - length + len(self.store.flat), length
+        ids, places = lay_out(np.concatenate([self.store.flat, flat]), begins, lengths, which)
+        order = np.argsort(codes[new], kind="stable")
+        moved, _ = lay_out(flat, np.cumsum(length) - length, length, order)
+        self.store.add(codes[new][order], checks[new][order], moved, length[order])
+        return ids, places[np.searchsorted(starts, offsets)]
 
 
 @lru_cache(maxsize=2)
@@ -182,13 +237,13 @@ def write_tokens(docs: DataFrame, folder: str | None = None, path: str | None =
         def documents():
             for batch in batches:
                 count["part"] = batch.column("_part")[0].as_py() if len(batch) else 0
-                for k in range(0, len(batch), 256):
-                    part = batch.slice(k, 256)
-                    texts = own.encode([t.as_py() or "" for t in part.column("_text")])
-                    for doc_id, ids in zip(part.column("_id").to_pylist(), texts):
+                for k, n in slices(batch.column("_text"), SLICE):
+                    part = batch.slice(k, n)
+                    ids, ends = own.encode(*texts_of(part.column("_text")))
+                    for doc_id, a, b in zip(part.column("_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
                         count["docs"] += 1
-                        count["ids"] += len(ids) // 4 + 1
-                        yield doc_id, ids + tail
+                        count["ids"] += b - a + 1
+                        yield doc_id, ids[a:b].tobytes() + tail
         rows = documents()
         head = next(rows, None)
         if head is None:
@@ -201,7 +256,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, path: str | None =
         yield pa.RecordBatch.from_arrays(
             [pa.array([count["part"]], pa.int64()), pa.array([file]), pa.array([count["docs"]], pa.int64()),
              pa.array([count["ids"]], pa.int64())], ["part", "file", "n_docs", "n_ids"])
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("_text"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
     ranged = rows.repartitionByRange(parts(docs), "_id").sortWithinPartitions("_id", "_text").withColumn(
         "_part", F.spark_partition_id().cast("bigint"))
     return materialise(ranged.mapInArrow(run, "part bigint, file string, n_docs bigint, n_ids bigint"), "manifest")
