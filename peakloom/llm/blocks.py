@@ -6,6 +6,7 @@ get short answers back by block, so texts are moved in compressed form and rarel
 
 from __future__ import annotations
 
+import struct
 import uuid
 
 import numpy as np
@@ -85,42 +86,56 @@ SCATTERED = "bucket bigint, block bigint, codes binary, flags binary"
 
 
 def shared_codes(scattered: DataFrame) -> DataFrame:
-    """(block, codes): the codes of each block that another block has too, or that are flagged there.
+    """(block, codes): per bucket of a block, its number and a bit per code sent: whether another block has
+    the code too, or the block flagged it itself. `shared_of` turns the bits back into codes.
 
     A block sends a code once, so a very frequent code costs one entry per block that has it.
     """
     def run(batches):
-        blocks, codes, flags, sizes = [], [], [], []
+        blocks, buckets, codes, flags = [], [], [], []
         for batch in batches:
-            for block, code, flag in zip(*(batch.column(k) for k in (1, 2, 3))):
+            for bucket, block, code, flag in zip(*(batch.column(k) for k in range(4))):
                 short = np.frombuffer(code.as_buffer(), np.uint8).reshape(-1, 6)
                 wide = np.zeros((len(short), 8), np.uint8)
                 wide[:, :6] = short
                 blocks.append(block.as_py())
+                buckets.append(bucket.as_py())
                 codes.append(wide.view(np.uint64).ravel())
                 flags.append(np.unpackbits(np.frombuffer(flag.as_buffer(), np.uint8), count=len(short)).astype(bool))
-                sizes.append(len(short))
         if not blocks:
             return
-        code, flag = np.concatenate(codes), np.concatenate(flags)
+        code = np.concatenate(codes)
         order = np.argsort(code)
         ordered = code[order]
         first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
         several = np.diff(np.append(np.flatnonzero(first), len(ordered))) > 1
         hit = np.empty(len(code), bool)
         hit[order] = several[np.cumsum(first) - 1]
-        # a code flagged in any block is found there; if others have it too, it is hit anyway
-        hit |= flag
-        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        hit |= np.concatenate(flags)
+        cuts = np.cumsum([0, *map(len, codes)])
         for k, block in enumerate(blocks):
-            here = code[cuts[k]:cuts[k + 1]][hit[cuts[k]:cuts[k + 1]]]
-            if len(here):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), pa.array([here.tobytes()], pa.binary())], ["block", "codes"])
+            bits = hit[cuts[k]:cuts[k + 1]]
+            if bits.any():
+                value = struct.pack("<I", buckets[k]) + np.packbits(bits).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([value], pa.binary())],
+                                                 ["block", "codes"])
     n = parts(scattered)
     return scattered.repartition(n, "bucket").mapInArrow(run, "block bigint, codes binary")
 
 
+def shared_of(distinct: np.ndarray, answers, buckets: int) -> np.ndarray:
+    """Those of a block's sorted distinct codes that the answers mark."""
+    place = (distinct % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(place, kind="stable")
+    cuts = np.searchsorted(place[order], np.arange(buckets + 1))
+    hit = np.zeros(len(distinct), bool)
+    for answer in answers:
+        value = answer.as_buffer().to_pybytes()
+        a, b = cuts[k := struct.unpack_from("<I", value)[0]], cuts[k + 1]
+        hit[a:b] = np.unpackbits(np.frombuffer(value, np.uint8, offset=4), count=b - a)
+    return np.sort(distinct[order[hit]])
+
+
 def gather(answers: DataFrame, value: str) -> DataFrame:
     """One row per block with the list of its answers, bounded by the block's own size."""
     return answers.groupBy("block").agg(F.collect_list(value).alias(value))

@@ -24,6 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -35,7 +36,7 @@ from peakloom.session import materialise
 LENGTH = 50
 GRAM = 16
 #: Bytes of passages that one transform holds at a time, unless one anchor alone has more.
-BATCH = 1 << 20
+BATCH = 1 << 19
 
 _RUN = np.dtype([("entry", "<u4"), ("start", "<u4"), ("end", "<u4"), ("doc", "<i8")])
 
@@ -87,10 +88,10 @@ def _send_anchors(packed: DataFrame, buckets: int) -> DataFrame:
     return packed.mapInArrow(run, bl.SCATTERED)
 
 
-def _passages(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, shared: np.ndarray):
+def _passages(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, answers, buckets: int):
     """The block's distinct passages (anchor, bytes), and where they occur: (passage, place, doc_id)."""
     starts, ends, codes = _anchors(data, offsets)
-    hit = np.isin(codes, shared)
+    hit = np.isin(codes, bl.shared_of(np.unique(codes), answers, buckets))
     starts, ends, codes = starts[hit], ends[hit], codes[hit]
     doc = ids[np.searchsorted(offsets, starts, "right") - 1] if len(starts) else np.empty(0, np.int64)
     raw, found, which = data.tobytes(), {}, np.empty(len(starts), np.int64)
@@ -106,8 +107,7 @@ def _send_passages(asked: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for block, rows, codes in zip(*(batch.column(c) for c in ("block", "rows", "codes"))):
                 _, ids, data, offsets = bl.unpack(rows)
-                shared = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in codes.values])
-                texts, anchor, which, _, doc = _passages(ids, data, offsets, shared)
+                texts, anchor, which, _, doc = _passages(ids, data, offsets, codes.values, buckets)
                 if not texts:
                     continue
                 least, most = np.full(len(texts), bl.NO_ID), np.full(len(texts), -bl.NO_ID - 1)
@@ -120,10 +120,12 @@ def _send_passages(asked: DataFrame, buckets: int) -> DataFrame:
                 groups = [order[cuts[k]:cuts[k + 1]] for k in some]
                 column = lambda values: pa.array([values[g].tobytes() for g in groups], pa.binary())
                 sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+                packer = zstandard.ZstdCompressor(level=1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(some), pa.array(np.full(len(some), block.as_py(), np.int64)),
                      column(np.arange(len(texts), dtype=np.uint32)), column(anchor), column(least), column(most),
-                     column(sizes), pa.array([b"".join(texts[i] for i in g) for g in groups], pa.binary())],
+                     column(sizes), pa.array([packer.compress(b"".join(texts[i] for i in g)) for g in groups],
+                                            pa.binary())],
                     ["bucket", "block", "entry", "anchor", "least", "most", "size", "bytes"])
     return asked.mapInArrow(
         run, "bucket bigint, block bigint, entry binary, anchor binary, least binary, most binary, size binary, "
@@ -150,7 +152,7 @@ def _owners(sent: DataFrame) -> DataFrame:
         for batch in batches:
             for row in zip(*(batch.column(k) for k in range(1, 8))):
                 size = np.frombuffer(row[5].as_buffer(), np.int64)
-                raw, ends = row[6].as_py(), np.cumsum(size)
+                raw, ends = zstandard.decompress(row[6].as_py()), np.cumsum(size)
                 texts += [raw[b - n:b] for n, b in zip(size.tolist(), ends.tolist())]
                 blocks.append(row[0].as_py())
                 sizes.append(len(size))
@@ -205,13 +207,12 @@ def _owners(sent: DataFrame) -> DataFrame:
     return sent.repartition(parts(sent), "bucket").mapInArrow(run, "block bigint, runs binary")
 
 
-def _removed(ids, data, offsets, codes, runs) -> np.ndarray:
+def _removed(ids, data, offsets, codes, runs, buckets: int) -> np.ndarray:
     """The block's bytes to remove."""
     edge = np.zeros(len(data) + 1, np.int32)
     if codes is not None and runs is not None:
-        shared = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in codes])
         run = np.concatenate([np.frombuffer(x.as_buffer(), _RUN) for x in runs])
-        _, _, which, place, doc = _passages(ids, data, offsets, shared)
+        _, _, which, place, doc = _passages(ids, data, offsets, codes, buckets)
         order = np.argsort(which, kind="stable")
         ordered = which[order]
         first, last = np.searchsorted(ordered, run["entry"], "left"), np.searchsorted(ordered, run["entry"], "right")
@@ -245,7 +246,7 @@ def deduplicate(docs: DataFrame, texts: bool = False) -> DataFrame:
         for batch in batches:
             for rows, code, found in zip(*(batch.column(c) for c in ("rows", "codes", "runs"))):
                 table, ids, data, offsets = bl.unpack(rows)
-                gone = _removed(ids, data, offsets, code.values, found.values)
+                gone = _removed(ids, data, offsets, code.values, found.values, buckets)
                 edge = gone & ~np.concatenate([[False], gone[:-1]])
                 starts = offsets[:-1][offsets[:-1] < offsets[1:]]
                 edge[starts] = gone[starts]
