@@ -13,7 +13,8 @@ import numpy as np
 
 
 def _order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix order by the first `depth` symbols at least (prefix doubling from 8)."""
+    """Suffix order by the first `depth` symbols at least: by 8 symbols, then by the ranks of two or, where
+    they fit into one number, three such stretches at a time."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     key = np.zeros(n, np.uint64)
@@ -27,17 +28,22 @@ def _order(text: np.ndarray, depth: int) -> np.ndarray:
         ordered = key[order]
         rank = np.empty(n, np.uint64)
         rank[order] = np.cumsum(np.concatenate([[True], ordered[1:] != ordered[:-1]]), dtype=np.uint64)
-        key = rank << np.uint64(32)
-        if length < n:
-            key[:n - length] |= rank[length:]
-        length *= 2
+        bits = max(int(n - 1).bit_length(), 1) + 1
+        times = 3 if 3 * bits <= 64 else 2
+        key = np.zeros(n, np.uint64)
+        for k in range(times):
+            key <<= np.uint64(bits)
+            if k * length < n:
+                key[:n - k * length] |= rank[k * length:]
+        length *= times
 
 
 def _rows(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All rows of the intervals, and for each the index of its interval."""
     sizes = high - low
-    owner = np.repeat(np.arange(len(low)), sizes)
-    return np.arange(len(owner)) + (low - np.cumsum(sizes) + sizes)[owner], owner
+    owner = np.repeat(np.arange(len(low), dtype=low.dtype), sizes)
+    ends = np.cumsum(sizes, dtype=low.dtype)
+    return np.arange(len(owner), dtype=low.dtype) + (low - ends + sizes)[owner], owner
 
 
 def equal_classes(text: np.ndarray, left: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,15 +56,16 @@ def equal_classes(text: np.ndarray, left: np.ndarray, length: int) -> tuple[np.n
     order = _order(text, length)
     last = text[order - 1]
     by_symbol = np.argsort(last, kind="stable")
-    step = np.empty(n, np.int64)  # backward extension of a single row
-    step[by_symbol] = np.arange(n)
+    kind = np.int32 if n < 1 << 31 else np.int64
+    step = np.empty(n, kind)  # backward extension of a single row
+    step[by_symbol] = np.arange(n, dtype=kind)
     same = last[by_symbol[1:]] == last[by_symbol[:-1]]
-    following, previous = np.full(n, n, np.int64), np.full(n, -1, np.int64)
+    following, previous = np.full(n, n, kind), np.full(n, -1, kind)
     following[by_symbol[:-1][same]] = by_symbol[1:][same]
     previous[by_symbol[1:][same]] = by_symbol[:-1][same]
     end = np.zeros(n + 1, bool)
     end[[0, n]] = True
-    low, high = np.array([0]), np.array([n])
+    low, high = np.array([0], kind), np.array([n], kind)
     for _ in range(length):
         rows, owner = _rows(low, high)
         real = last[rows] != 0

@@ -36,38 +36,47 @@ from peakloom.session import materialise
 LENGTH = 50
 GRAM = 16
 #: Bytes of passages that one transform holds at a time, unless one anchor alone has more.
-BATCH = 1 << 19
+BATCH = 1 << 17
 
 _RUN = np.dtype([("entry", "<u4"), ("start", "<u4"), ("end", "<u4"), ("doc", "<i8")])
 
 
-def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: (first window, end of windows, 48-bit anchor)."""
-    n = len(data)
-    if n < LENGTH:
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),)
-    padded = np.concatenate([data, np.zeros(16, np.uint8)])
-    octets = np.ndarray((n + 8,), "<u8", padded, 0, (1,))
-    codes = octets[:n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) + octets[8:n - GRAM + 9] * np.uint64(0xC2B2AE3D27D4EB4F)
+def _smallest(octets: np.ndarray) -> np.ndarray:
+    """Anchor of every window, from the 8-byte numbers that begin at each place of the text."""
+    codes = octets[:-8] * np.uint64(0x9E3779B97F4A7C15)
+    codes += octets[8:] * np.uint64(0xC2B2AE3D27D4EB4F)
     codes ^= codes >> np.uint64(32)
     codes *= np.uint64(0xD6E8FEB86659FD93)
     codes ^= codes >> np.uint64(29)
     codes >>= np.uint64(16)
-    width, done = LENGTH - GRAM + 1, 1
-    low = codes
+    width, done, low = LENGTH - GRAM + 1, 1, codes
     while done < width:
         step = min(done, width - done)
         low = np.minimum(low[:-step], low[step:])
         done += step
-    valid = np.zeros(len(low) + 1, bool)
-    for a, b in zip(offsets[:-1], offsets[1:]):
+    return low
+
+
+def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor: (first window, end of windows, 48-bit anchor)."""
+    n = len(data) - LENGTH + 1
+    if n < 1:
+        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),)
+    octets = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), 0, (1,))
+    low, chunk = np.empty(n, np.uint64), 1 << 14  # small arrays stay in the processor's cache
+    for k in range(0, n, chunk):
+        low[k:k + chunk] = _smallest(octets[k:k + chunk + LENGTH - 8])
+    valid = np.zeros(n + 1, bool)
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
         if b - a >= LENGTH:
             valid[a:b - LENGTH + 1] = True
-    here = valid[:-1]
-    change = np.concatenate([[True], low[1:] != low[:-1]])
-    begin = here & (change | ~np.concatenate([[False], here[:-1]]))
+    change = np.ones(n + 1, bool)
+    np.not_equal(low[1:], low[:-1], out=change[1:-1])
+    begin = change[:-1] & valid[:-1]
+    begin[1:] |= valid[1:-1] & ~valid[:-2]
+    stop = change[1:] & valid[:-1]
+    stop |= valid[:-1] & ~valid[1:]
     starts = np.flatnonzero(begin)
-    stop = here & (np.append(change[1:], True) | ~valid[1:])
     return starts, np.flatnonzero(stop) + 1, low[starts]
 
 
