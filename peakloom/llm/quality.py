@@ -103,7 +103,9 @@ def apply_policy(led: DataFrame, policy: str) -> DataFrame:
 def keep(docs: DataFrame, policy: str) -> DataFrame:
     """The rows of `docs` that pass, with their own columns only."""
     aside, back = masked(docs, "text")
-    return back(apply_policy(ledger(aside), policy).where("kept"))
+    # the row number keeps the filter above the measurements; pushed below, it would compute them again
+    led = apply_policy(ledger(aside), policy).withColumn("_row", F.monotonically_increasing_id())
+    return back(led.where(F.col("kept") & (F.col("_row") >= 0)))
 
 
 def ablations(led: DataFrame, policy: str) -> DataFrame:
