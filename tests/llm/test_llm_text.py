@@ -185,6 +185,27 @@ def test_fuzzy_passage_is_found_and_clean_text_left_alone(spark, empty):
     assert chaining.repeated_passages(empty).count() == 0
 
 
+def coded(words):
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    return chaining.word_codes(data, np.array([0, len(data)]))[0]
+
+
+def fresh(name, n):
+    return [f"{name}x{k}" for k in range(n)]
+
+
+def test_several_passages_of_one_pair():
+    one, two = fresh("p", 60), fresh("q", 60)
+    both = [(0, 60, 0, 60, 60), (120, 180, 60, 120, 60)]
+    assert chaining.passages(coded(one + fresh("n", 60) + two), coded(one + two)) == both
+    a, b = fresh("p", 50), fresh("q", 50)
+    for n in (40, 80, 115):
+        got = chaining.passages(coded(a + fresh("m", n) + b), coded(a + fresh("n", n) + b))
+        assert got == [(0, 50, 0, 50, 50), (50 + n, 100 + n, 50 + n, 100 + n, 50)]
+    got = chaining.passages(coded(one + two + fresh("n", 90) + two), coded(one + two))
+    assert got == [(0, 120, 0, 120, 120), (210, 270, 60, 120, 60)]
+
+
 def test_mix_reaches_its_targets(docs, empty):
     got = mixing.mix(docs)
     assert got.columns == [c for c in docs.columns if c != "size"] + mixing.OUT
