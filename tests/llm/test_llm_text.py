@@ -206,6 +206,23 @@ def test_several_passages_of_one_pair():
     assert got == [(0, 120, 0, 120, 120), (210, 270, 60, 120, 60)]
 
 
+def test_passages_of_texts_that_repeat_themselves():
+    line = fresh("l", 7)
+    assert chaining.passages(coded(line * 24), coded(line * 24)) == [(0, 168, 0, 168, 168)]
+    got = chaining.passages(coded(line * 24 + fresh("n", 9)), coded(fresh("m", 30) + line * 24))
+    assert got == [(0, 168, 30, 198, 168)]
+    passage = fresh("p", 50)
+    got = chaining.passages(coded(passage), coded(passage[:20] + fresh("n", 300) + passage))
+    assert got == [(0, 50, 320, 370, 50)]
+    for seed in range(20):
+        rng = random.Random(seed)
+        one, two = (coded([rng.choice("ab") for _ in range(60)]) for _ in range(2))
+        want = [(x, y, n - 4) for x in range(60) for y in range(60)
+                if not (x and y and one[x - 1] == two[y - 1])
+                and (n := next((k for k in range(60) if max(x, y) + k == 60 or one[x + k] != two[y + k]), 60)) > 4]
+        assert chaining.anchors(one, two).tolist() == [list(w) for w in want]
+
+
 def test_mix_reaches_its_targets(docs, empty):
     got = mixing.mix(docs)
     assert got.columns == [c for c in docs.columns if c != "size"] + mixing.OUT
