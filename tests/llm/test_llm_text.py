@@ -223,6 +223,21 @@ def test_passages_of_texts_that_repeat_themselves():
         assert chaining.anchors(one, two).tolist() == [list(w) for w in want]
 
 
+def test_evenly_edited_passages_are_found(spark):
+    rows, want, line = [], [], fresh("l", 7)
+    for k, (period, n) in enumerate([(6, 60), (6, 300), (7, 42), (10, 40)]):
+        one = fresh(f"p{k}", n)
+        two = [f"{w}!" if j % period == period - 1 else w for j, w in enumerate(one)]
+        rows += [(2 * k, " ".join(fresh(f"m{k}", 30) + one)), (2 * k + 1, " ".join(two + fresh(f"n{k}", 30)))]
+        end = n - (n % period == 0)
+        want.append((2 * k + 1, 2 * k, 0, end, 30, 30 + end, n - n // period))
+    rows += [(i, " ".join(line * 24)) for i in (100, 101)]
+    want.append((101, 100, 0, 168, 0, 168, 168))
+    want = [w for w in want if w[3] >= 40]
+    got = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == want
+
+
 def test_mix_reaches_its_targets(docs, empty):
     got = mixing.mix(docs)
     assert got.columns == [c for c in docs.columns if c != "size"] + mixing.OUT
