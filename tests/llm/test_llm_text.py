@@ -238,6 +238,27 @@ def test_evenly_edited_passages_are_found(spark):
     assert sorted(map(tuple, got)) == want
 
 
+def test_passage_whose_parts_belong_to_others(spark):
+    p = fresh("p", 60)
+    texts = [p[:34] + fresh("a", 40), fresh("b", 40) + p[29:], fresh("c", 20) + p, p + fresh("d", 20)]
+    rows = [(k + 1, " ".join(t)) for k, t in enumerate(texts)]
+    got = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [tuple(r) for r in got] == [(4, 3, 0, 60, 20, 80, 60)]
+    rng = random.Random(5)
+    lines = [fresh(f"l{k}", 12) for k in range(12)]
+    texts = [sum(rng.choices(lines, k=10), []) for _ in range(40)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    inside, first = [set() for _ in texts], {}
+    for k, t in enumerate(texts):
+        for a in range(len(t) - 39):
+            if first.setdefault(tuple(t[a:a + 40]), k) < k:
+                inside[k] |= set(range(a, a + 40))
+    got = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for r in got:
+        inside[r.doc_id] -= set(range(r.start_word, r.end_word))
+    assert got and not any(inside)
+
+
 def test_mix_reaches_its_targets(docs, empty):
     got = mixing.mix(docs)
     assert got.columns == [c for c in docs.columns if c != "size"] + mixing.OUT
