@@ -480,9 +480,12 @@ def run_account(spark, sf):
     every = rows.unionByName(odd)
     for part in (nameless, silent, ragged, clash):
         every = every.unionByName(part)
-    account = rf.refine_global(materialise(every, "odd-export"), PARAMS).account
-    return account.groupBy(*RUN).agg(
-        F.count("*").alias("times"), F.min(F.col("reason").isNotNull()).alias("told"),
+    done = rf.refine_global(materialise(every, "odd-export"), PARAMS)
+    scored = done.rescore.select(*RUN, F.lit(True).alias("_scored")).distinct()
+    # told: called rescored exactly if the run has rescored values
+    told = (F.col("reason") == rf.RESCORED) == F.coalesce("_scored", F.lit(False))
+    return done.account.join(scored, RUN, "left").groupBy(*RUN).agg(
+        F.count("*").alias("times"), F.min(F.coalesce(told, F.lit(False))).alias("told"),
         F.min(F.when(F.col(LABEL).isin("ragged", "clash"), F.col("reason"))).alias("reason"))
 
 

@@ -209,19 +209,23 @@ def refine_global(traces: DataFrame, params: RefineParams = RefineParams()) -> R
     """Transitions, boundaries, rescored values, and an account of every run of the input: `rescored`, or
     the reason why not. A missing label counts as a label of its own."""
     traces = traces.withColumn(LABEL, F.coalesce(LABEL, F.lit(NO_LABEL)))
+    runs = None
     if params.apply_prefilter:
+        runs = materialise(traces.select(*RUN).distinct(), "runs")
         traces = materialise(prefilter(traces, params), "filtered")
     prep = prepare(traces, params)
     selected = refine_transitions(prep, params)
     points = materialise(bd.summed_traces(traces, selected.transitions, prep.zones), "points")
     boundaries = materialise(bd.refine_boundaries(points, params.edge_fraction), "boundaries")
     scores, again = rescore(traces, selected.transitions, boundaries, params)
-    return Refined(selected, boundaries, scores, account(prep, again, selected.transitions, scores, params))
+    return Refined(selected, boundaries, scores, account(prep, again, selected.transitions, scores, params,
+                                                          runs))
 
 
 def account(prep: Prepared, again: Prepared, transitions: DataFrame, scores: DataFrame,
-            params: RefineParams) -> DataFrame:
-    """(run, reason) with one row per run of the input: `rescored`, or the first reason that holds."""
+            params: RefineParams, runs: DataFrame | None = None) -> DataFrame:
+    """(run, reason) with one row per run of the input: `rescored`, or the first reason that holds. `runs` are
+    those before the prefilter, if there was one; without rows after it a run is `prefiltered`."""
     def marked(runs: DataFrame, keys: list[str], name: str, reason: Column) -> DataFrame:
         return runs.select(*keys, reason.alias(name)).distinct()
 
@@ -232,7 +236,11 @@ def account(prep: Prepared, again: Prepared, transitions: DataFrame, scores: Dat
     after = marked(ce.quarantine(again.all_cells), RUN, "_after",
                    F.concat("reason", F.lit(" after the refinement")))
     done = marked(scores, RUN, "_done", F.lit(RESCORED))
-    rows = (prep.zones.select(*RUN).join(done, RUN, "left").join(before, RUN, "left")
+    zones = prep.zones.select(*RUN)
+    every = zones.withColumn("_gone", F.lit(None).cast("string"))
+    if runs is not None:
+        every = every.unionByName(marked(runs.join(zones, RUN, "left_anti"), RUN, "_gone", F.lit("prefiltered")))
+    rows = (every.join(done, RUN, "left").join(before, RUN, "left")
             .join(lost, ANALYTE, "left").join(after, RUN, "left"))
     return materialise(rows.select(*RUN, F.coalesce(
-        "_done", "_before", "_lost", "_after", F.lit("no kept fragment in the run")).alias("reason")), "account")
+        "_gone", "_done", "_before", "_lost", "_after", F.lit("no kept fragment in the run")).alias("reason")), "account")

@@ -113,3 +113,16 @@ def test_small_analytes_can_be_left_out(spark, traces):
     prep = rf.prepare(traces.filter(f"{ANALYTE} in ('a', 'c')"), PARAMS)
     chosen = rf.refine_transitions(prep, RefineParams(keep_small_analytes=False)).transitions
     assert "c" not in {r[ANALYTE] for r in chosen.collect()}
+
+
+def test_prefiltered_runs_are_in_the_account(spark):
+    rows = random_traces(spark, {"a": 5, "b": 6})
+    rows = (rows.withColumn("MinStartTime", F.when((F.col(ANALYTE) != "a") | (F.col(REP) != "r2"), F.col("MinStartTime")))
+            .withColumns({"FragmentIon": F.concat(F.lit("y1"), F.substring(FRAGMENT, 2, 2)), "ProductCharge": F.lit(1),
+                          "ProductMz": F.hash(FRAGMENT, LABEL).cast("double"), "ProteinName": F.lit("p"),
+                          "PeptideModifiedSequence": F.col(ANALYTE), "PrecursorCharge": F.lit(2), "IsDecoy": F.lit(False)}))
+    out = rf.refine_global(rows, RefineParams(apply_prefilter=True))
+    told = [(tuple(r[k] for k in RUN), r.reason) for r in out.account.collect()]
+    assert sorted(run for run, _ in told) == sorted(
+        (a, r, label) for a in "ab" for r in ("r1", "r2") for label in ("heavy", "light"))
+    assert {run for run, reason in told if reason == "prefiltered"} == {("a", "r2", "heavy"), ("a", "r2", "light")}
