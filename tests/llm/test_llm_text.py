@@ -204,6 +204,9 @@ def test_several_passages_of_one_pair():
         assert got == [(0, 50, 0, 50, 50), (50 + n, 100 + n, 50 + n, 100 + n, 50)]
     got = chaining.passages(coded(one + two + fresh("n", 90) + two), coded(one + two))
     assert got == [(0, 120, 0, 120, 120), (210, 270, 60, 120, 60)]
+    p = fresh("p", 130)
+    got = chaining.passages(coded(p), coded(p[80:] + fresh("n", 200) + p[:100]))
+    assert got == [(0, 100, 250, 350, 100), (80, 130, 0, 50, 50)]
 
 
 def test_passages_of_texts_that_repeat_themselves():
