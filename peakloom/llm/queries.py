@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import bpe, chaining, hnsw, mixing, quality, sharding, simhash, substrings, tokens, warc
+from peakloom.llm import (bestfit, bpe, chaining, hnsw, mixing, quality, sharding, simhash, skiplist, substrings,
+                          tokens, warc, whitening)
 from peakloom.llm.common import table
 from peakloom.llm.sql import ORACLE  # noqa: F401
 
@@ -58,7 +59,23 @@ def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_cholesky_jacobi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op12_skip_list_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = skiplist.restore(skiplist.transform(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_exact_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_frames, op2_quality_rules, op3_suffix_array_dedup, op4_extendible_sharding, op5_collinear_chaining,
     op6_fair_queue_mixing,
-    op7_forced_boundary_bpe, op8_hnsw_shards, op9_arc_to_warc, op10_simhash_tiles)}
+    op7_forced_boundary_bpe, op8_hnsw_shards, op9_arc_to_warc, op10_simhash_tiles,
+    op11_cholesky_jacobi, op12_skip_list_fim, op13_exact_complement_packing)}

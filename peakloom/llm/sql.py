@@ -88,5 +88,25 @@ f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN first <> page_id THEN first END AS refers_to FROM f"""
 
+FILL_IN = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                  sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS x FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS lines,
+             [CAST('0x' || substr(x, CAST(8 * k + 1 AS INT), 8) AS BIGINT) FOR k IN range(4)] AS h FROM d),
+c AS (SELECT *, len(lines) AS n, least(h[1] % (len(lines) + 1), h[2] % (len(lines) + 1)) AS a,
+             greatest(h[1] % (len(lines) + 1), h[2] % (len(lines) + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                  WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(lines[1:a], ''), '') AS prefix,
+             coalesce(array_to_string(lines[a + 1:b], ''), '') AS middle,
+             coalesce(array_to_string(lines[b + 1:n], ''), '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
 ORACLE = {"op2_quality_rules": QUALITY, "op3_suffix_array_dedup": SUBSTRINGS, "op4_extendible_sharding": SHARDING,
-          "op6_fair_queue_mixing": MIXING, "op9_arc_to_warc": ARCHIVES}
+          "op6_fair_queue_mixing": MIXING, "op9_arc_to_warc": ARCHIVES, "op12_skip_list_fim": FILL_IN}
