@@ -39,20 +39,44 @@ CAPACITY, END = 2048, 0
 PAIR_AT, TRIPLE_AT = 0.75, 0.5
 #: Words a worker remembers at most, and bytes of text encoded at a time.
 STORE, SLICE = 1_000_000, 4 << 20
+#: Words encoded at a time.
+JOINED = 4096
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
 class Encoder:
     """Whole texts to ids: the tokenizer drops white space and no token spans it, so words are encoded on
-    their own, and recurring ones once."""
+    their own, and recurring ones once. New words go to the tokenizer joined by a special token, which parts
+    them as white space does and can be found again; words beside one that holds its string go alone."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.mark, token = min(self.tokenizer.get_added_tokens_decoder().items())
+        self.token = token.content
         self.store = Store(STORE)
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, ids of each word)."""
+        flat, length = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+        for k in range(0, len(words), JOINED):
+            some = words[k:k + JOINED]
+            if any(self.token in word for word in some):
+                found = [self._ids(word) for word in some]
+                flat += found
+                length.append(np.fromiter(map(len, found), np.int64))
+                continue
+            ids = self._ids(self.token.join(some))
+            marks = np.flatnonzero(ids == self.mark)
+            flat.append(np.delete(ids, marks))
+            length.append(np.diff(marks, prepend=-1, append=len(ids)) - 1)
+        return np.concatenate(flat), np.concatenate(length)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, n + 1 offsets) of texts given as bytes and offsets."""
         visible = ~_BLANK[data]
@@ -69,9 +93,7 @@ class Encoder:
         known, at = self.store.find(codes, checks)
         raw, new = data.tobytes(), np.flatnonzero(~known)
         words = [raw[a:b].decode() for a, b in zip(starts[one[new]].tolist(), stops[one[new]].tolist())]
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        length = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), "<u4", int(length.sum()))
+        flat, length = self._words(words)
         first, lengths = np.empty(len(one), np.int64), np.empty(len(one), np.int64)
         first[known], lengths[known] = self.store.begin[at[known]], self.store.length[at[known]]
         first[new], lengths[new] = np.cumsum(length) - length + len(self.store.flat), length

@@ -191,6 +191,20 @@ def test_packing_holds_every_piece_once_and_few_sequences(spark):
     assert all(len(r.ids) == 4 * r.n_tokens for r in whole)
 
 
+def test_words_encode_as_the_whole_text_does():
+    rng = random.Random(0)
+    letters = "abcXYZ'’019 \n\t\x0b<|>éÉßİΣ日\u0301\x1c😀.,-$\u2003\u3000\xa0"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["<|startoftext|>x<|endoftext|> y", "<|startoftext|>", "a <|endoftext|>b", "ﬁ ǅ K Å", ""]
+    own = bestfit.Encoder(public_tokenizers.path(bestfit.VOCABULARY))
+    want = [x.ids for x in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for part in (slice(0, 2000), slice(1000, 3005), slice(3000, 3005), slice(3004, 3005)):
+        raw = [t.encode() for t in texts[part]]
+        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+        ids, ends = own.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == want[part]
+
+
 def test_a_long_text_is_cut_into_whole_sequences(spark):
     docs = spark.createDataFrame([(1, "alpha beta " * 100_000), (2, "one")], "doc_id long, text string")
     got = sorted(bestfit.pack(docs).collect(), key=lambda r: (r.doc_id, r.piece))
