@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from peakloom.schema import RESULTS
 
@@ -28,11 +27,3 @@ def write_report(df: DataFrame, path: str, name: str, glossary: DataFrame | None
     df.write.option("header", True).option("quote", "").option("emptyValue", "").csv(f"{path}/{name}")
     if glossary is not None:
         glossary.write.mode("overwrite").option("header", True).csv(f"{path}/completed_analytes")
-
-
-def file_fingerprint(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """First eight hex digits of each file's MD5. Files are hashed in parallel, one per task slot;
-    Spark refuses a single file above `spark.sql.sources.binaryFile.maxLength`."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"),
-                        F.substring(F.md5("content"), 1, 8).alias("fingerprint"))

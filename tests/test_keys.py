@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from peakloom.functions import keys as ks
 from peakloom.operators import glossary as gl
 from peakloom.schema import ANALYTE, FRAGMENT, GROUP, REP
-from peakloom.sources.fingerprint import fingerprint
 
 
 def one(spark, column):
@@ -56,11 +55,6 @@ def test_run_label(spark):
     assert [one(spark, parts[name]) for name in (REP, ANALYTE, "IsotopeLabelType")] == ["r1", "a b", "light"]
 
 
-def test_fingerprint_golden(spark):
-    df = spark.createDataFrame([(2, "c", "d"), (1, "a", "b")], "n int, x string, y string")
-    assert fingerprint(df, ["n"], ["x", "y"]).first()["fingerprint"] == "a457ba1e"
-
-
 def test_merge_and_collisions(spark):
     old = spark.createDataFrame([("1", "x"), ("2", "y")], "id string, name string")
     new = spark.createDataFrame([("2", "y"), ("2", "z")], "id string, name string")

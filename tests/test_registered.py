@@ -1,3 +1,5 @@
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -22,3 +24,20 @@ def test_every_sql_belongs_to_a_query():
 def test_query_equals_sql(spark, name):
     ok, note = compare(entry.queries()[name](spark, SF_DIR), duck(SF_DIR), entry.oracle_sql()[name])
     assert ok, note
+
+
+def test_the_rest_stands_without_the_optional_package():
+    """The entry and everything it registers import when the folders of the optional package are hidden."""
+    code = """
+import sys
+class Hidden:
+    def find_spec(self, name, path=None, target=None):
+        if name.split(".")[:2] == ["peakloom", "llm"]:
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+sys.meta_path.insert(0, Hidden())
+import __spark_entry__ as entry
+assert set(entry.queries()) == set(entry.QUERIES) and set(entry.oracle_sql()) == set(entry.ORACLE)
+"""
+    root = Path(__file__).resolve().parents[1]
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
