@@ -17,6 +17,7 @@ from peakloom.functions import traces as tr
 from peakloom.operators import boundaries as bd
 from peakloom.operators import cells as ce
 from peakloom.operators import glossary as gl
+from peakloom.operators import flip_search
 from peakloom.operators import prefilter as pf
 from peakloom.operators import reports, scoring, search, selection
 from peakloom.operators import similarity as si
@@ -377,13 +378,42 @@ def worst_n(spark, sf):
 
 
 def subset_search(spark, sf):
-    prep = rf.prepare(tb.stored_export(spark, sf), PARAMS)
-    everything = prep.cells.select(ANALYTE, FRAGMENT).distinct()
-    found = search.search_subsets(prep.grams, search.fragments_mask(everything, prep.fragments), PARAMS)
+    prep, rows = _initial_rows(tb.stored_export(spark, sf))
+    everything = selection.placed(selection.classify(rows, prep.library))
+    found = search.search_subsets(prep.grams, search.proposals(everything, prep.fragments), PARAMS)
+    names = search.mask_fragments(found, prep.fragments, "solution")
+    return names.join(found.select(ANALYTE, r6("fitness")), ANALYTE)
+
+
+def _wide(spark, sf, params):
+    prep = rf.prepare(tb.wide_export(spark, sf), params)
+    rows = materialise(rf.full_set_rows(prep, F.lit(cfg.STAGE_INITIAL)), "rows")
+    return prep, selection.placed(selection.classify(rows, prep.library))
+
+
+def wide_search(spark, sf):
+    """Up to 14 fragments, climbed from run matrices."""
+    prep, everything = _wide(spark, sf, PARAMS)
+    found = search.search_subsets(prep.grams, search.proposals(everything, prep.fragments), PARAMS)
     names = search.mask_fragments(found, prep.fragments, "solution")
     return names.join(found.select(ANALYTE, r6("fitness")), ANALYTE)
 
 
+def wide_search_long(spark, sf):
+    """The same in long form, as for analytes of any size."""
+    params = RefineParams(list_limit=0)
+    prep, everything = _wide(spark, sf, params)
+    starts = flip_search.starts(everything, None, params.min_fragments)
+    return flip_search.flip_search(prep.large, prep.refs, starts, params)
+
+
+def score_replicates_long(spark, sf):
+    """Replicate scores from long rows, as for analytes of any size."""
+    prep = rf.prepare(tb.stored_export(spark, sf), RefineParams(list_limit=0))
+    rows = materialise(rf.full_set_rows(prep, F.lit(cfg.STAGE_INITIAL)), "rows")
+    return _rounded(scoring.score_replicates(rows), [*RUN, "Comment"])
+
+
 def _selection(spark, sf):
     return rf.refine_transitions(rf.prepare(tb.stored_export(spark, sf), PARAMS), PARAMS)
 
@@ -584,6 +614,9 @@ QUERIES: dict[str, Query] = {
     "fragment_classifier": fragment_classifier,
     "worst_n": worst_n,
     "subset_search": subset_search,
+    "wide_search": wide_search,
+    "wide_search_long": wide_search_long,
+    "score_replicates_long": score_replicates_long,
     "refine_transitions": refine_transitions,
     "stage_union": stage_union,
     "peak_island": peak_island,

@@ -5,10 +5,11 @@ from __future__ import annotations
 RUN = "ID_Analyte, ID_Rep, IsotopeLabelType"
 FRAG = "ID_FragmentIon_charge"
 CELL = f"{RUN}, {FRAG}"
+PLACE = f"row_number() OVER (PARTITION BY ID_Analyte ORDER BY rank_similarity, Rank NULLS LAST, {FRAG})"
 
 # `ex`: one row per cell of the derived export. `pt`: one row per cell and point.
 EXPORT = """
-WITH cell AS (
+WITH RECURSIVE cell AS (
   SELECT l_partkey, l_returnflag, l_linestatus, l_linenumber,
          round(sum(l_extendedprice), 2) AS area, max(l_quantity) AS lib,
          round(avg(l_discount) * 140, 9) AS err,
@@ -51,6 +52,22 @@ pt AS MATERIALIZED (
   FROM ex, range(11) AS r(k))"""
 
 
+# The same from suppliers, with up to 14 fragments per analyte.
+WIDE = """
+WITH RECURSIVE wide AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS ID_Analyte, l_returnflag AS ID_Rep, l_linestatus AS IsotopeLabelType,
+         's' || lpad(CAST(l_linenumber * 2 + l_partkey % 2 AS VARCHAR), 2, '0') AS ID_FragmentIon_charge,
+         round(sum(l_extendedprice), 2) AS Area, max(l_quantity) AS LibraryIntensity, round(avg(l_discount) * 100, 9) AS err,
+         sum(l_orderkey) % 5 - 2 AS shift, sum(l_partkey) % 3 + 2 AS width
+  FROM lineitem GROUP BY 1, 2, 3, 4),
+pt AS MATERIALIZED (
+  SELECT ID_Analyte, ID_Rep, IsotopeLabelType, ID_FragmentIon_charge, CAST(10.2 AS DOUBLE) AS MinStartTime,
+         CAST(10.8 AS DOUBLE) AS MaxEndTime, Area, LibraryIntensity, k, round(10 + k * CAST(0.1 AS DOUBLE), 4) AS t,
+         greatest(CAST(0.0 AS DOUBLE), Area * (1 - CAST((k - 5 - shift) * (k - 5 - shift) AS DOUBLE) / (width * width))) AS y,
+         err AS e
+  FROM wide, range(11) AS r(k))"""
+
+
 def group_sql(key: str, n: int) -> str:
     """Equal-width bucket of the first two hex characters, order a-f then 0-9."""
     digit = lambda at: f"(instr('abcdef0123456789', substr({key}, {at}, 1)) - 1)"
@@ -135,14 +152,24 @@ def surviving(name: str, source: str, error_cut: bool) -> str:
          row_number() OVER (PARTITION BY ID_Analyte
            ORDER BY rank_similarity DESC, Rank DESC NULLS LAST, {FRAG}) AS nth FROM {source}),
 {name} AS MATERIALIZED (
-  SELECT ID_Analyte, {FRAG}, TRUE AS in_set FROM {name}_w
+  SELECT ID_Analyte, {FRAG}, TRUE AS in_set, {PLACE} AS place FROM {name}_w
   WHERE nth > greatest(0, least(floor(n * 0.25), n - 3)) {cut})"""
 
 
-def search(name: str, kept: str, s: str = "") -> str:
-    """All subsets of the kept fragments; `name`: the chosen fragments; `name_b`: the scores."""
+def placed(name: str, source: str) -> str:
+    """All fragments of a classification, by place."""
+    return f"""
+{name} AS MATERIALIZED (SELECT ID_Analyte, {FRAG}, TRUE AS in_set, {PLACE} AS place FROM {source})"""
+
+
+def search(name: str, kept: str, s: str = "", previous: str | None = None) -> str:
+    """The climb from all starts over the scores of the kept fragments' subsets; the first fragment is the highest
+    bit. `name`: the chosen fragments; `name_b`: their scores."""
+    was = f"""
+             UNION SELECT ID_Analyte, sum(1 << c) FROM {name}_c JOIN {previous} USING (ID_Analyte, {FRAG}) GROUP BY 1""" \
+        if previous else ""
     return f"""
-{name}_c AS (SELECT ID_Analyte, {FRAG}, row_number() OVER (PARTITION BY ID_Analyte ORDER BY {FRAG}) - 1 AS c,
+{name}_c AS (SELECT ID_Analyte, {FRAG}, place, row_number() OVER (PARTITION BY ID_Analyte ORDER BY {FRAG} DESC) - 1 AS c,
              count(*) OVER (PARTITION BY ID_Analyte) AS kk FROM {kept}),
 {name}_m AS (SELECT a.ID_Analyte, m FROM (SELECT DISTINCT ID_Analyte, kk FROM {name}_c) a, range(1, 128) AS r(m)
              WHERE m < (1 << kk) AND bit_count(m) >= least(3, kk)),
@@ -166,12 +193,69 @@ def search(name: str, kept: str, s: str = "") -> str:
 {name}_r AS (SELECT ID_Analyte, count(*) AS runs FROM (SELECT DISTINCT {RUN} FROM ce{s}) GROUP BY 1),
 {name}_s AS (SELECT ID_Analyte, m, round(coalesce(f, 0) / runs, 9) AS fitness
              FROM {name}_m JOIN {name}_r USING (ID_Analyte) LEFT JOIN {name}_f USING (ID_Analyte, m)),
-{name}_b AS MATERIALIZED (SELECT ID_Analyte, m, fitness FROM {name}_s
-             QUALIFY row_number() OVER (PARTITION BY ID_Analyte ORDER BY fitness DESC, bit_count(m) DESC, m) = 1),
+{name}_u AS MATERIALIZED (SELECT a.ID_Analyte, a.m, arg_max(b.m, (b.fitness, bit_count(b.m), b.m)) AS better
+             FROM {name}_s a JOIN {name}_s b ON a.ID_Analyte = b.ID_Analyte AND bit_count(xor(a.m, b.m)) = 1
+             AND b.fitness > a.fitness GROUP BY 1, 2),
+{name}_z AS (SELECT DISTINCT ID_Analyte, (1 << kk) - 1 AS m FROM {name}_c
+             UNION SELECT ID_Analyte, (1 << kk) - 1 - (1 << c) FROM {name}_c
+             UNION SELECT ID_Analyte, sum(1 << c) OVER (PARTITION BY ID_Analyte ORDER BY place) FROM {name}_c{was}),
+{name}_w AS (SELECT ID_Analyte, CAST(m AS BIGINT) AS m FROM {name}_z JOIN {name}_s USING (ID_Analyte, m)
+             UNION SELECT w.ID_Analyte, better FROM {name}_w w JOIN {name}_u USING (ID_Analyte, m)),
+{name}_b AS MATERIALIZED (SELECT ID_Analyte, m, fitness FROM {name}_w ANTI JOIN {name}_u USING (ID_Analyte, m)
+             JOIN {name}_s USING (ID_Analyte, m)
+             QUALIFY row_number() OVER (PARTITION BY ID_Analyte ORDER BY fitness DESC, bit_count(m) DESC, m DESC) = 1),
 {name} AS MATERIALIZED (SELECT ID_Analyte, {FRAG}, TRUE AS in_set, fitness FROM {name}_c
              JOIN {name}_b USING (ID_Analyte) WHERE (m >> c) & 1 = 1)"""
 
 
+def wide_search(name: str, kept: str) -> str:
+    """The same climb for any number of fragments: only the neighbours of subsets on the way are scored."""
+    def step(source: str) -> str:
+        return f"""
+  (WITH nb AS (SELECT ID_Analyte, m, CASE WHEN j < 0 THEN m ELSE xor(m, CAST(1 AS BIGINT) << j) END AS m2, kk FROM {source}
+       JOIN (SELECT ID_Analyte, any_value(kk) AS kk FROM {name}_c GROUP BY 1) USING (ID_Analyte), range(-1, 14) AS r(j)
+       WHERE j < kk),
+     ok AS (SELECT * FROM nb WHERE bit_count(m2) >= least(3, kk)),
+     ms AS (SELECT DISTINCT ID_Analyte, m2 FROM ok),
+     p AS (SELECT {RUN}, m2, sum(g) AS q, sum(gn) AS r FROM ms JOIN {name}_g USING (ID_Analyte)
+       WHERE (m2 >> c) & 1 = 1 AND (m2 >> d) & 1 = 1 GROUP BY {RUN}, m2),
+     l AS (SELECT {RUN}, m2, count(*) AS n, sum(e) AS e, sum(aa) AS aa, sum(al) AS al, sum(ll) AS ll, sum(ap) AS ap,
+       sum(pp) AS pp FROM ms JOIN {name}_l USING (ID_Analyte) WHERE (m2 >> c) & 1 = 1 GROUP BY {RUN}, m2),
+     f AS (SELECT ID_Analyte, m2, sum(CASE WHEN q > 0 AND aa * ll > 0 AND aa * pp > 0 THEN
+       pow(least(1.0, r / (n * sqrt(q))), 9.5) * pow(least(1.0, al / sqrt(aa * ll)), 4.5)
+       * pow(e / n, 2.5) * pow(least(1.0, ap / sqrt(aa * pp)), 0.5) ELSE 0 END) AS f
+       FROM l JOIN p USING ({RUN}, m2) GROUP BY 1, 2),
+     s AS (SELECT ID_Analyte, m, m2, round(coalesce(f, 0) / runs, 9) AS fit FROM ok JOIN {name}_r USING (ID_Analyte)
+       LEFT JOIN f USING (ID_Analyte, m2)),
+     o AS (SELECT ID_Analyte, m, fit AS own FROM s WHERE m = m2)
+   SELECT ID_Analyte, m, own, arg_max(m2, (fit, bit_count(m2), m2)) FILTER (fit > own) AS better
+   FROM s JOIN o USING (ID_Analyte, m) GROUP BY 1, 2, 3)"""
+    return f"""
+{name}_c AS MATERIALIZED (SELECT ID_Analyte, {FRAG}, place, row_number() OVER (PARTITION BY ID_Analyte ORDER BY {FRAG} DESC) - 1 AS c,
+             count(*) OVER (PARTITION BY ID_Analyte) AS kk FROM {kept}),
+{name}_x AS (SELECT x.*, c FROM cx x JOIN {name}_c USING (ID_Analyte, {FRAG})),
+{name}_h AS (SELECT a.ID_Analyte, a.ID_Rep, a.IsotopeLabelType, a.c, b.c AS d,
+             coalesce(sum(a.x * b.x), 0) AS g FROM {name}_x a JOIN {name}_x b USING ({RUN}, k) GROUP BY ALL),
+{name}_g AS MATERIALIZED (SELECT h.*, CASE WHEN own > 0 THEN g / sqrt(own) ELSE 0 END AS gn FROM {name}_h h
+             JOIN (SELECT {RUN}, c, g AS own FROM {name}_h WHERE c = d) USING ({RUN}, c)),
+{name}_l AS MATERIALIZED (SELECT {RUN}, c, coalesce(err_score, 0) AS e, Area * Area AS aa, coalesce(Area * lib, 0) AS al,
+             coalesce(lib * lib, 0) AS ll, Area * mean_area AS ap, mean_area * mean_area AS pp
+             FROM ce JOIN {name}_c USING (ID_Analyte, {FRAG}) LEFT JOIN lb USING (ID_Analyte, {FRAG})
+             JOIN pr USING (ID_Analyte, IsotopeLabelType, {FRAG})),
+{name}_r AS (SELECT ID_Analyte, count(*) AS runs FROM (SELECT DISTINCT {RUN} FROM ce) GROUP BY 1),
+{name}_z AS (SELECT ID_Analyte, CAST(m AS BIGINT) AS m FROM (
+             SELECT DISTINCT ID_Analyte, kk, (1 << kk) - 1 AS m FROM {name}_c
+             UNION SELECT ID_Analyte, kk, (1 << kk) - 1 - (1 << c) FROM {name}_c
+             UNION SELECT ID_Analyte, kk, sum(1 << c) OVER (PARTITION BY ID_Analyte ORDER BY place) FROM {name}_c)
+             WHERE bit_count(m) >= least(3, kk)),
+{name}_w AS ({step(f"{name}_z")}
+  UNION {step(f"(SELECT DISTINCT ID_Analyte, better AS m FROM {name}_w WHERE better IS NOT NULL)")}),
+{name}_b AS MATERIALIZED (SELECT ID_Analyte, m, own AS fitness FROM {name}_w WHERE better IS NULL
+             QUALIFY row_number() OVER (PARTITION BY ID_Analyte ORDER BY own DESC, bit_count(m) DESC, m DESC) = 1),
+{name} AS MATERIALIZED (SELECT ID_Analyte, {FRAG}, fitness FROM {name}_c JOIN {name}_b USING (ID_Analyte)
+             WHERE (m >> c) & 1 = 1)"""
+
+
 def subset(name: str, base: str, chosen: str) -> str:
     """Members of a stage: the base, marked by whether they were chosen."""
     return f"""
@@ -224,7 +308,7 @@ ra3 AS (SELECT * FROM ra WHERE ID_Analyte NOT IN {SMALL})""",
     classified("k1", "ra3"), surviving("kept1", "k1", True), search("sol1", "kept1"))
 PASS_2 = chain(
     PASS_1, subset("mc", "kept1", "sol1"), rows("rc", "mc", "'c-After 1st GA optimization'"),
-    classified("k2", "rc"), surviving("kept2", "k2", False), search("sol2", "kept2"),
+    classified("k2", "rc"), surviving("kept2", "k2", False), search("sol2", "kept2", previous="sol1"),
     f"""
 trans AS MATERIALIZED (SELECT ID_Analyte, {FRAG} FROM sol2
   UNION ALL SELECT ID_Analyte, {FRAG} FROM al WHERE ID_Analyte IN {SMALL})""")

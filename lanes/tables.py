@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peakloom.functions.keys import add_ids
+from peakloom.schema import ANALYTE, FRAGMENT, LABEL, REP
 from peakloom.session import materialise
 
 POINTS = 11
@@ -76,8 +77,28 @@ def export(spark: SparkSession, sf_dir: str, n_groups: int | None = 6) -> DataFr
     return add_ids(rows, n_groups)
 
 
-
-
 def stored_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived export as a written table, for queries that scan it several times."""
     return materialise(export(spark, sf_dir), "export")
+
+
+def wide_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traces of analytes with up to 14 fragments: a supplier's lines by line number and parity of the part."""
+    side = F.col("l_partkey") % 2
+    cells = load(spark, sf_dir, "lineitem").groupBy(
+        "l_suppkey", "l_returnflag", "l_linestatus", (F.col("l_linenumber") * 2 + side).alias("signal")).agg(
+        F.round(F.sum("l_extendedprice"), 2).alias("area"), F.max("l_quantity").alias("lib"),
+        F.round(F.avg("l_discount") * 100, 9).alias("err"), (F.sum("l_orderkey") % 5 - 2).alias("shift"),
+        (F.sum("l_partkey") % 3 + 2).alias("width"))
+    points = F.sequence(F.lit(0), F.lit(POINTS - 1))
+
+    def height(k: Column) -> Column:
+        off = k - 5 - F.col("shift")
+        return F.col("area") * (1 - (off * off) / (F.col("width") * F.col("width")))
+    return materialise(cells.select(
+        F.col("l_suppkey").cast("string").alias(ANALYTE), F.col("l_returnflag").alias(REP),
+        F.col("l_linestatus").alias(LABEL), F.format_string("s%02d", "signal").alias(FRAGMENT),
+        F.array(*[F.lit(round(10 + k * 0.1, 4)) for k in range(POINTS)]).alias("times"),
+        F.transform(points, height).alias("intens"), F.transform(points, lambda k: F.col("err") + k * 0).alias("mass_err"),
+        F.lit(10.2).alias("MinStartTime"), F.lit(10.8).alias("MaxEndTime"), F.col("area").alias("Area"),
+        F.col("lib").alias("LibraryIntensity")), "wide-export")

@@ -33,16 +33,18 @@ class RefineParams:
     apply_prefilter: bool = False
     drop_fraction: float = 0.25
     edge_fraction: float = 0.05
-    # Analytes with at most this many fragments are searched exhaustively; larger ones by rounds of
-    # single-fragment flips until none gains. At most 12: the subset table of one run has 2^n entries.
-    exhaustive_limit: int = 12
+    # The fragments of a run are put side by side in one row up to this many; beyond, every step works on
+    # long rows. The results are the same.
+    list_limit: int = 64
+    # So are analytes whose run matrices (runs times fragments squared) exceed this.
+    local_limit: int = 4_000_000
     # Groups with more rows than this get their quantiles from a bracketing sketch plus an exact finish.
     hot_group_rows: int = 1_000_000
 
     def __post_init__(self) -> None:
         if self.mass_error_cutoff <= self.mass_error_tolerance:
             raise ValueError("mass_error_cutoff must exceed mass_error_tolerance")
-        if not 1 <= self.exhaustive_limit <= 12:
-            raise ValueError("exhaustive_limit must lie in 1..12")
+        if self.list_limit < 0 or self.local_limit < 0:
+            raise ValueError("limits must not be negative")
         if not 1 <= self.n_groups <= 256:
             raise ValueError("n_groups must lie in 1..256")

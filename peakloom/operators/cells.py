@@ -14,14 +14,16 @@ from peakloom.session import materialise
 OK = "ok"
 
 
-def analyte_fragments(traces: DataFrame, limit: int) -> DataFrame:
-    """Per analyte: number of distinct fragments, and the sorted list of them while it has at most
-    `limit` entries (null beyond, so no long list is ever collected)."""
+def analyte_fragments(traces: DataFrame, runs: DataFrame, params: RefineParams) -> DataFrame:
+    """Per analyte: number of distinct fragments, and the sorted list of them while list and matrices of all
+    its runs stay small (null beyond, so no long list is ever collected). `runs` has a row per run."""
     pairs = traces.select(ANALYTE, FRAGMENT).distinct()
-    counts = pairs.groupBy(ANALYTE).agg(F.count("*").cast("int").alias("n_frag"))
-    short = (pairs.join(counts.filter(F.col("n_frag") <= limit), ANALYTE)
-             .groupBy(ANALYTE).agg(F.sort_array(F.collect_list(FRAGMENT)).alias("frags")))
-    return counts.join(short, ANALYTE, "left")
+    n = F.col("n_frag").cast("bigint")
+    counts = (pairs.groupBy(ANALYTE).agg(F.count("*").cast("int").alias("n_frag"))
+              .join(runs.groupBy(ANALYTE).agg(F.count("*").alias("n_runs")), ANALYTE))
+    small = counts.filter((n <= params.list_limit) & (F.col("n_runs") * n * n <= params.local_limit))
+    short = pairs.join(small, ANALYTE).groupBy(ANALYTE).agg(F.sort_array(F.collect_list(FRAGMENT)).alias("frags"))
+    return counts.drop("n_runs").join(short, ANALYTE, "left")
 
 
 def run_zones(traces: DataFrame, limits: DataFrame | None = None) -> DataFrame:
@@ -60,8 +62,8 @@ def build_cells(traces: DataFrame, params: RefineParams, zones: DataFrame | None
     The wide rows are shuffled once, on the run. Duplicate rows are dropped after the cut, on that
     same partitioning, when they are small.
     """
-    zones = ((run_zones(traces) if zones is None else zones).drop("times")
-             .join(analyte_fragments(traces, params.exhaustive_limit), ANALYTE))
+    zones = (run_zones(traces) if zones is None else zones).drop("times")
+    zones = zones.join(analyte_fragments(traces, zones, params), ANALYTE)
     rows = traces.select(*CELL, "intens", "mass_err", "Area", "LibraryIntensity").join(zones, RUN)
     clean = tr.clamp_nonneg(tr.nan_to_zero(F.col("intens")))
     usable = F.col("reason") == OK

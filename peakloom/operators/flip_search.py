@@ -1,12 +1,14 @@
-"""Subset search for analytes with many fragments: rounds of the best single flip.
+"""The subset search for analytes with very many fragments or runs, in long form.
 
 The mean similarity of a subset S in one run is (sum of unit traces) . (sum of traces) / (|S| |sum|),
 so a run keeps two summed traces, and trying a flip costs one pass over the flipped fragment's own
-points. Nothing is paired or collected; any number of fragments works.
+points. No traces are paired or collected. The rule is that of `search`, and so are the results.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,55 +40,102 @@ def _terms(rows: DataFrame) -> DataFrame:
         zero(p * p).alias("pp"))
 
 
-def _best_flips(cells: DataFrame, state: DataFrame, params: RefineParams) -> DataFrame:
-    """(analyte, fragment) of the flip with the largest gain, for the analytes that gain at all."""
+def starts(kept: DataFrame, previous: DataFrame | None, minimum: int) -> DataFrame:
+    """(analyte, start, fragment, in_set) for every start of the search: the full set, prefixes by place,
+    leave-one-outs and the previous solution. `kept` has analyte, fragment and place."""
+    rows = kept.select(ANALYTE, FRAGMENT, "place")
+    if previous is None:
+        rows = rows.withColumn("was", F.lit(False))
+    else:
+        marked = previous.select(ANALYTE, FRAGMENT).withColumn("_was", F.lit(True))
+        rows = rows.join(marked, [ANALYTE, FRAGMENT], "left").select(
+            ANALYTE, FRAGMENT, "place", F.coalesce("_was", F.lit(False)).alias("was"))
+    n, least = F.col("n"), F.least(F.lit(minimum).cast("bigint"), F.col("n"))
+    start = lambda kind, j: F.struct(F.lit(kind).alias("kind"), j.alias("j"))
+    none = F.array().cast("array<struct<kind:string,j:bigint>>")
+    listed = F.flatten(F.array(
+        F.array(start("full", F.lit(0).cast("bigint"))),
+        F.when(n > least, F.transform(F.sequence(least, n - 1), lambda j: start("prefix", j))).otherwise(none),
+        F.when(n > least, F.transform(F.sequence(F.lit(1).cast("bigint"), n), lambda j: start("without", j))).otherwise(none),
+        F.when(F.col("n_was") >= least, F.array(start("previous", F.lit(0).cast("bigint")))).otherwise(none)))
+    sizes = rows.groupBy(ANALYTE).agg(F.count("*").alias("n"), F.count_if("was").alias("n_was"))
+    each = sizes.select(ANALYTE, F.explode(listed).alias("s"))
+    kind, j = F.col("s.kind"), F.col("s.j")
+    inside = (F.when(kind == "prefix", F.col("place") <= j).when(kind == "without", F.col("place") != j)
+              .when(kind == "previous", F.col("was")).otherwise(F.lit(True)))
+    return rows.join(each, ANALYTE).select(ANALYTE, F.concat_ws("-", kind, j).alias("start"), FRAGMENT,
+                                           inside.alias("in_set"))
+
+
+def _moves(cells: DataFrame, runs: DataFrame, state: DataFrame, minimum: int) -> DataFrame:
+    """Per analyte and start: its score, its size, and the fragment of the best move if that scores higher.
+    `runs` has the number of runs per analyte."""
+    keys = [*RUN, "start"]
     run_sums = [F.sum(F.when(F.col("in_set"), F.col(name)).otherwise(0.0)).alias(f"s_{name}")
                 for name in _SUMS]
     rows = cells.join(state, [ANALYTE, FRAGMENT])
-    scalars = rows.groupBy(*RUN).agg(*run_sums)
+    scalars = rows.groupBy(*keys).agg(*run_sums)
     x = F.coalesce("value", F.lit(0.0))
-    points = rows.select(*RUN, FRAGMENT, "in_set", "norm", F.posexplode("x").alias("pos", "value"))
-    points = points.select(*RUN, FRAGMENT, "in_set", "pos", x.alias("x"),
+    points = rows.select(*keys, FRAGMENT, "in_set", "norm", F.posexplode("x").alias("pos", "value"))
+    points = points.select(*keys, FRAGMENT, "in_set", "pos", x.alias("x"),
                            F.coalesce(F.try_divide(x, F.col("norm")), F.lit(0.0)).alias("u"))
     chosen = F.col("in_set")
-    totals = points.groupBy(*RUN, "pos").agg(
+    totals = points.groupBy(*keys, "pos").agg(
         F.sum(F.when(chosen, F.col("x")).otherwise(0.0)).alias("sum_x"),
         F.sum(F.when(chosen, F.col("u")).otherwise(0.0)).alias("sum_u"))
-    current = (totals.groupBy(*RUN).agg(F.sum(F.col("sum_x") * F.col("sum_u")).alias("us"),
-                                        F.sum(F.col("sum_x") * F.col("sum_x")).alias("ss"))
-               .join(scalars, RUN)
+    current = (totals.groupBy(*keys).agg(F.sum(F.col("sum_x") * F.col("sum_u")).alias("us"),
+                                         F.sum(F.col("sum_x") * F.col("sum_x")).alias("ss"))
+               .join(scalars, keys)
                .withColumn("now", _fitness(F.col("us"), F.col("ss"),
                                            {name: F.col(f"s_{name}") for name in _SUMS})))
     sign = F.when(chosen, -1.0).otherwise(1.0)
     s_new, u_new = F.col("sum_x") + sign * F.col("x"), F.col("sum_u") + sign * F.col("u")
     # the points of the other fragments stay in the sums: only rows of the run's own grid matter
-    tried = points.join(totals, [*RUN, "pos"]).groupBy(*RUN, FRAGMENT).agg(
+    tried = points.join(totals, [*keys, "pos"]).groupBy(*keys, FRAGMENT).agg(
         F.sum(s_new * u_new).alias("us_new"), F.sum(s_new * s_new).alias("ss_new"))
-    flips = (rows.drop("x", "norm").join(tried, [*RUN, FRAGMENT]).join(current, RUN)
+    flips = (rows.drop("x", "norm").join(tried, [*keys, FRAGMENT]).join(current, keys)
              .withColumn("then", _fitness(F.col("us_new"), F.col("ss_new"),
                                           {name: F.col(f"s_{name}") + sign * F.col(name)
                                            for name in _SUMS})))
-    gains = flips.groupBy(ANALYTE, FRAGMENT, "in_set").agg(
-        F.round(F.sum(F.col("then") - F.col("now")), 9).alias("gain"))
-    sizes = state.groupBy(ANALYTE).agg(F.count_if("in_set").alias("size"))
-    allowed = ~chosen | (F.col("size") > params.min_fragments)
-    first = Window.partitionBy(ANALYTE).orderBy(F.col("gain").desc(), "in_set", FRAGMENT)
-    return (gains.filter("gain > 0").join(sizes, ANALYTE).filter(allowed)
-            .withColumn("at", F.row_number().over(first)).filter("at = 1")
-            .select(ANALYTE, FRAGMENT, F.lit(True).alias("flip")))
+    gains = flips.groupBy(ANALYTE, "start", FRAGMENT, "in_set").agg(
+        F.sum(F.col("then") - F.col("now")).alias("gain"))
+    sizes = state.groupBy(ANALYTE, "start").agg(F.count_if("in_set").alias("size"), F.count("*").alias("n"))
+    at_nine = lambda total: F.floor(total / F.col("runs") * 1e9 + 0.5)
+    scored = (sizes.join(runs, ANALYTE)
+              .join(current.groupBy(ANALYTE, "start").agg(F.sum("now").alias("total")), [ANALYTE, "start"], "left")
+              .withColumn("total", F.coalesce("total", F.lit(0.0))).withColumn("score", at_nine(F.col("total"))))
+    allowed = ~chosen | (F.col("size") > F.least(F.lit(minimum), F.col("n")))
+    better = (gains.join(scored, [ANALYTE, "start"]).filter(allowed)
+              .withColumn("then", at_nine(F.col("total") + F.col("gain"))).filter(F.col("then") > F.col("score")))
+    # the larger subset first, then the one that holds the first fragment in which they differ
+    first = Window.partitionBy(ANALYTE, "start").orderBy(
+        F.col("then").desc(), "in_set", F.when(~chosen, F.col(FRAGMENT)), F.when(chosen, F.col(FRAGMENT)).desc())
+    best = (better.withColumn("at", F.row_number().over(first)).filter("at = 1")
+            .select(ANALYTE, "start", F.col(FRAGMENT).alias("move")))
+    return scored.join(best, [ANALYTE, "start"], "left").select(ANALYTE, "start", "score", "size", "move")
 
 
 def flip_search(cells: DataFrame, refs: DataFrame, state: DataFrame, params: RefineParams) -> DataFrame:
-    """Improve `state` (analyte, fragment, in_set) until no flip gains; the fragments of the result are
-    those with `in_set`. Each flip raises the score by 1e-9 at least, so the rounds end. Every round is
-    written, so plans do not grow."""
+    """The search rule of `search` for analytes of any size: (analyte, fragment) of the best end. `state` has
+    the `starts`. Each move raises the score by 1e-9 at least, so the rounds end. All starts of all analytes
+    move together; those that have ended are read no more. Every round is written, so plans do not grow."""
+    runs = materialise(cells.select(*RUN).distinct().groupBy(ANALYTE).agg(F.count("*").alias("runs")), "flip-runs")
     cells = materialise(_terms(cells.join(refs, [ANALYTE, LABEL, FRAGMENT], "left")), "flip-cells")
-    state = materialise(state.select(ANALYTE, FRAGMENT, "in_set"), "flip-state")
+    state, ends = materialise(state, "flip-state"), []
     while True:
-        flips = materialise(_best_flips(cells, state, params), "flips")
-        if flips.isEmpty():
+        moves = materialise(_moves(cells, runs, state, params.min_fragments), "flip-moves")
+        rows = state.join(moves, [ANALYTE, "start"])
+        held = F.transform(F.sort_array(F.collect_list(F.struct(FRAGMENT, "in_set"))),
+                           lambda x: F.when(x["in_set"], "1").otherwise("0"))
+        ended = rows.filter(F.col("move").isNull())
+        ends.append((materialise(ended.groupBy(ANALYTE, "start", "score", "size").agg(
+            F.array_join(held, "").alias("mask")), "flip-ends"), ended))
+        moved = F.col("in_set") != (F.col(FRAGMENT) == F.col("move"))
+        state = materialise(rows.filter(F.col("move").isNotNull())
+                            .select(ANALYTE, "start", FRAGMENT, moved.alias("in_set")), "flip-state")
+        if state.isEmpty():
             break
-        flipped = F.col("in_set") != F.coalesce("flip", F.lit(False))
-        state = materialise(state.join(flips, [ANALYTE, FRAGMENT], "left")
-                            .select(ANALYTE, FRAGMENT, flipped.alias("in_set")), "flip-state")
-    return state
+    found = reduce(DataFrame.unionByName, [end for end, _ in ends])
+    best = found.groupBy(ANALYTE).agg(F.max_by("start", F.struct("score", "size", "mask", "start")).alias("start"))
+    every = reduce(DataFrame.unionByName, [rows.filter("in_set").select(ANALYTE, "start", FRAGMENT) for _, rows in ends])
+    return every.join(materialise(best, "flip-best"), [ANALYTE, "start"], "left_semi").select(ANALYTE, FRAGMENT)

@@ -1,4 +1,15 @@
-"""Search for the fragment subset with the best mean composite score over an analyte's runs."""
+"""Search for the fragment subset with the best mean composite score over an analyte's runs.
+
+One rule for every number of fragments and runs. The starts are the full set, the prefixes by rank, the full
+set without each one fragment, and the previous solution. From every start the subset moves to its best
+neighbour (one fragment more or less) while that scores higher; the best end wins. Scores are compared at nine
+decimals; ties go to the larger subset, then to the one that holds the first fragment in which they differ.
+Subsets have at least the minimum number of fragments, or all of them if fewer are left. Runs without any
+fragment of a subset count as zero.
+
+`search_subsets` climbs analyte by analyte from run matrices, where these are small (`RefineParams.list_limit`
+and `local_limit`); `flip_search` takes the same steps for the others without gathering anything.
+"""
 
 from __future__ import annotations
 
@@ -9,136 +20,143 @@ from pyspark.sql import functions as F
 
 from peakloom.config import SCORE_EXPONENTS, RefineParams
 from peakloom.functions.traces import bind
-from peakloom.schema import ANALYTE, FRAGMENT
+from peakloom.schema import ANALYTE, FRAGMENT, LABEL, REP
+
+TERMS = 7
+BEST = f"{ANALYTE} string, kept array<boolean>, solution array<boolean>, fitness double"
 
 
 def _zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
-def mask_codes(mask: Column, n: Column) -> Column:
-    """The codes 0..n-1 whose bit is set."""
-    return F.filter(F.sequence(F.lit(0), n - 1), lambda code: F.getbit(mask, code) == 1)
-
-
-def fragments_mask(kept: DataFrame, fragments: DataFrame) -> DataFrame:
-    """Per analyte: the bit set of its kept fragments. `fragments` has the sorted list `frags`."""
-    coded = kept.join(fragments.filter(F.col("frags").isNotNull()), ANALYTE).select(
-        ANALYTE, "n_frag", (F.array_position("frags", F.col(FRAGMENT)) - 1).cast("int").alias("code"))
-    return coded.groupBy(ANALYTE, "n_frag").agg(
-        F.sum(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("code"))).alias("kept"))
-
-
-TERMS = 7
-PARTIAL = f"{ANALYTE} string, kept bigint, k int, runs bigint, sums array<double>"
-
-
-def subset_sums(exponents: tuple[float, float, float, float] = SCORE_EXPONENTS):
-    """A `mapInArrow` function: per run, the composite score of each of the 2^k subsets of its k
-    fragments (entry 0 is the empty one), added up over neighbouring runs of one analyte.
-
-    Built-in array functions can express this but work element by element; one matrix product per
-    batch was over ten times faster at seven fragments. Nothing of this package is referenced inside,
-    so executors need only numpy and pyarrow.
+def proposals(kept: DataFrame, fragments: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    """Per analyte, arrays over its fragment codes: `place` (rank among the kept fragments, best first; null
+    where not kept) and `was`, the previous solution. `kept` has analyte, fragment and place; `fragments` the
+    sorted list `frags`; `previous` analyte and fragment."""
+    rows = kept.select(ANALYTE, FRAGMENT, "place")
+    if previous is None:
+        rows = rows.withColumn("was", F.lit(False))
+    else:
+        marked = previous.select(ANALYTE, FRAGMENT).withColumn("_was", F.lit(True))
+        rows = rows.join(marked, [ANALYTE, FRAGMENT], "left").select(
+            ANALYTE, FRAGMENT, "place", F.coalesce("_was", F.lit(False)).alias("was"))
+    coded = rows.join(fragments, ANALYTE).select(
+        ANALYTE, "n_frag", F.struct((F.array_position("frags", F.col(FRAGMENT)) - 1).cast("int"),
+                                    F.struct(F.col("place").cast("int").alias("place"), "was")).alias("entry"))
+    at = lambda name: F.transform(F.sequence(F.lit(0), F.col("n_frag") - 1),
+                                  lambda c: F.try_element_at("entries", c)[name])
+    return (coded.groupBy(ANALYTE, "n_frag").agg(F.map_from_entries(F.collect_list("entry")).alias("entries"))
+            .select(ANALYTE, "n_frag", at("place").alias("place"), at("was").alias("was")))
+
+
+def climber(minimum: int, exponents: tuple[float, float, float, float] = SCORE_EXPONENTS):
+    """A `mapInArrow` function over rows (analyte, place, was, g, t) sorted by analyte; one analyte is held at
+    a time. g and t are the inner products and additive terms of its kept fragments in one run.
+
+    Subsets are whole numbers, the first fragment in the highest bit, of any width. Nothing of this package is
+    referenced inside, so executors need only numpy and pyarrow.
     """
     terms, analyte_column = TERMS, ANALYTE
 
-    def composite(g, t, bits):
+    def totals(g, t, bits):
+        """Composite score of each subset, summed over the runs."""
         norms = np.sqrt(np.einsum("bii->bi", g))
         inverse = np.divide(1.0, norms, out=np.zeros_like(norms), where=norms > 0)
-        inside = bits @ g
-        q = np.einsum("bmi,mi->bm", inside, bits)
-        r = np.einsum("bmi,bi,mi->bm", inside, inverse, bits)
-        n, e, aa, al, ll, ap, pp = np.moveaxis(bits @ t, 2, 0)
-        with np.errstate(all="ignore"):
-            parts = (r / (n * np.sqrt(q)), al / np.sqrt(aa * ll), e / n, ap / np.sqrt(aa * pp))
-            product = 1.0
-            for part, exponent in zip(parts, exponents):
-                product = product * np.minimum(part, 1.0) ** exponent
-        return np.nan_to_num(product, nan=0.0, posinf=0.0)
-
-    def partial_sums(batches):
-        for batch in batches:
-            ids, kept = batch.column(0), batch.column(1).to_numpy()
-            sizes = batch.column(2).to_numpy()
-            codes = ids.dictionary_encode().indices.to_numpy()
-            g_all, t_all = (batch.column(c).flatten().to_numpy() for c in (3, 4))
-            g_start = np.concatenate([[0], np.cumsum(sizes.astype(np.int64) ** 2)])
-            t_start = np.concatenate([[0], np.cumsum(sizes.astype(np.int64) * terms)])
-            for k in np.unique(sizes):
-                k = int(k)
-                bits = ((np.arange(1 << k)[:, None] >> np.arange(k)) & 1).astype(float)
-                at = np.flatnonzero(sizes == k)
-                step = max(1, 2_000_000 // bits.size)
-                for rows in (at[i:i + step] for i in range(0, len(at), step)):
-                    g = g_all[g_start[rows][:, None] + np.arange(k * k)].reshape(-1, k, k)
-                    t = t_all[t_start[rows][:, None] + np.arange(k * terms)].reshape(-1, k, terms)
-                    new = np.ones(len(rows), dtype=bool)
-                    new[1:] = (np.diff(codes[rows]) != 0) | (np.diff(kept[rows]) != 0)
-                    first = np.flatnonzero(new)
-                    sums = np.add.reduceat(composite(g, t, bits), first, axis=0)
-                    runs = np.diff(np.append(first, len(rows)))
-                    offsets = np.arange(len(first) + 1, dtype=np.int32) * (1 << k)
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(rows[first])), pa.array(kept[rows[first]]),
-                         pa.array(np.full(len(first), k, dtype=np.int32)), pa.array(runs.astype(np.int64)),
-                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(sums.ravel()))],
-                        names=[analyte_column, "kept", "k", "runs", "sums"])
-
-    return partial_sums
-
-
-BEST = f"{ANALYTE} string, kept bigint, subset bigint, fitness double"
-
-
-def best_subsets(min_fragments: int):
-    """A `mapInArrow` function over sorted partial sums: adds the arrays of one analyte and picks its best
-    subset. One array is open at a time."""
-    analyte_column = ANALYTE
-
-    def pick(k, runs, sums):
-        subsets = np.arange(1, 1 << k)
-        bits = np.bitwise_count(subsets).astype(np.int64)
-        score = np.floor(sums[1:] / runs * 1e9 + 0.5).astype(np.int64)
-        # score at nine decimals, then size, then the lower mask
-        order = np.where(bits >= min(min_fragments, k), (score << 16) + (bits << 12) + 4095 - subsets, -1)
-        at = int(order.argmax())
-        return int(subsets[at]), float(score[at]) / 1e9
+        out = np.empty(len(bits))
+        step = max(1, 4_000_000 // g[:, 0].size)
+        for some in (slice(i, i + step) for i in range(0, len(bits), step)):
+            part = bits[some]
+            inside = part @ g
+            q = np.einsum("bmi,mi->bm", inside, part)
+            r = np.einsum("bmi,bi,mi->bm", inside, inverse, part)
+            n, e, aa, al, ll, ap, pp = np.moveaxis(part @ t, 2, 0)
+            with np.errstate(all="ignore"):
+                product = 1.0
+                for share, exponent in zip((r / (n * np.sqrt(q)), al / np.sqrt(aa * ll), e / n,
+                                            ap / np.sqrt(aa * pp)), exponents):
+                    product = product * np.minimum(share, 1.0) ** exponent
+            out[some] = np.nan_to_num(product, nan=0.0, posinf=0.0).sum(axis=0)
+        return out
+
+    def climb(g, t, places, was):
+        k = len(places)
+        least, wide = min(minimum, k), (k + 7) // 8
+        one = [1 << (k - 1 - c) for c in range(k)]
+        known: dict[int, int] = {}
+
+        def score(masks):
+            new = sorted({m for m in masks if m not in known})
+            if new:
+                raw = np.frombuffer(b"".join(m.to_bytes(wide, "big") for m in new), np.uint8).reshape(-1, wide)
+                bits = np.unpackbits(raw, axis=1)[:, 8 * wide - k:].astype(float)
+                known.update(zip(new, np.floor(totals(g, t, bits) / len(g) * 1e9 + 0.5).astype(np.int64).tolist()))
+
+        def key(mask):
+            return known[mask], mask.bit_count(), mask
+
+        full, prefix = (1 << k) - 1, 0
+        starts = {full, sum(bit for bit, held in zip(one, was) if held)}
+        for c in np.argsort(places).tolist():
+            prefix |= one[c]
+            starts |= {prefix, full ^ one[c]}
+        moving, seen, ends = {m for m in starts if m.bit_count() >= least}, set(), set()
+        while moving:
+            around = {m: [m ^ bit for bit in one if (m ^ bit).bit_count() >= least] for m in moving}
+            score([*moving, *(x for near in around.values() for x in near)])
+            seen |= moving
+            best = {m: max(near, key=key, default=m) for m, near in around.items()}
+            ends |= {m for m in moving if known[best[m]] <= known[m]}
+            moving = {best[m] for m in moving - ends} - seen
+        chosen = max(ends, key=key)
+        return [bool(chosen & bit) for bit in one], known[chosen] / 1e9
 
     def run(batches):
-        key, size, runs, sums, out = None, 0, 0, None, []
+        def finish(analyte, place, was, rows):
+            codes = [c for c, p in enumerate(place) if p is not None]
+            k = len(codes)
+            flat = np.concatenate([x for x, _ in rows]).reshape(-1, k, k)
+            side = np.concatenate([y for _, y in rows]).reshape(-1, k, terms)
+            held, fitness = climb(flat, side, [place[c] for c in codes], [was[c] for c in codes])
+            solution = [False] * len(place)
+            for c, inside in zip(codes, held):
+                solution[c] = inside
+            return analyte, [p is not None for p in place], solution, fitness
+
+        def batch_of(done):
+            flags = pa.list_(pa.bool_())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, kind) for x, kind in zip(zip(*done), (pa.string(), flags, flags, pa.float64()))],
+                names=[analyte_column, "kept", "solution", "fitness"])
+        now, rows, done = None, [], []
         for batch in batches:
-            ids, kept, sizes, counts = (batch.column(c).to_pylist() for c in range(4))
-            flat, ends = batch.column(4).flatten().to_numpy(), np.cumsum([0, *(1 << k for k in sizes)])
-            for row in range(len(batch)):
-                part = flat[ends[row]:ends[row + 1]]
-                if (ids[row], kept[row]) == key:
-                    runs, sums = runs + counts[row], sums + part
-                    continue
-                if key is not None:
-                    out.append((*key, *pick(size, runs, sums)))
-                key, size, runs, sums = (ids[row], kept[row]), sizes[row], counts[row], part
-        if key is not None:
-            out.append((*key, *pick(size, runs, sums)))
-        if out:
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)],
-                                             names=[analyte_column, "kept", "subset", "fitness"])
+            analytes, g, t = batch.column(0).to_pylist(), batch.column(3), batch.column(4)
+            for k, analyte in enumerate(analytes):
+                if now is None or analyte != now[0]:
+                    if now:
+                        done.append(finish(*now, rows))
+                    now, rows = (analyte, batch.column(1)[k].as_py(), batch.column(2)[k].as_py()), []
+                    if len(done) >= 4096:
+                        yield batch_of(done)
+                        done = []
+                rows.append((g[k].values.to_numpy(), t[k].values.to_numpy()))
+        if now:
+            done.append(finish(*now, rows))
+        if done:
+            yield batch_of(done)
 
     return run
 
 
-def search_subsets(grams: DataFrame, kept: DataFrame, params: RefineParams) -> DataFrame:
-    """Exhaustive search: (analyte, kept, solution, fitness), masks over the fragment codes.
+def search_subsets(grams: DataFrame, proposed: DataFrame, params: RefineParams) -> DataFrame:
+    """(analyte, kept, solution, fitness), flags over the fragment codes, from `gram_table` and `proposals`.
 
-    Every run scores all subsets of the kept fragments from its small matrix; the composite score is
-    averaged per analyte and subset. Runs without the subset count as zero. Ties at nine decimals go
-    to the larger subset, then to the lower mask. Subsets have at least the minimum number of
-    fragments, or all of them if fewer are left. The runs of an analyte lie together in `grams`, so
-    most sums are taken before the shuffle; a frequent analyte is spread over several tasks.
+    The rows are cut to the kept fragments before the only shuffle, on the analyte; `grams` holds analytes of
+    bounded size alone.
     """
-    rows = grams.join(kept.select(ANALYTE, "kept"), ANALYTE)
-    rows = rows.withColumn("codes", mask_codes(F.col("kept"), F.col("n_frag")))
+    rows = grams.join(proposed.select(ANALYTE, "place", "was"), ANALYTE)
+    codes = F.filter(F.sequence(F.lit(0), F.col("n_frag") - 1), lambda c: F.get("place", c).isNotNull())
+    rows = rows.withColumn("codes", codes)
 
     def terms(code: Column) -> Column:
         return bind(F.get("slots", code), lambda s: F.when(
@@ -149,23 +167,14 @@ def search_subsets(grams: DataFrame, kept: DataFrame, params: RefineParams) -> D
 
     matrix = F.transform("codes", lambda a: bind(F.get("gram", a), lambda row: F.transform(
         "codes", lambda b: F.get(row, b))))
-    partial = rows.select(ANALYTE, "kept", F.size("codes").alias("k"), F.flatten(matrix).alias("g"),
-                          F.flatten(F.transform("codes", terms)).alias("t"))
-    partials = partial.mapInArrow(subset_sums(), PARTIAL)
-    best = (partials.repartition(ANALYTE).sortWithinPartitions(ANALYTE, "kept")
-            .mapInArrow(best_subsets(params.min_fragments), BEST))
-    chosen = F.col("subset")
-    codes = mask_codes(F.col("kept"), F.lit(params.exhaustive_limit))
-    one = F.lit(1).cast("bigint")
-    spread = F.aggregate(
-        F.transform(codes, lambda c, i: F.when(
-            F.getbit(chosen, i) == 1, F.call_function("shiftleft", one, c)).otherwise(F.lit(0).cast("bigint"))),
-        F.lit(0).cast("bigint"), lambda acc, bit: acc + bit)
-    return best.select(ANALYTE, "kept", spread.alias("solution"), "fitness")
+    cut = rows.select(ANALYTE, "place", "was", F.flatten(matrix).alias("g"),
+                      F.flatten(F.transform("codes", terms)).alias("t"), REP, LABEL)
+    return (cut.repartition(ANALYTE).sortWithinPartitions(ANALYTE, REP, LABEL).drop(REP, LABEL)
+            .mapInArrow(climber(params.min_fragments), BEST))
 
 
 def mask_fragments(masks: DataFrame, fragments: DataFrame, mask: str) -> DataFrame:
-    """(analyte, fragment) rows of a mask column."""
-    listed = F.explode(F.filter("frags", lambda _, i: F.getbit(F.col(mask), i) == 1))
+    """(analyte, fragment) rows of a column of flags."""
+    listed = F.explode(F.filter("frags", lambda _, i: F.get(mask, i)))
     return (masks.select(ANALYTE, mask).join(fragments.select(ANALYTE, "frags"), ANALYTE)
             .select(ANALYTE, listed.alias(FRAGMENT)))

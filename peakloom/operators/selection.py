@@ -57,10 +57,17 @@ def high_error(classified: DataFrame, cutoff: float) -> DataFrame:
 
 
 def surviving(classified: DataFrame, params: RefineParams, error_cut: bool) -> DataFrame:
-    """(analyte, fragment) left after the worst ones and, if asked, those with a high median error
-    are removed. An analyte may lose all its fragments here; it then has no row."""
+    """(analyte, fragment, place) left after the worst ones and, if asked, those with a high median error
+    are removed; `place` counts from the best rank. An analyte may lose all its fragments here; it then has
+    no row."""
     marked = mark_worst(classified, params)
     drop = F.col("worst")
     if error_cut:
         drop = drop | F.coalesce(F.col("median_error") >= params.mass_error_cutoff, F.lit(False))
-    return marked.filter(~drop).select(ANALYTE, FRAGMENT)
+    return placed(marked.filter(~drop)).select(ANALYTE, FRAGMENT, "place")
+
+
+def placed(classified: DataFrame) -> DataFrame:
+    """Adds `place`: 1 for the best similarity rank, then the best library rank, then the first fragment."""
+    best_first = Window.partitionBy(ANALYTE).orderBy("rank_similarity", F.col("Rank").asc_nulls_last(), FRAGMENT)
+    return classified.withColumn("place", F.row_number().over(best_first))

@@ -52,8 +52,7 @@ def gram_table(cells: DataFrame, refs: DataFrame) -> DataFrame:
     traces. Rows are ordered by analyte over a range partitioning: the runs of an analyte lie
     together, so later per-analyte sums collapse before their shuffle, and a frequent analyte is
     still cut into several tasks. The rows are placed before the matrices are computed, because
-    range partitioning reads its input twice. At most as many fragments as the exhaustive limit are
-    gathered per run; runs with conflicting rows were left out before.
+    range partitioning reads its input twice. At most `list_limit` fragments are gathered per run; runs with conflicting rows were left out before.
     """
     short = cells.filter(F.col("code").isNotNull()).join(refs, [ANALYTE, LABEL, FRAGMENT], "left")
     cell = F.struct("code", F.col(FRAGMENT).alias("fragment"), "x", F.col("Area").alias("area"),
@@ -75,26 +74,26 @@ def gram_table(cells: DataFrame, refs: DataFrame) -> DataFrame:
 def subset_rows(grams: DataFrame, stages: DataFrame) -> DataFrame:
     """Long rows (run, Comment, fragment, similarity, ...) for every stage of every analyte.
 
-    `stages`: one row per analyte with `stages`, an array of (Comment, base, mask) where both masks
-    are bit sets over the analyte's fragment codes. Rows come for the fragments in `base`; their
+    `stages`: one row per analyte with `stages`, an array of (Comment, base, mask) where base and mask
+    are arrays of flags over the analyte's fragment codes. Rows come for the fragments in `base`; their
     similarity is taken to the summed trace of `mask`, and `in_set` tells membership in `mask`.
     """
     rows = grams.join(stages, ANALYTE).withColumn("stage", F.explode("stages"))
     mask = F.col("stage.mask")
     total = lambda terms: F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
     masked = lambda values: F.transform(
-        values, lambda v, c: F.when(F.getbit(mask, c) == 1, v).otherwise(F.lit(0.0)))
+        values, lambda v, c: F.when(F.get(mask, c), v).otherwise(F.lit(0.0)))
     rows = (rows.withColumn("dots", F.transform("gram", lambda row: total(masked(row))))
             .withColumn("norm", total(masked(F.col("dots"))))
             .select(*RUN, "stage", "gram", "dots", "norm", F.posexplode("slots").alias("code", "slot")))
     code = F.col("code")
     own = F.get(F.get("gram", code), code)
     score = cosine(F.get("dots", code), own, F.col("norm"))
-    return (rows.filter(F.col("slot").isNotNull() & (F.getbit("stage.base", code) == 1))
+    return (rows.filter(F.col("slot").isNotNull() & F.get("stage.base", code))
             .select(*RUN, F.col("stage.Comment").alias("Comment"), F.col("slot.fragment").alias(FRAGMENT),
                     "code", score.alias("similarity"), F.col("slot.area").alias("Area"), "slot.lib",
                     "slot.mean_area", "slot.mean_err", "slot.err_score",
-                    (F.getbit(mask, code) == 1).alias("in_set")))
+                    F.get(mask, code).alias("in_set")))
 
 
 def subset_rows_long(cells: DataFrame, refs: DataFrame, members: DataFrame) -> DataFrame:

@@ -17,8 +17,7 @@ from peakloom import config as cfg
 from peakloom.config import RefineParams
 from peakloom.operators import boundaries as bd
 from peakloom.operators import cells as ce
-from peakloom.operators import scoring, search, selection
-from peakloom.operators.flip_search import flip_search
+from peakloom.operators import flip_search, scoring, search, selection
 from peakloom.operators.prefilter import prefilter
 from peakloom.operators.similarity import gram_table, subset_rows, subset_rows_long
 from peakloom.schema import ANALYTE, CELL, FRAGMENT, LABEL, NO_LABEL, RUN
@@ -105,12 +104,11 @@ def prepare(traces: DataFrame, params: RefineParams, limits: DataFrame | None =
 
 
 def _stage(comment: str, base: Column, mask: Column) -> Column:
-    return F.struct(F.lit(comment).alias("Comment"), base.cast("bigint").alias("base"),
-                    mask.cast("bigint").alias("mask"))
+    return F.struct(F.lit(comment).alias("Comment"), base.alias("base"), mask.alias("mask"))
 
 
 def _all_mask() -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("n_frag")) - 1
+    return F.array_repeat(F.lit(True), F.col("n_frag"))
 
 
 def _members(kept: DataFrame, chosen: DataFrame, comment: str) -> DataFrame:
@@ -142,17 +140,15 @@ def refine_transitions(prep: Prepared, params: RefineParams) -> Selection:
     rows_a = materialise(rows_a, "rows-a")
     enough = rows_a.filter(F.col("Comment") == cfg.STAGE_INITIAL)
 
-    def searched(kept: DataFrame, start: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """Masks of the exhaustive search, and members found by flips if there are large analytes."""
-        masks = search.fragments_mask(kept, prep.fragments)
-        found = materialise(search.search_subsets(prep.grams, masks, params), "found")
+    def searched(kept: DataFrame, previous: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+        """Flags of the search, and the chosen fragments of large analytes if there are any."""
+        proposed = search.proposals(kept, prep.fragments, previous)
+        found = materialise(search.search_subsets(prep.grams, proposed, params), "found")
         if not prep.has_large:
             return found, None
-        large_kept = kept.join(prep.fragments, ANALYTE, "left_anti")
-        state = _members(large_kept, start, "")
-        state = flip_search(prep.large.join(large_kept, [ANALYTE, FRAGMENT], "left_semi"), prep.refs,
-                            state, params)
-        return found, state.filter("in_set").select(ANALYTE, FRAGMENT)
+        large_kept = materialise(kept.join(prep.fragments, ANALYTE, "left_anti"), "large-kept")
+        starts = flip_search.starts(large_kept, previous, params.min_fragments)
+        return found, materialise(flip_search.flip_search(prep.large, prep.refs, starts, params), "flip-found")
 
     def stage_rows(found: DataFrame, kept: DataFrame, chosen: DataFrame | None, filtered: str,
                    optimised: str) -> DataFrame:
@@ -174,13 +170,13 @@ def refine_transitions(prep: Prepared, params: RefineParams) -> Selection:
     hot = params.hot_group_rows
     kept_1 = materialise(selection.surviving(selection.classify(enough, prep.library, hot), params,
                                              error_cut=True), "kept")
-    found_1, large_1 = searched(kept_1, kept_1)
+    found_1, large_1 = searched(kept_1, None)
     rows_bc = stage_rows(found_1, kept_1, large_1, cfg.STAGE_FILTER_1, cfg.STAGE_SEARCH_1)
 
     again = rows_bc.filter(F.col("Comment") == cfg.STAGE_SEARCH_1)
     kept_2 = materialise(selection.surviving(selection.classify(again, prep.library, hot), params,
                                              error_cut=False), "kept")
-    found_2, large_2 = searched(kept_2, kept_2 if large_1 is None else large_1)
+    found_2, large_2 = searched(kept_2, solution(found_1, large_1))
     rows_de = stage_rows(found_2, kept_2, large_2, cfg.STAGE_FILTER_2, cfg.STAGE_SEARCH_2)
 
     rows = reduce(DataFrame.unionByName, [rows_a, rows_bc, rows_de])
