@@ -24,7 +24,7 @@ from peakloom.operators import similarity as si
 from peakloom.plans import refine as rf
 from peakloom.schema import (ANALYTE, CELL, EXPORT, EXPORT_HEADER, FRAGMENT, GLOSSARIES, GROUP, LABEL,
                              REP, RUN)
-from peakloom.session import materialise, new_path
+from peakloom.session import clustered, materialise, new_path
 from peakloom.sources import dataset, export, results
 from peakloom.streaming import ingest
 
@@ -236,7 +236,8 @@ def trace_normalise(spark, sf):
 
 
 def integration_zone(spark, sf):
-    zones = ce.run_zones(tb.export(spark, sf)).filter(F.col("reason") == ce.OK)
+    runs = clustered(tb.export(spark, sf).select(*rf.TRACE_COLUMNS), "traces", RUN)
+    zones = ce.run_zones(ce.cut_cells(runs, PARAMS)).filter(F.col("reason") == ce.OK)
     return zones.select(*RUN, F.posexplode("zone").alias("pos", "z"))
 
 
@@ -437,9 +438,10 @@ def peak_island(spark, sf):
 
 
 def refine_boundaries(spark, sf):
-    rows = tb.stored_export(spark, sf)
-    points = materialise(bd.summed_traces(rows, rows.select(ANALYTE, FRAGMENT).distinct()), "points")
-    return bd.refine_boundaries(points, PARAMS.edge_fraction).select(
+    rows = clustered(tb.export(spark, sf).select(*rf.TRACE_COLUMNS), "traces", RUN)
+    zones = materialise(ce.run_zones(ce.cut_cells(rows, PARAMS)), "zones")
+    summed = bd.replicate_traces(rows, rows.select(ANALYTE, FRAGMENT).distinct(), zones)
+    return bd.refine_boundaries(summed, PARAMS.edge_fraction).select(
         ANALYTE, REP, r6("MinStartTime"), r6("MaxEndTime"))
 
 

@@ -41,6 +41,9 @@ class RefineParams:
     # Groups with more rows than this get their quantiles from a bracketing sketch plus an exact finish.
     hot_group_rows: int = 1_000_000
 
+    # Buckets of the table of traces by run; the shuffle partitions unless given.
+    run_buckets: int | None = None
+
     def __post_init__(self) -> None:
         if self.mass_error_cutoff <= self.mass_error_tolerance:
             raise ValueError("mass_error_cutoff must exceed mass_error_tolerance")

@@ -14,71 +14,73 @@ from peakloom.session import materialise
 OK = "ok"
 
 
-def analyte_fragments(traces: DataFrame, runs: DataFrame, params: RefineParams) -> DataFrame:
-    """Per analyte: number of distinct fragments, and the sorted list of them while list and matrices of all
-    its runs stay small (null beyond, so no long list is ever collected). `runs` has a row per run."""
-    pairs = traces.select(ANALYTE, FRAGMENT).distinct()
-    n = F.col("n_frag").cast("bigint")
-    counts = (pairs.groupBy(ANALYTE).agg(F.count("*").cast("int").alias("n_frag"))
-              .join(runs.groupBy(ANALYTE).agg(F.count("*").alias("n_runs")), ANALYTE))
-    small = counts.filter((n <= params.list_limit) & (F.col("n_runs") * n * n <= params.local_limit))
-    short = pairs.join(small, ANALYTE).groupBy(ANALYTE).agg(F.sort_array(F.collect_list(FRAGMENT)).alias("frags"))
-    return counts.drop("n_runs").join(short, ANALYTE, "left")
-
-
-def run_zones(traces: DataFrame, limits: DataFrame | None = None) -> DataFrame:
-    """Per run: the integration zone given by its first fragment, and whether the run is usable.
-
-    `limits` (MinStartTime, MaxEndTime per analyte and replicate) replace those in the rows; they are
-    joined to the one row per run, never to the traces.
+def cut_cells(traces: DataFrame, params: RefineParams) -> DataFrame:
+    """Every trace cut to its run's zone and reduced to what scoring needs: the cell, `reason` (`ok` or why the
+    run is unusable), `x` (normalised in-zone intensities), `mean_err`, `err_score`, `Area`, `LibraryIntensity`;
+    the rows of a run's first fragment also carry its `zone` and `times`.
+
+    The zone is that of the limits and times of the run's first fragment. Everything is one window over the
+    run, so the wide rows are shuffled once, and not at all where they are `clustered` by run. Duplicate rows
+    are dropped after the cut, on that same partitioning, when they are small.
     """
     sizes = [F.size(name) for name in ("times", "intens", "mass_err")]
-    # only a fragment key per run is aggregated; limits and times come from that fragment's row
-    keys = traces.groupBy(*RUN).agg(F.min(FRAGMENT).alias(FRAGMENT), F.min(F.least(*sizes)).alias("shortest"),
-                                    F.max(F.greatest(*sizes)).alias("longest"))
-    row = F.struct("MinStartTime", "MaxEndTime", "times")
-    runs = (traces.select(*CELL, row.alias("first")).join(keys, CELL)
-            .groupBy(*RUN, "shortest", "longest").agg(F.min("first").alias("first")))
-    low, high = F.col("first.MinStartTime"), F.col("first.MaxEndTime")
-    if limits is not None:
-        runs = runs.join(limits.select(ANALYTE, REP, "MinStartTime", "MaxEndTime"), [ANALYTE, REP], "left")
-        low, high = F.col("MinStartTime"), F.col("MaxEndTime")
-    flags = tr.widen_single_point(tr.integration_zone(F.col("first.times"), low, high))
-    reason = (F.when(low.isNull() | high.isNull(), "no integration limits")
-              .when(F.col("shortest") != F.col("longest"), "unequal trace lengths")
-              .when(~F.array_contains("zone", 1), "empty integration zone").otherwise(OK))
-    return (runs.withColumn("zone", flags).withColumn("reason", reason)
-            .select(*RUN, "zone", "reason", F.col("first.times").alias("times")))
-
-
-def build_cells(traces: DataFrame, params: RefineParams, zones: DataFrame | None = None) -> DataFrame:
-    """Cut every trace to its run's zone (`run_zones` unless given) and reduce it to what scoring
-    needs.
-
-    Columns: the cell, `reason` (`ok` or why the run is unusable), `n_frag`, `code` (position of the
-    fragment in its analyte's list, null for large analytes), `x` (normalised in-zone intensities),
-    `mean_err`, `err_score`, `Area`, `LibraryIntensity`.
-
-    The wide rows are shuffled once, on the run. Duplicate rows are dropped after the cut, on that
-    same partitioning, when they are small.
-    """
-    zones = (run_zones(traces) if zones is None else zones).drop("times")
-    zones = zones.join(analyte_fragments(traces, zones, params), ANALYTE)
-    rows = traces.select(*CELL, "intens", "mass_err", "Area", "LibraryIntensity").join(zones, RUN)
+    run = Window.partitionBy(*RUN)
+    ordered = run.orderBy(F.col(FRAGMENT).asc_nulls_last(), "MinStartTime", "MaxEndTime", "times")
+    first = F.first(F.struct(FRAGMENT, "MinStartTime", "MaxEndTime", "times")).over(
+        ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = traces.select(*CELL, "times", "intens", "mass_err", "MinStartTime", "MaxEndTime", "Area",
+                         "LibraryIntensity")
+    rows = rows.withColumns({"_first": first, "_short": F.min(F.least(*sizes)).over(run),
+                             "_long": F.max(F.greatest(*sizes)).over(run)})
+    low, high = F.col("_first.MinStartTime"), F.col("_first.MaxEndTime")
+    flags = tr.widen_single_point(tr.integration_zone(F.col("_first.times"), low, high))
+    rows = rows.withColumn("zone", flags).withColumn("reason", (
+        F.when(low.isNull() | high.isNull(), "no integration limits")
+        .when(F.col("_short") != F.col("_long"), "unequal trace lengths")
+        .when(~F.array_contains("zone", 1), "empty integration zone").otherwise(OK)))
     clean = tr.clamp_nonneg(tr.nan_to_zero(F.col("intens")))
     usable = F.col("reason") == OK
+    lead = F.col(FRAGMENT).eqNullSafe(F.col(f"_first.{FRAGMENT}"))
     cut = rows.select(
-        *CELL, "reason", "n_frag",
-        (F.array_position("frags", F.col(FRAGMENT)) - 1).cast("int").alias("code"),
+        *CELL, "reason",
         F.when(usable, tr.normalise_trace(tr.cut_to_zone(clean, F.col("zone")))).alias("x"),
         F.when(usable, tr.cut_to_zone(tr.nan_to_zero(F.col("mass_err")), F.col("zone"))).alias("e"),
-        "Area", "LibraryIntensity")
+        "Area", "LibraryIntensity", lead.alias("lead"), F.when(lead, F.col("zone")).alias("zone"),
+        F.when(lead, F.col("_first.times")).alias("times"))
     scored = cut.withColumn("mean_err", tr.weighted_abs_mean(F.col("e"), F.col("x"))).drop("e")
     return scored.withColumn(
         "err_score", mass_error_score(F.col("mean_err"), params.mass_error_tolerance,
                                       params.mass_error_cutoff)).distinct()
 
 
+def run_zones(cut: DataFrame) -> DataFrame:
+    """Per run: its zone and times, and whether it is usable, from `cut_cells`."""
+    return cut.filter("lead").select(*RUN, "zone", "reason", "times").distinct()
+
+
+def analyte_fragments(cut: DataFrame, params: RefineParams) -> DataFrame:
+    """Per analyte: number of distinct fragments, and the sorted list of them while list and matrices of all
+    its runs stay small (null beyond, so no long list is ever collected)."""
+    n, fragment = F.col("n_frag").cast("bigint"), F.col(FRAGMENT)
+    pairs = cut.groupBy(ANALYTE, FRAGMENT).agg(F.count("*").alias("_rows"))
+    runs = cut.filter("lead").select(*RUN).distinct().groupBy(ANALYTE).agg(F.count("*").alias("n_runs"))
+    counts = pairs.groupBy(ANALYTE).agg(F.count("*").cast("int").alias("n_frag")).join(runs, ANALYTE)
+    small = counts.filter((n <= params.list_limit) & (F.col("n_runs") * n * n <= params.local_limit))
+    short = pairs.join(small, ANALYTE).groupBy(ANALYTE).agg(F.sort_array(F.collect_list(fragment)).alias("frags"))
+    return counts.drop("n_runs").join(short, ANALYTE, "left")
+
+
+def coded_cells(cut: DataFrame, params: RefineParams) -> DataFrame:
+    """The cells with `n_frag`, the number of fragments of their analyte, and `code`, the position in its list
+    (null where there is none). `cut` must be a written table."""
+    return (cut.drop("lead", "zone", "times").join(analyte_fragments(cut, params), ANALYTE)
+            .withColumn("code", (F.array_position("frags", F.col(FRAGMENT)) - 1).cast("int")).drop("frags"))
+
+
+def build_cells(traces: DataFrame, params: RefineParams) -> DataFrame:
+    return coded_cells(materialise(cut_cells(traces, params), "cut"), params)
+
+
 def conflicting_runs(cells: DataFrame) -> DataFrame:
     """Runs in which one fragment has several different rows."""
     return (cells.groupBy(*CELL).agg(F.count("*").alias("n")).filter("n > 1")

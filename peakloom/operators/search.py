@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peakloom.config import SCORE_EXPONENTS, RefineParams
@@ -51,8 +51,8 @@ def proposals(kept: DataFrame, fragments: DataFrame, previous: DataFrame | None
 
 
 def climber(minimum: int, exponents: tuple[float, float, float, float] = SCORE_EXPONENTS):
-    """A `mapInArrow` function over rows (analyte, place, was, g, t) sorted by analyte; one analyte is held at
-    a time. g and t are the inner products and additive terms of its kept fragments in one run.
+    """A `mapInArrow` function over rows (analyte, place, was, g, t, nth), the runs of an analyte numbered from 1
+    and following one another; one analyte is held at a time. g and t are the inner products and additive terms of its kept fragments in one run.
 
     Subsets are whole numbers, the first fragment in the highest bit, of any width. Nothing of this package is
     referenced inside, so executors need only numpy and pyarrow.
@@ -130,12 +130,12 @@ def climber(minimum: int, exponents: tuple[float, float, float, float] = SCORE_E
                 names=[analyte_column, "kept", "solution", "fitness"])
         now, rows, done = None, [], []
         for batch in batches:
-            analytes, g, t = batch.column(0).to_pylist(), batch.column(3), batch.column(4)
-            for k, analyte in enumerate(analytes):
-                if now is None or analyte != now[0]:
+            g, t = batch.column(3), batch.column(4)
+            for k, nth in enumerate(batch.column(5).to_pylist()):
+                if nth == 1:
                     if now:
                         done.append(finish(*now, rows))
-                    now, rows = (analyte, batch.column(1)[k].as_py(), batch.column(2)[k].as_py()), []
+                    now, rows = (batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), batch.column(2)[k].as_py()), []
                     if len(done) >= 4096:
                         yield batch_of(done)
                         done = []
@@ -169,8 +169,9 @@ def search_subsets(grams: DataFrame, proposed: DataFrame, params: RefineParams)
         "codes", lambda b: F.get(row, b))))
     cut = rows.select(ANALYTE, "place", "was", F.flatten(matrix).alias("g"),
                       F.flatten(F.transform("codes", terms)).alias("t"), REP, LABEL)
-    return (cut.repartition(ANALYTE).sortWithinPartitions(ANALYTE, REP, LABEL).drop(REP, LABEL)
-            .mapInArrow(climber(params.min_fragments), BEST))
+    # the window brings the runs of an analyte together, in order; a plain repartition may be optimised away
+    numbered = cut.withColumn("nth", F.row_number().over(Window.partitionBy(ANALYTE).orderBy(REP, LABEL)))
+    return numbered.drop(REP, LABEL).mapInArrow(climber(params.min_fragments), BEST)
 
 
 def mask_fragments(masks: DataFrame, fragments: DataFrame, mask: str) -> DataFrame:

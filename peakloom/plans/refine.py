@@ -1,7 +1,7 @@
 """The refinement: choose fragments, adjust boundaries, rescore.
 
-Raw traces are read twice per zone; everything in between works on compact written tables. Analytes
-are independent, so one plan over all of them replaces one process per analyte; a single analyte is
+Raw traces are shuffled once, into a table clustered by run, and read once per zone and once for the
+boundaries; everything in between works on compact written tables. Analytes are independent, so one plan over all of them replaces one process per analyte; a single analyte is
 the same plan on filtered input.
 """
 
@@ -20,8 +20,8 @@ from peakloom.operators import cells as ce
 from peakloom.operators import flip_search, scoring, search, selection
 from peakloom.operators.prefilter import prefilter
 from peakloom.operators.similarity import gram_table, subset_rows, subset_rows_long
-from peakloom.schema import ANALYTE, CELL, FRAGMENT, LABEL, NO_LABEL, RUN
-from peakloom.session import materialise
+from peakloom.schema import ANALYTE, CELL, FRAGMENT, LABEL, NO_LABEL, REP, RUN
+from peakloom.session import clustered, co_partitioned, materialise
 
 
 RESCORED = "rescored"
@@ -89,10 +89,15 @@ class Refined:
         return self.account.filter(F.col("reason") != RESCORED)
 
 
-def prepare(traces: DataFrame, params: RefineParams, limits: DataFrame | None = None) -> Prepared:
-    """Everything derived from the traces for one set of integration limits."""
-    zones = materialise(ce.run_zones(traces, limits), "zones")
-    all_cells = materialise(ce.build_cells(traces, params, zones), "cells")
+def prepare(traces: DataFrame, params: RefineParams) -> Prepared:
+    """Everything derived from the traces and the integration limits in their rows."""
+    return prepare_cut(materialise(ce.cut_cells(traces, params), "cut"), params)
+
+
+def prepare_cut(cut: DataFrame, params: RefineParams) -> Prepared:
+    """The same from the written table of `cut_cells`."""
+    zones = materialise(ce.run_zones(cut), "zones")
+    all_cells = materialise(ce.coded_cells(cut, params), "cells")
     cells = ce.usable_cells(all_cells)
     fragments = (all_cells.filter(F.col("code").isNotNull()).select(ANALYTE, FRAGMENT, "n_frag").distinct()
                  .groupBy(ANALYTE, "n_frag").agg(F.sort_array(F.collect_list(FRAGMENT)).alias("frags")))
@@ -185,12 +190,16 @@ def refine_transitions(prep: Prepared, params: RefineParams) -> Selection:
     return Selection(transitions, rows, params)
 
 
-def rescore(traces: DataFrame, transitions: DataFrame, boundaries: DataFrame,
+def rescore(traces: DataFrame, transitions: DataFrame, boundaries: DataFrame, zones: DataFrame,
             params: RefineParams) -> tuple[DataFrame, Prepared]:
-    """Score the kept fragments again inside the new boundaries; also what the scores were taken from."""
-    kept = materialise(traces.select(*TRACE_COLUMNS).join(transitions, [ANALYTE, FRAGMENT], "left_semi"),
-                       "kept-traces")
-    prep = prepare(kept, params, limits=boundaries)
+    """Score the kept fragments again inside the new boundaries; also what the scores were taken from. Kept
+    fragments and limits go to the run's traces, not the traces to them."""
+    limits = boundaries.select(ANALYTE, REP, "MinStartTime", "MaxEndTime")
+    members = bd.run_members(zones, transitions).join(limits, [ANALYTE, REP], "left")
+    with co_partitioned(traces.sparkSession):
+        kept = traces.select(*TRACE_COLUMNS).drop("MinStartTime", "MaxEndTime").join(members, CELL)
+        cut = materialise(ce.cut_cells(kept, params), "cut")
+    prep = prepare_cut(cut, params)
     rows = materialise(full_set_rows(prep, F.lit(cfg.STAGE_RESCORE)), "rows-f")
     return materialise(scoring.score_replicates(rows, params.hot_group_rows), "rescored"), prep
 
@@ -209,11 +218,12 @@ def refine_global(traces: DataFrame, params: RefineParams = RefineParams()) -> R
     if params.apply_prefilter:
         runs = materialise(traces.select(*RUN).distinct(), "runs")
         traces = materialise(prefilter(traces, params), "filtered")
+    traces = clustered(traces.select(*TRACE_COLUMNS), "traces", RUN, params.run_buckets)
     prep = prepare(traces, params)
     selected = refine_transitions(prep, params)
-    points = materialise(bd.summed_traces(traces, selected.transitions, prep.zones), "points")
-    boundaries = materialise(bd.refine_boundaries(points, params.edge_fraction), "boundaries")
-    scores, again = rescore(traces, selected.transitions, boundaries, params)
+    summed = bd.replicate_traces(traces, selected.transitions, prep.zones)
+    boundaries = materialise(bd.refine_boundaries(summed, params.edge_fraction), "boundaries")
+    scores, again = rescore(traces, selected.transitions, boundaries, prep.zones, params)
     return Refined(selected, boundaries, scores, account(prep, again, selected.transitions, scores, params,
                                                           runs))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,3 +66,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clustered(df: DataFrame, name: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """A written table bucketed by `keys`: one shuffle now, and none for later windows, aggregates and joins on
+    these keys. `buckets` defaults to the shuffle partitions; give it by the size of the data."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    (df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
+@contextmanager
+def co_partitioned(spark: SparkSession) -> Iterator[None]:
+    """Within, a join may use a partitioning on some of its keys, so that a clustered table stays in place. Plans
+    must be run within; elsewhere joins hash all their keys, which spreads frequent ones."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
