@@ -19,6 +19,7 @@ from peakloom.operators import cells as ce
 from peakloom.operators import glossary as gl
 from peakloom.operators import flip_search
 from peakloom.operators import prefilter as pf
+from peakloom.operators.quantiles import grouped_quantiles
 from peakloom.operators import reports, scoring, search, selection
 from peakloom.operators import similarity as si
 from peakloom.plans import refine as rf
@@ -237,7 +238,7 @@ def trace_normalise(spark, sf):
 
 def integration_zone(spark, sf):
     runs = clustered(tb.export(spark, sf).select(*rf.TRACE_COLUMNS), "traces", RUN)
-    zones = ce.run_zones(ce.cut_cells(runs, PARAMS)).filter(F.col("reason") == ce.OK)
+    zones = ce.run_zones(ce.zoned_rows(runs)).filter(F.col("reason") == ce.OK)
     return zones.select(*RUN, F.posexplode("zone").alias("pos", "z"))
 
 
@@ -295,6 +296,16 @@ def median_error_filter(spark, sf):
         ANALYTE, FRAGMENT, r6("median_error"))
 
 
+def hot_quantiles(spark, sf):
+    """Groups of which each holds a large share of the rows."""
+    rows = load(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice", (
+        F.col("l_discount") - F.col("l_tax")).alias("net"))
+    return grouped_quantiles(rows, ["l_returnflag", "l_linestatus"], {
+        "price_q1": ("l_extendedprice", 0.25), "price_median": ("l_extendedprice", 0.5), "net_median": ("net", 0.5),
+        "net_q99": ("net", 0.99)}, hot_rows=500).select(
+        "l_returnflag", "l_linestatus", *[r6(c) for c in ("price_q1", "price_median", "net_median", "net_q99")])
+
+
 def mean_area(spark, sf):
     return ce.mean_area_profile(tb.export(spark, sf)).select(ANALYTE, LABEL, FRAGMENT, r6("mean_area"))
 
@@ -439,7 +450,7 @@ def peak_island(spark, sf):
 
 def refine_boundaries(spark, sf):
     rows = clustered(tb.export(spark, sf).select(*rf.TRACE_COLUMNS), "traces", RUN)
-    zones = materialise(ce.run_zones(ce.cut_cells(rows, PARAMS)), "zones")
+    zones = materialise(ce.run_zones(ce.zoned_rows(rows)), "zones")
     summed = bd.replicate_traces(rows, rows.select(ANALYTE, FRAGMENT).distinct(), zones)
     return bd.refine_boundaries(summed, PARAMS.edge_fraction).select(
         ANALYTE, REP, r6("MinStartTime"), r6("MaxEndTime"))
@@ -603,6 +614,7 @@ QUERIES: dict[str, Query] = {
     "prefilter": prefilter,
     "mass_error_score": mass_error_score,
     "median_error_filter": median_error_filter,
+    "hot_quantiles": hot_quantiles,
     "mean_area": mean_area,
     "total_to_max": total_to_max,
     "area_pivot": area_pivot,

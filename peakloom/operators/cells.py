@@ -14,48 +14,54 @@ from peakloom.session import materialise
 OK = "ok"
 
 
-def cut_cells(traces: DataFrame, params: RefineParams) -> DataFrame:
-    """Every trace cut to its run's zone and reduced to what scoring needs: the cell, `reason` (`ok` or why the
-    run is unusable), `x` (normalised in-zone intensities), `mean_err`, `err_score`, `Area`, `LibraryIntensity`;
-    the rows of a run's first fragment also carry its `zone` and `times`.
+def zoned_rows(traces: DataFrame) -> DataFrame:
+    """Every row with its run's `zone` and `times`, those of the limits and times of the run's first fragment,
+    `reason` (`ok` or why the run is unusable) and `lead`, true in the rows of the first fragment.
 
-    The zone is that of the limits and times of the run's first fragment. Everything is one window over the
-    run, so the wide rows are shuffled once, and not at all where they are `clustered` by run. Duplicate rows
-    are dropped after the cut, on that same partitioning, when they are small.
+    This is one window over the run, so the wide rows are shuffled once, and not at all where they are
+    `clustered` by run.
     """
     sizes = [F.size(name) for name in ("times", "intens", "mass_err")]
     run = Window.partitionBy(*RUN)
     ordered = run.orderBy(F.col(FRAGMENT).asc_nulls_last(), "MinStartTime", "MaxEndTime", "times")
     first = F.first(F.struct(FRAGMENT, "MinStartTime", "MaxEndTime", "times")).over(
         ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = traces.select(*CELL, "times", "intens", "mass_err", "MinStartTime", "MaxEndTime", "Area",
-                         "LibraryIntensity")
-    rows = rows.withColumns({"_first": first, "_short": F.min(F.least(*sizes)).over(run),
-                             "_long": F.max(F.greatest(*sizes)).over(run)})
+    rows = traces.withColumns({"_first": first, "_short": F.min(F.least(*sizes)).over(run),
+                               "_long": F.max(F.greatest(*sizes)).over(run)})
     low, high = F.col("_first.MinStartTime"), F.col("_first.MaxEndTime")
     flags = tr.widen_single_point(tr.integration_zone(F.col("_first.times"), low, high))
-    rows = rows.withColumn("zone", flags).withColumn("reason", (
-        F.when(low.isNull() | high.isNull(), "no integration limits")
-        .when(F.col("_short") != F.col("_long"), "unequal trace lengths")
-        .when(~F.array_contains("zone", 1), "empty integration zone").otherwise(OK)))
+    reason = (F.when(low.isNull() | high.isNull(), "no integration limits")
+              .when(F.col("_short") != F.col("_long"), "unequal trace lengths")
+              .when(~F.array_contains("zone", 1), "empty integration zone").otherwise(OK))
+    lead = F.col(FRAGMENT).eqNullSafe(F.col(f"_first.{FRAGMENT}"))
+    return (rows.withColumns({"zone": flags, "lead": lead, "times": F.col("_first.times")})
+            .withColumn("reason", reason).drop("_first", "_short", "_long"))
+
+
+def cut_cells(traces: DataFrame, params: RefineParams) -> DataFrame:
+    """Every trace cut to its run's zone and reduced to what scoring needs: the cell, `reason`, `x` (normalised
+    in-zone intensities), `mean_err`, `err_score`, `Area`, `LibraryIntensity`; the rows marked `lead` also carry
+    `zone` and `times`. Duplicate rows are dropped after the cut, on the partitioning by run, when they are small.
+    """
+    rows = zoned_rows(traces.select(*CELL, "times", "intens", "mass_err", "MinStartTime", "MaxEndTime", "Area",
+                                    "LibraryIntensity"))
     clean = tr.clamp_nonneg(tr.nan_to_zero(F.col("intens")))
     usable = F.col("reason") == OK
-    lead = F.col(FRAGMENT).eqNullSafe(F.col(f"_first.{FRAGMENT}"))
     cut = rows.select(
         *CELL, "reason",
         F.when(usable, tr.normalise_trace(tr.cut_to_zone(clean, F.col("zone")))).alias("x"),
         F.when(usable, tr.cut_to_zone(tr.nan_to_zero(F.col("mass_err")), F.col("zone"))).alias("e"),
-        "Area", "LibraryIntensity", lead.alias("lead"), F.when(lead, F.col("zone")).alias("zone"),
-        F.when(lead, F.col("_first.times")).alias("times"))
+        "Area", "LibraryIntensity", "lead", F.when(F.col("lead"), F.col("zone")).alias("zone"),
+        F.when(F.col("lead"), F.col("times")).alias("times"))
     scored = cut.withColumn("mean_err", tr.weighted_abs_mean(F.col("e"), F.col("x"))).drop("e")
     return scored.withColumn(
         "err_score", mass_error_score(F.col("mean_err"), params.mass_error_tolerance,
                                       params.mass_error_cutoff)).distinct()
 
 
-def run_zones(cut: DataFrame) -> DataFrame:
-    """Per run: its zone and times, and whether it is usable, from `cut_cells`."""
-    return cut.filter("lead").select(*RUN, "zone", "reason", "times").distinct()
+def run_zones(rows: DataFrame) -> DataFrame:
+    """Per run: its zone and times, and whether it is usable, from `zoned_rows` or `cut_cells`."""
+    return rows.filter("lead").select(*RUN, "zone", "reason", "times").distinct()
 
 
 def analyte_fragments(cut: DataFrame, params: RefineParams) -> DataFrame:

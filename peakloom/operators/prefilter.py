@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peakloom.config import RefineParams
@@ -12,6 +12,7 @@ from peakloom.functions.scores import ion_token
 from peakloom.schema import ANALYTE, FRAGMENT, LABEL
 
 PRECURSOR = ["ProteinName", "PeptideModifiedSequence", "PrecursorCharge", "IsDecoy"]
+SIGNAL = [ANALYTE, FRAGMENT, LABEL, *PRECURSOR, "ProductMz", "ProductCharge", "FragmentIon"]
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -37,43 +38,60 @@ def drop_low_ordinal(df: DataFrame, highest: int) -> DataFrame:
     return df.filter(~F.coalesce(ion_token(F.col("FragmentIon")), F.lit("NA")).rlike(pattern))
 
 
-def require_all_labels(df: DataFrame) -> DataFrame:
-    """Drop the fragments that do not occur in every label of their analyte."""
-    seen = df.select(ANALYTE, FRAGMENT, LABEL).distinct()
-    per_fragment = seen.groupBy(ANALYTE, FRAGMENT).agg(F.count("*").alias("labels"))
-    per_analyte = (seen.select(ANALYTE, LABEL).distinct()
-                   .groupBy(ANALYTE).agg(F.count("*").alias("all_labels")))
-    incomplete = (per_fragment.join(per_analyte, ANALYTE)
-                  .filter(F.col("labels") != F.col("all_labels")).select(ANALYTE, FRAGMENT))
-    return df.join(incomplete, [ANALYTE, FRAGMENT], "left_anti")
+def _with_count(signals: DataFrame, name: str, group: Sequence[str], *values: str) -> DataFrame:
+    """Adds how many different `values` a group has; missing ones count as a value."""
+    ranked = F.dense_rank().over(Window.partitionBy(*group).orderBy(*values))
+    return (signals.withColumn("_rank", ranked)
+            .withColumn(name, F.max("_rank").over(Window.partitionBy(*group))).drop("_rank"))
 
 
-def shared_signals(df: DataFrame) -> DataFrame:
-    """Product m/z values that several fragments or labels of one precursor have in common."""
-    keys = [*PRECURSOR, "ProductMz"]
-    rows = df.select(*keys, "ProductCharge", "FragmentIon", LABEL).distinct()
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
+def _complete(signals: DataFrame) -> DataFrame:
+    rows = _with_count(signals, "_all", [ANALYTE], LABEL)
+    return _with_count(rows, "_own", [ANALYTE, FRAGMENT], LABEL).filter("_own = _all").drop("_own", "_all")
 
 
-def drop_shared_signals(df: DataFrame) -> DataFrame:
-    return null_safe_join(df, shared_signals(df), [*PRECURSOR, "ProductMz"], "left_anti")
+def _unshared(signals: DataFrame) -> DataFrame:
+    group = [c for c in (ANALYTE, *PRECURSOR, "ProductMz") if c in signals.columns]
+    return _with_count(signals, "_n", group, "ProductCharge", "FragmentIon", LABEL).filter("_n = 1").drop("_n")
+
+
+def _rich(signals: DataFrame, minimum: int) -> DataFrame:
+    group = [c for c in (ANALYTE, *PRECURSOR, LABEL) if c in signals.columns]
+    return _with_count(signals, "_n", group, "FragmentIon", "ProductCharge").filter(F.col("_n") >= minimum).drop("_n")
+
 
+def _kept(df: DataFrame, signals: DataFrame) -> DataFrame:
+    return null_safe_join(df, signals, signals.columns, "left_semi")
 
-def rich_precursors(df: DataFrame, minimum: int) -> DataFrame:
-    """Precursor and label pairs with at least `minimum` distinct fragments."""
-    keys = [*PRECURSOR, LABEL]
-    rows = df.select(*keys, "FragmentIon", "ProductCharge").distinct()
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") >= minimum).select(*keys)
+
+def require_all_labels(df: DataFrame) -> DataFrame:
+    """Drop the fragments that do not occur in every label of their analyte."""
+    return _kept(df, _complete(df.select(ANALYTE, FRAGMENT, LABEL).distinct()))
+
+
+def drop_shared_signals(df: DataFrame) -> DataFrame:
+    """Drop the product m/z values that several fragments or labels of one precursor have in common."""
+    return _kept(df, _unshared(df.select(*PRECURSOR, "ProductMz", "ProductCharge", "FragmentIon", LABEL).distinct()))
 
 
-def require_min_fragments(df: DataFrame, minimum: int, counted_on: DataFrame | None = None) -> DataFrame:
-    """Keep the precursors with enough fragments, counted on `counted_on` if it is given."""
-    keep = rich_precursors(df if counted_on is None else counted_on, minimum)
-    return null_safe_join(df, keep, [*PRECURSOR, LABEL], "left_semi")
+def require_min_fragments(df: DataFrame, minimum: int) -> DataFrame:
+    """Keep the precursors, per label, with at least `minimum` distinct fragments."""
+    return _kept(df, _rich(df.select(*PRECURSOR, LABEL, "FragmentIon", "ProductCharge").distinct(), minimum))
 
 
 def prefilter(df: DataFrame, params: RefineParams) -> DataFrame:
-    """All filters in order. Fragments are counted before shared signals are dropped."""
-    base = require_all_labels(drop_low_ordinal(drop_unintegrated(df), params.remove_below_ordinal))
-    kept = drop_shared_signals(base) if params.remove_shared_signals else base
-    return require_min_fragments(kept, params.min_initial_fragments, counted_on=base)
+    """All filters in order. Fragments are counted before shared signals are dropped.
+
+    The rows are read twice: once for the distinct signals (what the filters look at; replicates collapse
+    map-side), once for the result. An analyte's id follows from its precursor, so all filters run on the
+    signals of an analyte where they lie, after one shuffle.
+    """
+    rows = drop_low_ordinal(drop_unintegrated(df), params.remove_below_ordinal)
+    complete = _complete(rows.select(*SIGNAL).distinct())
+    group, label = [ANALYTE, *PRECURSOR], [ANALYTE, *PRECURSOR, LABEL]
+    counted = _with_count(complete, "_fragments", label, "FragmentIon", "ProductCharge")
+    counted = _with_count(counted, "_sharing", [*group, "ProductMz"], "ProductCharge", "FragmentIon", LABEL)
+    kept = F.col("_fragments") >= params.min_initial_fragments
+    if params.remove_shared_signals:
+        kept = kept & (F.col("_sharing") == 1)
+    return _kept(rows, counted.filter(kept).select(*SIGNAL))

@@ -8,7 +8,7 @@ from peakloom.config import RefineParams
 from peakloom.operators import boundaries as bd
 from peakloom.operators import prefilter as pf
 from peakloom.operators import reports, selection
-from peakloom.operators.quantiles import grouped_quantiles
+from peakloom.operators.quantiles import grouped_quantiles, order_statistics
 from peakloom.schema import ANALYTE, FRAGMENT, LABEL, REP
 
 
@@ -30,6 +30,14 @@ def test_grouped_quantiles_hot_and_small(spark, hot_rows):
         assert got[key] == pytest.approx([quantile(values, q) for q in (0.25, 0.5, 0.99)], abs=1e-12)
 
 
+def test_order_statistics_of_all_kinds_of_doubles(spark):
+    values = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 1e308, -1e308, float("inf"), float("-inf"), 0.1, 0.1 + 1e-17, 2.5, 2.5]
+    rows = spark.createDataFrame([("k", v) for v in values] + [("one", 7.0)], "k string, v double")
+    ranks = spark.createDataFrame([("k", r) for r in range(len(values))] + [("one", 0)], "k string, r bigint")
+    got = {(r.k, r.r): r.v for r in order_statistics(rows, ["k"], "v", ranks, "r").collect()}
+    assert got == {**{("k", r): v for r, v in enumerate(sorted(values))}, ("one", 0): 7.0}
+
+
 def test_peak_island_brute_force(spark):
     rng = random.Random(5)
     rows = [(k, t, float(rng.randint(0, 20)), 3 <= t <= 12) for k in range(30) for t in range(16)]

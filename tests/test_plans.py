@@ -1,11 +1,13 @@
 """What the plans must not do."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import random_traces
 from peakloom.config import RefineParams
 from peakloom.operators import boundaries as bd
 from peakloom.operators import cells as ce
+from peakloom.operators.prefilter import prefilter
 from peakloom.plans import refine as rf
 from peakloom.schema import ANALYTE, FRAGMENT, REP, RUN
 from peakloom.session import clustered, co_partitioned
@@ -27,8 +29,9 @@ def runs(spark):
 
 
 def test_zones_and_cells_need_no_shuffle_of_clustered_traces(runs):
-    plan = plan_of(ce.run_zones(ce.cut_cells(runs, PARAMS)))
-    assert "Exchange" not in plan and "SortAggregate" not in plan and plan.count("FileScan") <= 2
+    for rows in (ce.run_zones(ce.zoned_rows(runs)), ce.cut_cells(runs, PARAMS)):
+        plan = plan_of(rows)
+        assert "Exchange" not in plan and "SortAggregate" not in plan and plan.count("FileScan") <= 2
 
 
 def test_rescoring_moves_the_limits_to_the_traces(spark, runs):
@@ -44,3 +47,12 @@ def test_rescoring_moves_the_limits_to_the_traces(spark, runs):
     assert lines and not any("intens" in x for x in lines)
     above = plan[:plan.index("intens")]
     assert "Exchange" not in above
+
+
+def test_prefilter_reads_its_rows_twice(runs):
+    rows = runs.withColumns({
+        "FragmentIon": F.concat(F.lit("y1"), F.substring(FRAGMENT, 2, 2)), "ProductCharge": F.lit(1),
+        "ProductMz": F.hash(FRAGMENT).cast("double"), "ProteinName": F.lit("p"), "PeptideModifiedSequence": F.col(ANALYTE),
+        "PrecursorCharge": F.lit(2), "IsDecoy": F.lit(False)})
+    plan = prefilter(rows, PARAMS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange") <= 4
