@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,10 @@ from peakloom.operators.quantiles import grouped_quantiles
 from peakloom.operators import reports, scoring, search, selection
 from peakloom.operators import similarity as si
 from peakloom.plans import refine as rf
+from peakloom.plans import resume
 from peakloom.schema import (ANALYTE, CELL, EXPORT, EXPORT_HEADER, FRAGMENT, GLOSSARIES, GROUP, LABEL,
                              REP, RUN)
-from peakloom.session import clustered, materialise, new_path
+from peakloom.session import clustered, materialise, new_path, run_folder
 from peakloom.sources import dataset, export, results
 from peakloom.streaming import ingest
 
@@ -190,7 +192,8 @@ def partition_csv_export(spark, sf):
 def results_read(spark, sf):
     path = new_path(spark, "results")
     kept = gl.glossary(tb.export(spark, sf), "locator").select(FRAGMENT, ANALYTE).distinct()
-    results.write_results(kept, path, "Transitions")
+    for _ in range(2):  # the second write replaces the first
+        results.write_results(kept, path, "Transitions")
     return results.read_results(spark, path, "Transitions")
 
 
@@ -426,8 +429,9 @@ def score_replicates_long(spark, sf):
     return _rounded(scoring.score_replicates(rows), [*RUN, "Comment"])
 
 
-def _selection(spark, sf):
-    return rf.refine_transitions(rf.prepare(tb.stored_export(spark, sf), PARAMS), PARAMS)
+def _selection(spark, sf, traces=None):
+    with run_folder(spark, "selection"):
+        return rf.refine_transitions(rf.prepare(tb.stored_export(spark, sf) if traces is None else traces, PARAMS), PARAMS)
 
 
 def refine_transitions(spark, sf):
@@ -478,7 +482,7 @@ def report_boundaries(spark, sf):
 
 def report_transitions(spark, sf):
     rows = tb.stored_export(spark, sf)
-    kept = rf.refine_transitions(rf.prepare(rows, PARAMS), PARAMS).transitions
+    kept = _selection(spark, sf, rows).transitions
     return reports.report_transitions(kept, gl.glossary(rows, "locator"))
 
 
@@ -487,7 +491,7 @@ META = ["ProteinName", "PeptideModifiedSequence", "PrecursorCharge", "IsDecoy",
 
 def report_replicates(spark, sf):
     traces = tb.stored_export(spark, sf)
-    scores = rf.refine_transitions(rf.prepare(traces, PARAMS), PARAMS).replicates
+    scores = _selection(spark, sf, traces).replicates
     table = reports.report_replicates(scores, *_glossaries(traces))
     return table.select(*RUN, "Comment", *META, *[r6(name) for name in [*SCORES, "Skor"]])
 
@@ -532,9 +536,18 @@ def run_account(spark, sf):
         F.min(F.when(F.col(LABEL).isin("ragged", "clash"), F.col("reason"))).alias("reason"))
 
 
+def _cells_of(report: str, table: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """A report read back from its file, as rows (report, key, name, missing, value)."""
+    named = F.array(*[F.struct(F.lit(v).alias("name"), F.col(v).alias("text")) for v in values])
+    key = F.concat_ws("|", *keys) if keys else F.lit("")
+    return table.select(F.lit(report).alias("report"), key.alias("key"), F.explode(named).alias("v")).select(
+        "report", "key", "v.name", F.coalesce(F.col("v.text").isin("#N/A", "NA"), F.lit(True)).alias("missing"),
+        r6(F.coalesce(F.col("v.text").try_cast("double"), F.col("v.text").try_cast("boolean").cast("double")), "value"))
+
+
 def file_to_report(spark, sf):
-    """From the export file to the annotation report: ids, dataset, refinement, result files of all four
-    kinds, the five report files, read back."""
+    """From the export file to all five reports: ids, dataset, refinement, committed result files of all four
+    kinds, the report files, every number of them read back."""
     rows = ks.add_ids(export.with_traces(export.read_export(spark, _written_export(spark, sf, "export"))),
                       PARAMS.n_groups)
     gl.check_ids(rows)
@@ -555,12 +568,45 @@ def file_to_report(spark, sf):
             ("rescore", reports.report_rescore(read("ReScore"), *names)),
             ("annotations", reports.report_annotations(read("ReScore"), *names, gl.glossary(traces, "precursor")))):
         results.write_report(table, files, name, analytes)
-    back_ = lambda name: spark.read.option("header", True).csv(f"{files}/{name}")
-    complete = back_("completed_analytes").agg(F.count("*").alias("n_completed"))
-    kept = back_("transitions").agg(F.count_if(F.col("Quantitative") == "true").alias("n_kept"))
-    one = complete.withColumn("_one", F.lit(1)).join(kept.withColumn("_one", F.lit(1)), "_one")
-    return (_annotation_values(back_("annotations")).withColumn("_one", F.lit(1))
-            .join(one, "_one", "left").drop("_one"))
+    text = lambda name: results.read_report(spark, files, name)
+    scores, run = [*SCORES, "Skor"], [*RUN, "Comment", "FileName", "PeptideModifiedSequence"]
+    marks = [f"annotation_{c}" for c in ("Similarity_Score", "MPRA_Score", "SpectralLibSim_Score", "MassError_Score", "Score")]
+    tables = [
+        _cells_of("boundaries", text("boundaries"), ["FileName", "PeptideModifiedSequence", "PrecursorCharge", "PrecursorIsDecoy"],
+                  ["MinStartTime", "MaxEndTime"]),
+        _cells_of("transitions", text("transitions"), ["ElementLocator"], ["Quantitative"]),
+        _cells_of("replicates", text("replicates"), run, scores), _cells_of("rescore", text("rescore"), run, scores),
+        _cells_of("annotations", text("annotations"), ["ElementLocator"], marks),
+        _cells_of("completed", text("completed_analytes"), [ANALYTE], ["PrecursorCharge"])]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def refine_one_analyte(spark, sf):
+    """The first analyte through the whole plan, read by its directory."""
+    rows = tb.stored_export(spark, sf).select(*rf.TRACE_COLUMNS, GROUP)
+    path = new_path(spark, "by-analyte")
+    dataset.write_indexed(rows, path, (GROUP, ANALYTE))
+    first = rows.filter(F.col("MinStartTime").isNotNull()).agg(F.min(F.struct(GROUP, ANALYTE))).first()[0]
+    one = dataset.read_partition(spark, path, rows.schema, **{GROUP: first[GROUP], ANALYTE: first[ANALYTE]})
+    return _rounded(rf.refine_global(one, PARAMS).rescore, [*RUN, "Comment"])
+
+
+def resumed_refinement(spark, sf):
+    """Half of the rows first, then all of them with one change: what changed is refined, the results are those of
+    a full run. `refined` counts the analytes of the three runs."""
+    rows, path = tb.stored_export(spark, sf), new_path(spark, "resumed")
+    early = rows.filter(F.col(GROUP) <= 3)
+    counts = [resume.refine_resumable(part, PARAMS, path) for part in (early, rows, rows)]
+    table = results.read_results(spark, path, "ReScore")
+    return _rounded(table, [*RUN, "Comment"]).withColumn("refined", F.lit("/".join(map(str, counts))))
+
+
+def one_analyte_csv(spark, sf):
+    """The first analyte's rows as CSV in a folder of its name, read back."""
+    rows = tb.stored_export(spark, sf).select(*CELL, GROUP, "TransitionLocator", "Area")
+    path, first = new_path(spark, "one-csv"), rows.agg(F.min(ANALYTE)).first()[0]
+    dataset.export_partition_csv(rows, path, ANALYTE, first)
+    return dataset.read_exported_csv(spark, f"{path}/data_analyte_{first}", rows.schema)
 
 
 # --- streaming -------------------------------------------------------------------------------------
@@ -644,6 +690,9 @@ QUERIES: dict[str, Query] = {
     "report_annotations": report_annotations,
     "run_account": run_account,
     "file_to_report": file_to_report,
+    "refine_one_analyte": refine_one_analyte,
+    "resumed_refinement": resumed_refinement,
+    "one_analyte_csv": one_analyte_csv,
     "stream_ingest": stream_ingest,
     "stream_glossary": stream_glossary,
 }

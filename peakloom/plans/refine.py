@@ -21,7 +21,7 @@ from peakloom.operators import flip_search, scoring, search, selection
 from peakloom.operators.prefilter import prefilter
 from peakloom.operators.similarity import gram_table, subset_rows, subset_rows_long
 from peakloom.schema import ANALYTE, CELL, FRAGMENT, LABEL, NO_LABEL, REP, RUN
-from peakloom.session import clustered, co_partitioned, materialise
+from peakloom.session import clustered, co_partitioned, materialise, run_folder
 
 
 RESCORED = "rescored"
@@ -142,7 +142,7 @@ def refine_transitions(prep: Prepared, params: RefineParams) -> Selection:
     rows_a = full_set_rows(prep, F.when(small_n, cfg.STAGE_SMALL).otherwise(cfg.STAGE_INITIAL))
     if not params.keep_small_analytes:
         rows_a = rows_a.filter(F.col("Comment") != cfg.STAGE_SMALL)
-    rows_a = materialise(rows_a, "rows-a")
+    rows_a = materialise(rows_a, "rows-a", kept=True)
     enough = rows_a.filter(F.col("Comment") == cfg.STAGE_INITIAL)
 
     def searched(kept: DataFrame, previous: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
@@ -166,7 +166,7 @@ def refine_transitions(prep: Prepared, params: RefineParams) -> Selection:
             members = _members(large_kept, large_kept, filtered).unionByName(
                 _members(large_kept, chosen, optimised))
             rows = rows.unionByName(subset_rows_long(prep.large, prep.refs, members))
-        return materialise(rows, "rows")
+        return materialise(rows, "rows", kept=True)
 
     def solution(found: DataFrame, chosen: DataFrame | None) -> DataFrame:
         kept = search.mask_fragments(found, prep.fragments, "solution")
@@ -186,7 +186,7 @@ def refine_transitions(prep: Prepared, params: RefineParams) -> Selection:
 
     rows = reduce(DataFrame.unionByName, [rows_a, rows_bc, rows_de])
     untouched = rows_a.filter(F.col("Comment") == cfg.STAGE_SMALL).select(ANALYTE, FRAGMENT).distinct()
-    transitions = materialise(solution(found_2, large_2).unionByName(untouched), "transitions")
+    transitions = materialise(solution(found_2, large_2).unionByName(untouched), "transitions", kept=True)
     return Selection(transitions, rows, params)
 
 
@@ -201,7 +201,7 @@ def rescore(traces: DataFrame, transitions: DataFrame, boundaries: DataFrame, zo
         cut = materialise(ce.cut_cells(kept, params), "cut")
     prep = prepare_cut(cut, params)
     rows = materialise(full_set_rows(prep, F.lit(cfg.STAGE_RESCORE)), "rows-f")
-    return materialise(scoring.score_replicates(rows, params.hot_group_rows), "rescored"), prep
+    return materialise(scoring.score_replicates(rows, params.hot_group_rows), "rescored", kept=True), prep
 
 
 def lost_analytes(prep: Prepared, transitions: DataFrame) -> DataFrame:
@@ -212,17 +212,22 @@ def lost_analytes(prep: Prepared, transitions: DataFrame) -> DataFrame:
 
 def refine_global(traces: DataFrame, params: RefineParams = RefineParams()) -> Refined:
     """Transitions, boundaries, rescored values, and an account of every run of the input: `rescored`, or
-    the reason why not. A missing label counts as a label of its own."""
-    traces = traces.withColumn(LABEL, F.coalesce(LABEL, F.lit(NO_LABEL)))
+    the reason why not. A missing label counts as a label of its own. Only the results stay written; all other
+    tables of the run are removed at its end."""
+    with run_folder(traces.sparkSession, "refine"):
+        return _refined(traces.withColumn(LABEL, F.coalesce(LABEL, F.lit(NO_LABEL))), params)
+
+
+def _refined(traces: DataFrame, params: RefineParams) -> Refined:
     runs = None
     if params.apply_prefilter:
         runs = materialise(traces.select(*RUN).distinct(), "runs")
-        traces = materialise(prefilter(traces, params), "filtered")
+        traces = prefilter(traces, params)
     traces = clustered(traces.select(*TRACE_COLUMNS), "traces", RUN, params.run_buckets)
     prep = prepare(traces, params)
     selected = refine_transitions(prep, params)
     summed = bd.replicate_traces(traces, selected.transitions, prep.zones)
-    boundaries = materialise(bd.refine_boundaries(summed, params.edge_fraction), "boundaries")
+    boundaries = materialise(bd.refine_boundaries(summed, params.edge_fraction), "boundaries", kept=True)
     scores, again = rescore(traces, selected.transitions, boundaries, prep.zones, params)
     return Refined(selected, boundaries, scores, account(prep, again, selected.transitions, scores, params,
                                                           runs))
@@ -249,4 +254,5 @@ def account(prep: Prepared, again: Prepared, transitions: DataFrame, scores: Dat
     rows = (every.join(done, RUN, "left").join(before, RUN, "left")
             .join(lost, ANALYTE, "left").join(after, RUN, "left"))
     return materialise(rows.select(*RUN, F.coalesce(
-        "_gone", "_done", "_before", "_lost", "_after", F.lit("no kept fragment in the run")).alias("reason")), "account")
+        "_gone", "_done", "_before", "_lost", "_after", F.lit("no kept fragment in the run")).alias("reason")),
+        "account", kept=True)

@@ -6,10 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+# The open run folders, innermost last, and the clustered tables of the innermost.
+_run_folders: ContextVar[tuple[str, ...]] = ContextVar("run_folders", default=())
+_run_tables: ContextVar[list[str]] = ContextVar("run_tables", default=[])
 
 
 def build_session(app: str = "peakloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,15 +59,42 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; never reused, so a rerun cannot mix with old files."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str, kept: bool = False) -> str:
+    """A fresh path in the shared folder; never reused, so a rerun cannot mix with old files. Within a
+    `run_folder` it lies there, unless it is to be kept."""
+    scopes = _run_folders.get()
+    root = scopes[-1] if scopes and not kept else shared_folder(spark).rstrip("/")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def run_folder(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """Intermediate tables written within are removed at the end, also after a failure; what is read later must
+    be written as `kept`. Folders nest. Everything written is in the shared folder, so lost executors lose none."""
+    path = new_path(spark, name)
+    mark = _run_folders.set((*_run_folders.get(), path))
+    tables: list[str] = []
+    held = _run_tables.set(tables)
+    try:
+        yield path
+    finally:
+        _run_folders.reset(mark)
+        _run_tables.reset(held)
+        for table in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours, whatever store it is in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialise(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Cut the lineage by writing a columnar table: it survives lost executors, and later readers
     load only the columns and row groups they need."""
-    path = new_path(df.sparkSession, name)
+    path = new_path(df.sparkSession, name, kept)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -76,6 +107,7 @@ def clustered(df: DataFrame, name: str, keys: Sequence[str], buckets: int | None
     path = new_path(spark, name)
     table = path.rsplit("/", 1)[-1].replace("-", "_")
     (df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(table))
+    _run_tables.get().append(table)
     return spark.table(table)
 
 

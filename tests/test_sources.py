@@ -106,9 +106,20 @@ def test_results_and_reports(spark, tmp_path):
     results.write_results(kept.withColumn(FRAGMENT, F.lit("f2")), path, "Transitions", "U")
     assert results.read_results(spark, path, "PeakBoundaries").collect() == limits.collect()
     assert {r[FRAGMENT] for r in results.read_results(spark, path, "Transitions").collect()} == {"f1", "f2"}
-    results.write_report(kept, str(tmp_path / "rep"), "Transition_results", glossary=kept)
-    assert (tmp_path / "rep" / "Transition_results" / "_SUCCESS").exists()
-    assert spark.read.option("header", True).csv(str(tmp_path / "rep" / "completed_analytes")).count() == 1
+    # written again: replaced, for this tag only; a write without commit does not count
+    results.write_results(kept, path, "Transitions")
+    results.stage_results(kept.withColumn(FRAGMENT, F.lit("f9")), path, "Transitions")
+    assert sorted(r[FRAGMENT] for r in results.read_results(spark, path, "Transitions").collect()) == ["f1", "f2"]
+    assert results.read_results(spark, path, "ReScore").count() == 0
+    for _ in range(2):
+        results.write_report(kept, str(tmp_path / "rep"), "Transition_results", glossary=kept)
+    read = lambda name: results.read_report(spark, str(tmp_path / "rep"), name).collect()
+    assert [tuple(r) for r in read("Transition_results")] == [("f1", "01234567")] == [tuple(r) for r in read("completed_analytes")]
+    # a folder of files from elsewhere has no manifest
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "x_Report_GR_Transitions_a.csv").write_text("f7;01234567\n")
+    assert [r[FRAGMENT] for r in results.read_results(spark, str(other), "Transitions").collect()] == ["f7"]
 
 
 def test_stream_ingest_and_glossary(spark, folder):
