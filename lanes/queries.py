@@ -618,6 +618,25 @@ def stream_ingest(spark, sf):
     return dataset.read_partition(spark, dst, rows.schema)
 
 
+def stream_ingest_files(spark, sf):
+    """The careful ingest: a file with a foreign header and a torn line are listed, all else arrives, and a batch
+    played again adds nothing."""
+    src, dst = _written_export(spark, sf, "arriving"), new_path(spark, "ingested")
+    torn = spark.createDataFrame([(",".join(EXPORT_HEADER),), ("only,three,fields",)], "value string")
+    torn.coalesce(1).write.text(f"{src}/torn")
+    spark.createDataFrame([("another,header",), ("1,2",)], "value string").coalesce(1).write.text(f"{src}/foreign")
+    files = sorted(r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                   .option("pathGlobFilter", "part-*").load(src).select("path").collect())
+    middle = len(files) // 2
+    for batch, part in ((0, files[:middle]), (1, files[middle:]), (0, files[:middle])):
+        ingest.ingest_batch(spark, part, batch, dst)
+    kind = ks.add_ids(export.coerce_types(spark.createDataFrame([], EXPORT), EXPORT), 6).schema
+    rows = ingest.read_ingested(spark, dst, kind).select(*CELL, GROUP, "TransitionLocator", "Area")
+    rejected = ingest.read_rejects(spark, dst).agg(F.array_join(F.sort_array(F.collect_list("reason")), ", ").alias("rejected"))
+    told = rejected.first()["rejected"]
+    return rows.withColumn("rejected", F.lit(told))
+
+
 def stream_glossary(spark, sf):
     src, dst = _written_export(spark, sf, "arriving"), new_path(spark, "glossary")
     rows = ingest.stream_export(spark, src)
@@ -694,5 +713,6 @@ QUERIES: dict[str, Query] = {
     "resumed_refinement": resumed_refinement,
     "one_analyte_csv": one_analyte_csv,
     "stream_ingest": stream_ingest,
+    "stream_ingest_files": stream_ingest_files,
     "stream_glossary": stream_glossary,
 }

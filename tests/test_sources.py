@@ -133,3 +133,39 @@ def test_stream_ingest_and_glossary(spark, folder):
     ingest.stream_glossary(rows, "fragment", str(folder / "g"), str(folder / "c2")).awaitTermination()
     assert sorted(r.FragmentIon for r in spark.read.parquet(str(folder / "g")).collect()) == ["y5", "y6"]
     assert LABEL in rows.columns
+
+
+def test_careful_ingest_lists_what_is_bad_and_takes_the_rest(spark, folder):
+    src, dst = folder / "in", str(folder / "careful")
+    (src / "bad.csv").write_text("x,y\n1,2\n")
+    (src / "empty.csv").write_text("")
+    (src / "torn.csv").write_text(",".join(EXPORT_HEADER) + "\nP1,only,three\n")
+    kind = ingest.stream_export(spark, str(src)).schema
+    run = lambda: ingest.ingest_files(spark, str(src), dst, str(folder / "c5"), files_per_trigger=2).awaitTermination()
+    run()
+    rows = lambda: ingest.read_ingested(spark, dst, kind)
+    assert rows().count() == 4 and {r[REP] for r in rows().select(REP).collect()} == {"b684c591"}
+    reasons = {(r.file.rsplit("/", 1)[1], r.reason, r.line) for r in ingest.read_rejects(spark, dst).collect()}
+    assert reasons == {("bad.csv", "foreign header", "x,y"),  # Spark lists no empty files
+                       ("torn.csv", "line does not parse", "P1,only,three")}
+    run()  # nothing new
+    ingest.ingest_batch(spark, [f"file://{src}/a.csv"], 0, dst)  # batch 0 played again
+    assert rows().count() == 4
+    # a batch that failed before its ledger row does not count, and is replaced when played again
+    spark.range(3).select(F.lit("x").alias("ProteinName"), F.lit(1).alias(GROUP)).write.partitionBy(GROUP).parquet(f"{dst}/rows/batch=99")
+    assert rows().count() == 4
+    ingest.ingest_batch(spark, [f"file://{src}/b.csv"], 99, dst)
+    assert rows().count() == 6
+
+
+def test_an_id_with_two_originals_stops_the_ingest(spark, folder, monkeypatch):
+    dst, src = str(folder / "clash"), folder / "in"
+    monkeypatch.setattr(ingest, "add_ids", lambda df, n: add_ids(df, n).withColumn(ANALYTE, F.lit("same")))
+    ingest.ingest_batch(spark, [f"file://{src}/a.csv"], 0, dst)
+    text = (src / "a.csv").read_text().replace("PEPTIDE", "OTHER")
+    (folder / "later").mkdir()
+    (folder / "later" / "c.csv").write_text(text)
+    with pytest.raises(Exception, match="several originals: analyte same"):
+        ingest.ingest_files(spark, str(folder / "later"), dst, str(folder / "c6")).processAllAvailable()
+    kind = ingest.stream_export(spark, str(src)).schema
+    assert ingest.read_ingested(spark, dst, kind).count() == 2
