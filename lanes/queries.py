@@ -628,7 +628,7 @@ def stream_ingest_files(spark, sf):
     files = sorted(r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True)
                    .option("pathGlobFilter", "part-*").load(src).select("path").collect())
     middle = len(files) // 2
-    for batch, part in ((0, files[:middle]), (1, files[middle:]), (0, files[:middle])):
+    for batch, part in (("0", files[:middle]), ("1", files[middle:]), ("0", files[:middle])):
         ingest.ingest_batch(spark, part, batch, dst)
     kind = ks.add_ids(export.coerce_types(spark.createDataFrame([], EXPORT), EXPORT), 6).schema
     rows = ingest.read_ingested(spark, dst, kind).select(*CELL, GROUP, "TransitionLocator", "Area")

@@ -9,6 +9,7 @@ moment the ledger lists the batch.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -57,9 +58,9 @@ def stream_glossary(rows: DataFrame, kind: str, dst: str, checkpoint: str,
 
 
 # Tables of an ingest beside its rows, each with a folder per batch.
-REJECTS = "batch bigint, file string, reason string, line string"
-ORIGINALS = "batch bigint, kind string, id string, original string"
-LEDGER = "batch bigint, files bigint, rejected_files bigint"
+REJECTS = "batch string, file string, reason string, line string"
+ORIGINALS = "batch string, kind string, id string, original string"
+LEDGER = "batch string, files bigint, rejected_files bigint"
 _BAD = "_bad"
 
 
@@ -81,7 +82,7 @@ def _committed(spark: SparkSession, dst: str, name: str, schema: str) -> DataFra
 
 def read_ingested(spark: SparkSession, dst: str, schema: T.StructType) -> DataFrame:
     """The rows of all committed batches."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
     return _committed(spark, dst, "rows", with_batch).select(*schema.names)
 
 
@@ -113,10 +114,10 @@ def originals(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.array(*parts)).alias("o")).select("o.*").distinct()
 
 
-def ingest_batch(spark: SparkSession, files: Sequence[str], batch: int, dst: str, n_groups: int = 6,
+def ingest_batch(spark: SparkSession, files: Sequence[str], batch: str, dst: str, n_groups: int = 6,
                  by: Sequence[str] = (GROUP,), header: Sequence[str] = EXPORT_HEADER,
                  schema: T.StructType = EXPORT) -> None:
-    """One batch of files, at most as many as a trigger takes. Played again, it changes nothing."""
+    """One batch of files, at most as many as a trigger takes. Played again under its name, it changes nothing."""
     if not _table(spark, dst, "ledger", LEDGER).filter(F.col("batch") == batch).isEmpty():
         return
 
@@ -157,9 +158,16 @@ def ingest_files(spark: SparkSession, src: str, dst: str, checkpoint: str, n_gro
     names = (spark.readStream.format("binaryFile").schema(binary).option("pathGlobFilter", glob)
              .option("maxFilesPerTrigger", files_per_trigger).load(src).select("path"))
 
+    started, ids = threading.Event(), []
+
     def step(arrived: DataFrame, batch: int) -> None:
         files = sorted(r["path"] for r in arrived.collect())
+        started.wait()
         if files:
-            ingest_batch(arrived.sparkSession, files, batch, dst, n_groups, by)
-    return (names.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+            ingest_batch(arrived.sparkSession, files, f"{ids[0]}-{batch}", dst, n_groups, by)
+    query = (names.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    # the id lives in the checkpoint: a restart keeps it, a new checkpoint numbers its batches anew
+    ids.append(query.id)
+    started.set()
+    return query
