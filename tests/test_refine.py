@@ -146,11 +146,13 @@ def test_refine_global_invariants(spark, traces):
     stages = {r.Comment for r in out.replicates.select("Comment").distinct().collect()}
     assert stages == {cfg.STAGE_SMALL, cfg.STAGE_INITIAL, cfg.STAGE_FILTER_1, cfg.STAGE_SEARCH_1,
                       cfg.STAGE_FILTER_2, cfg.STAGE_SEARCH_2}
-    # duplicates, another partitioning and the long form change nothing
+    # duplicates and another partitioning change nothing, nor does the long form
     same = lambda x: sorted(map(str, x.collect()))
-    for other in (params, RefineParams(list_limit=13)):
-        again = rf.refine_transitions(rf.prepare(everything.unionByName(everything).repartition(3), other), other)
-        assert same(again.transitions) == same(out.transitions)
+    again = rf.refine_transitions(rf.prepare(everything.unionByName(everything).repartition(3), params), params)
+    assert same(again.transitions) == same(out.transitions)
+    other = RefineParams(list_limit=6)
+    long = rf.refine_transitions(rf.prepare(traces.filter(f"{ANALYTE} in ('c', 'd')"), other), other).transitions
+    assert same(long) == same(out.transitions.filter(f"{ANALYTE} in ('c', 'd')"))
 
 
 def test_small_analytes_can_be_left_out(spark, traces):
