@@ -76,15 +76,16 @@ def analyte_fragments(cut: DataFrame, params: RefineParams) -> DataFrame:
     return counts.drop("n_runs").join(short, ANALYTE, "left")
 
 
-def coded_cells(cut: DataFrame, params: RefineParams) -> DataFrame:
+def coded_cells(cut: DataFrame, fragments: DataFrame) -> DataFrame:
     """The cells with `n_frag`, the number of fragments of their analyte, and `code`, the position in its list
-    (null where there is none). `cut` must be a written table."""
-    return (cut.drop("lead", "zone", "times").join(analyte_fragments(cut, params), ANALYTE)
+    (null where there is none). `fragments` are the `analyte_fragments`."""
+    return (cut.drop("lead", "zone", "times").join(fragments, ANALYTE)
             .withColumn("code", (F.array_position("frags", F.col(FRAGMENT)) - 1).cast("int")).drop("frags"))
 
 
 def build_cells(traces: DataFrame, params: RefineParams) -> DataFrame:
-    return coded_cells(materialise(cut_cells(traces, params), "cut"), params)
+    cut = materialise(cut_cells(traces, params), "cut")
+    return coded_cells(cut, analyte_fragments(cut, params))
 
 
 def conflicting_runs(cells: DataFrame) -> DataFrame:

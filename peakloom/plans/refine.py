@@ -7,7 +7,7 @@ the same plan on filtered input.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,7 +31,7 @@ TRACE_COLUMNS = [*CELL, "times", "intens", "mass_err", "MinStartTime", "MaxEndTi
 
 @dataclass(frozen=True)
 class Prepared:
-    """Written tables every later step reads."""
+    """Written tables every later step reads, and the zones, taken from one when asked for."""
 
     zones: DataFrame
     all_cells: DataFrame
@@ -96,16 +96,15 @@ def prepare(traces: DataFrame, params: RefineParams) -> Prepared:
 
 def prepare_cut(cut: DataFrame, params: RefineParams) -> Prepared:
     """The same from the written table of `cut_cells`."""
-    zones = materialise(ce.run_zones(cut), "zones")
-    all_cells = materialise(ce.coded_cells(cut, params), "cells")
+    fragments = materialise(ce.analyte_fragments(cut, params), "fragments")
+    all_cells = materialise(ce.coded_cells(cut, fragments), "cells")
     cells = ce.usable_cells(all_cells)
-    fragments = (all_cells.filter(F.col("code").isNotNull()).select(ANALYTE, FRAGMENT, "n_frag").distinct()
-                 .groupBy(ANALYTE, "n_frag").agg(F.sort_array(F.collect_list(FRAGMENT)).alias("frags")))
     library = materialise(ce.library_rank(cells), "library")
     refs = materialise(ce.reference_values(cells, library), "refs")
     grams = materialise(gram_table(cells, refs), "grams")
     has_large = not cells.filter(F.col("code").isNull()).isEmpty()
-    return Prepared(zones, all_cells, cells, materialise(fragments, "fragments"), library, refs, grams, has_large)
+    listed = fragments.filter(F.col("frags").isNotNull())
+    return Prepared(ce.run_zones(cut), all_cells, cells, listed, library, refs, grams, has_large)
 
 
 def _stage(comment: str, base: Column, mask: Column) -> Column:
@@ -225,6 +224,7 @@ def _refined(traces: DataFrame, params: RefineParams) -> Refined:
         traces = prefilter(traces, params)
     traces = clustered(traces.select(*TRACE_COLUMNS), "traces", RUN, params.run_buckets)
     prep = prepare(traces, params)
+    prep = replace(prep, zones=materialise(prep.zones, "zones"))
     selected = refine_transitions(prep, params)
     summed = bd.replicate_traces(traces, selected.transitions, prep.zones)
     boundaries = materialise(bd.refine_boundaries(summed, params.edge_fraction), "boundaries", kept=True)
