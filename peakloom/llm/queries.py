@@ -32,7 +32,7 @@ def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chaining.repeated_passages(table(spark, sf_dir, "documents"))
+    return chaining.with_classes(chaining.repeated_passages(table(spark, sf_dir, "documents")))
 
 
 def op6_fair_queue_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
