@@ -139,8 +139,12 @@ def _page_of(head: bytes) -> int | None:
     return int(found[1]) if found else None
 
 
-def describe(header: dict[str, str], block: bytes) -> dict:
-    """What a WARC record needs besides the block."""
+def _place(file: str, number: int) -> str:
+    return f"{file.rsplit('/', 1)[-1]} {number}"
+
+
+def describe(header: dict[str, str], block: bytes, place: str = "") -> dict:
+    """What a WARC record needs besides the block; equal records at different places have different ids."""
     head, payload = _split(block)
     date = re.sub(r"\D", "", header["Archive-date"]).ljust(14, "0")[:14]
     url = header["URL"]
@@ -149,7 +153,7 @@ def describe(header: dict[str, str], block: bytes) -> dict:
             "date": f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:]}Z",
             "type": "response" if head else "resource", "mime": header["Content-type"], "block_digest": f"sha1:{sha1}",
             "ip": header["IP-address"], "digest": hashlib.sha256(payload).hexdigest(),
-            "record_id": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {sha1}')}>"}
+            "record_id": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {sha1} {place}')}>"}
 
 
 def warc_record(found: dict, refers_to: tuple[int | None, str] | None = None) -> bytes:
@@ -216,7 +220,7 @@ def arc_index(arcs: DataFrame) -> DataFrame:
             for file in batch.column(0).to_pylist():
                 rows = []
                 for place, (header, block) in enumerate(arc_records(file)):
-                    found = describe(header, block)
+                    found = describe(header, block, _place(file, place))
                     rows.append((file, place, found["page_id"], found["record_id"], found["digest"], len(found["payload"])))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
@@ -245,7 +249,7 @@ def convert(arcs: DataFrame, folder: str | None = None, min_bytes: int = MIN_BYT
         for batch in batches:
             for file, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 to = {x["place"]: (x["page_id"], x["record_id"]) for x in found or ()}
-                chunks = (_member(warc_record(describe(header, block), to.get(place)))
+                chunks = (_member(warc_record(describe(header, block, _place(file, place)), to.get(place)))
                           for place, (header, block) in enumerate(arc_records(file)))
                 name = write_file(target, "pages.warc.gz", chunks)
                 yield pa.RecordBatch.from_arrays([pa.array([name])], ["file"])
