@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from peakloom.session import materialise, shared_folder
@@ -33,6 +33,14 @@ def masked(docs: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFram
     return aside, lambda df: df.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
+def set_aside(docs: DataFrame, needed: list[str], replaced: list[str]) -> tuple[DataFrame, list[Column]]:
+    """`docs` without the columns named like a replaced one, every column that is not needed renamed out of the
+    way; and the columns that give these their names back."""
+    names = {c: c if c in needed else f"_kept{k}_" for k, c in enumerate(docs.columns) if c.lower() not in replaced}
+    return (docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]),
+            [F.col(n).alias(c) for c, n in names.items()])
+
+
 def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,7 +6,7 @@ addresses shards by their prefix; its size follows the data volume over the limi
 
 Defined cases: a null text has 0 bytes, a null id hashes as the word null; rows with one id share a hash and
 cannot be parted, so a shard that holds a single hash may exceed the limit and says so in `oversize`; an
-empty table has one empty directory; columns named like a result column are replaced.
+empty table has one empty directory; columns named like a result column are replaced, all others stay.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peakloom.llm.common import set_aside
 from peakloom.session import materialise
 
 BITS = 32
@@ -23,7 +24,7 @@ OUT = ["hash", "n_bytes", "shard", "depth", "shard_bytes", "oversize"]
 
 def hashed(docs: DataFrame) -> DataFrame:
     """Adds `hash` (32 bits) and `n_bytes`."""
-    rest = [c for c in docs.columns if c.lower() not in OUT]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in OUT]
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     return docs.select(*rest, F.conv(F.substring(digest, 1, BITS // 4), 16, 10).cast("bigint").alias("hash"),
                        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
@@ -56,14 +57,15 @@ def directory(sizes: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFrame:
 
 def assign(docs: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFrame:
     """All rows and columns of `docs` with their shard: its prefix as a bit string, depth and bytes."""
-    rows = hashed(docs)
+    aside, kept = set_aside(docs, ["doc_id", "text"], OUT)
+    rows = hashed(aside)
     shards = directory(materialise(rows.select("hash", "n_bytes"), "sizes"), limit_bytes)
     # a row looks itself up once per depth in use; few depths occur, as hashes spread evenly
     depths = sorted(r["depth"] for r in shards.select("depth").distinct().collect())
     keyed = rows.withColumn("_depth", F.explode(F.array(*[F.lit(d) for d in depths] or [F.lit(0)])))
     keyed = keyed.withColumn("_prefix", F.expr(f"shiftrightunsigned(hash, {BITS} - _depth)"))
     return keyed.join(shards, (keyed["_depth"] == shards["depth"]) & (keyed["_prefix"] == shards["prefix"])).select(
-        *[rows[c] for c in rows.columns],
+        *kept, "hash", "n_bytes",
         F.expr("substring(lpad(bin(prefix), 64, '0'), 65 - depth, depth)").alias("shard"),
         "depth", "shard_bytes", "oversize")
 

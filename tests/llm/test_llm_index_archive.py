@@ -111,3 +111,13 @@ def test_pipeline_keeps_clean_documents_once(spark, tmp_path):
     none = spark.createDataFrame([], kind)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, "").count() == 0
+
+
+def test_equal_records_have_ids_of_their_own(spark):
+    page = "<p>" + "x" * 200
+    rows = [(1, "http://a/", page)] * 2 + [(None, "http://a/", page)] * 3 + [(2, "http://b/", "short")] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = warc.read_warc(warc.convert(warc.write_arc(pages.repartition(2)))).collect()
+    assert len({r.record_id for r in got}) == len(rows)
+    assert sorted(r.record_type for r in got) == ["response"] * 3 + ["revisit"] * 4
+    assert {r.refers_to for r in got if r.record_type == "revisit"} == {1}

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from peakloom.llm import bpe, chaining, mixing, quality, sharding, simhash, substrings, tokens
@@ -262,6 +263,49 @@ def test_passage_whose_parts_belong_to_others(spark):
     assert got and not any(inside)
 
 
+def test_passages_against_all_pairs(spark, monkeypatch):
+    """Every document against every earlier one: the rows found are among theirs, the words covered are the same,
+    and documents that share a passage are in one class. Small blocks and buckets, clashing columns, shared ids."""
+    monkeypatch.setattr(chaining, "BUCKET_WORDS", 2000)
+    rng, rows = random.Random(8), []
+    stock = [fresh(f"s{k}", rng.randint(40, 70)) for k in range(6)]
+    for k in range(60):
+        words = fresh(f"d{k}", rng.randint(0, 60))
+        for part in rng.sample(stock, rng.randint(0, 3)):
+            part = [w if rng.random() < 0.95 else f"e{k}x{j}" for j, w in enumerate(part)]
+            words += part + fresh(f"t{k}{part[1]}", rng.randint(0, 120))
+        rows.append((k, " ".join(words), "clash", 1))
+    split = fresh("p", 80)
+    for k in range(10):
+        rows.append((80 + k, " ".join(fresh(f"a{k}", 60) + split[8 * k:8 * k + 7]), "clash", 1))
+    for k in (100, 101):
+        rows.append((k, " ".join(f"o{k}x{j}" if j % 8 == 7 else w for j, w in enumerate(split)), "clash", 1))
+    rows += [(102, rows[3][1], "clash", 1), (102, "Other " + rows[4][1], "clash", 1), (None, rows[5][1], "clash", 1),
+             (103, None, "clash", 1), (104, "", "clash", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, block string, owner long")
+    got = chaining.with_classes(chaining.repeated_passages(docs.repartition(3))).collect()
+    known = [(i, coded((t or "").split())) for i, t, *_ in rows if i is not None and len((t or "").split()) >= 40]
+    want = {(i, j, *p) for i, one in known for j, two in known if j < i for p in chaining.passages(one, two)}
+    assert {tuple(r)[:7] for r in got} <= want and (101, 100) in {tuple(r)[:2] for r in got}
+    cover = lambda found: {(r[0], k) for r in found for k in range(r[2], r[3])}
+    assert cover(got) == cover(want)
+    group = {i: r.class_id for r in got for i in (r.doc_id, r.other_id)}
+    assert all(group[r[0]] == group[r[1]] for r in want)
+    assert all(r.class_id == min(i for i in group if group[i] == r.class_id) for r in got)
+    links = {(r.doc_id, r.other_id) for r in got}
+    assert all(r.n_links == sum(d == r.doc_id for d, _ in links) for r in got)
+
+
+def test_a_very_long_text_has_its_passages(spark):
+    long, passage = fresh("v", 150_000), fresh("p", 60)
+    texts = [long, fresh("a", 50) + passage, long[:70_000] + passage + long[70_000:]]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    got = sorted(map(tuple, chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert (2, 1, 70_000, 70_060, 50, 110, 60) in got
+    covered = {k for r in got if r[1] == 0 for k in range(r[2], r[3])}
+    assert covered >= {*range(70_000), *range(70_060, 150_060)}
+
+
 def test_mix_reaches_its_targets(docs, empty):
     got = mixing.mix(docs)
     assert got.columns == [c for c in docs.columns if c != "size"] + mixing.OUT
@@ -295,6 +339,15 @@ def test_shards_fit_their_limit(docs, empty):
     assert sharding.assign(empty, limit).count() == 0
 
 
+def test_shards_leave_other_columns_alone(docs):
+    names = ["prefix", "_prefix", "_depth", "a.b", "_kept0_"]
+    wide = docs.select("doc_id", "text", *[F.lit(n).alias(n) for n in names], F.create_map(F.lit(1), F.lit(2)).alias("m"))
+    got = sharding.assign(wide, 3000)
+    assert got.columns == wide.columns + ["hash", "n_bytes", "shard", "depth", "shard_bytes", "oversize"]
+    rows = got.collect()
+    assert len(rows) == len(TEXTS) and all(r[n] == n for r in rows for n in names) and all(r.m == {1: 2} for r in rows)
+
+
 @pytest.fixture(scope="module")
 def odd_texts():
     rng = random.Random(0)
