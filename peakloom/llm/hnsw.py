@@ -2,28 +2,33 @@
 
 Rows are dealt by a hash of their id to shards of about `shard_rows`. A shard's distinct vectors get random
 levels; on each level a vector is linked to its nearest ones, thinned so that links point in different
-directions, and to those that chose it. The index is a table of flat arrays, one row per shard. A search
-walks down the levels of every shard with many queries at once, scores what it found in double precision on
-the original vectors, and the shards' best are merged.
+directions, and to those that chose it. The index is one file of flat arrays per shard in the shared folder, and a
+table that lists them. A search walks down the levels of every shard with many queries at once, scores what it
+found in double precision on the original vectors, and the shards' best are merged. Queries lie in files too: what
+is dealt are names of files, by shard, so a task reads a shard's graph once for all its blocks of queries.
 
-Every row is indexed. Equal vectors of a shard share a node that lists all their ids in order; `k + 1` of
-them suffice for any query, as ties go to the smaller id. Links are chosen among all vectors of the shard and
-level, a bounded number. Recall at 5, measured against brute force: see README.
+Every row is indexed. Equal vectors of a shard share a node that lists all their ids in order, and how many rows
+each id has; `k + 1` of them suffice for any query, as ties go to the smaller id. Links are chosen among all vectors
+of the shard and level, a bounded number. Recall at 5, measured against brute force: see README.
 
 Defined cases: vectors that are null, zero, or hold a null, NaN or infinite component take no part, neither do
 rows without vec_id; vectors of different length are never compared; rows that share a vec_id are all
-candidates, and none of them for their own id; fewer than k candidates give fewer rows; an empty table gives an
-empty result.
+candidates, and none of them for their own id (such rows lie in several shards, equal ones are counted); fewer
+than k candidates give fewer rows; vectors of doubles keep their precision, and very large or small ones
+are scaled by powers of two; equal queries are asked once, queries that share a vec_id but not the vector share
+the k places; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peakloom.llm.common import parts
+from peakloom.llm.common import new_folder, open_file, parts, write_file
 from peakloom.session import materialise
 
 SHARD_ROWS = 8192
@@ -31,13 +36,18 @@ LINKS = 16
 BREADTH = 96
 BLOCK = 512
 
-INDEX = ("shard bigint, dim int, ids array<bigint>, starts array<int>, vectors array<float>, "
-         "levels array<int>, links array<int>")
+#: Tasks that may share a shard's questions.
+SPREAD = 8
+
+INDEX = "shard bigint, dim int, n_nodes bigint, file string"
+#: The arrays of an index file, in order.
+KINDS = {"ids": np.int64, "times": np.int64, "starts": np.int32, "vectors": np.float64, "levels": np.int32,
+         "links": np.int32}
 
 
 def vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, v): rows that take part."""
-    v = F.col(vector_col).cast("array<float>")
+    v = F.col(vector_col).cast("array<double>")
     rows = table.select(F.col(id_col).cast("bigint").alias("vec_id"), v.alias("v"))
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & good
@@ -85,16 +95,23 @@ def _level(unit: np.ndarray, nodes: np.ndarray, count: int) -> np.ndarray:
     return out
 
 
-def build(ids: np.ndarray, original: np.ndarray, links: int = LINKS):
-    """(ids, starts, vectors, levels, links) of one shard: node k has ids[starts[k]:starts[k + 1]]; levels
-    holds, per level from the base, the number of its nodes, then the nodes; links their rows."""
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two, so that their largest component is between 0.5 and 1; angles stay."""
+    _, power = np.frexp(np.abs(vectors).max(axis=1, keepdims=True, initial=0))
+    return np.ldexp(vectors, -power)
+
+
+def build(ids: np.ndarray, times: np.ndarray, original: np.ndarray, links: int = LINKS):
+    """(ids, times, starts, vectors, levels, links) of one shard: node k has ids[starts[k]:starts[k + 1]], as many
+    rows of each as `times` says; levels holds, per level from the base, the number of its nodes, then the
+    nodes; links their rows."""
     order = np.argsort(ids, kind="stable")
-    ids, original = ids[order], original[order]
+    ids, times, original = ids[order], times[order], original[order]
     distinct, which = np.unique(original, axis=0, return_inverse=True)
     which = which.ravel()
     by_node = np.argsort(which, kind="stable")
     starts = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(distinct)))])
-    unit = distinct.astype(np.float64)
+    unit = scaled(distinct)
     unit = (unit / np.linalg.norm(unit, axis=1, keepdims=True)).astype(np.float32)
     rng = np.random.default_rng(len(distinct))
     height = np.floor(-np.log(1 - rng.random(len(distinct))) / np.log(links)).astype(int)
@@ -103,17 +120,32 @@ def build(ids: np.ndarray, original: np.ndarray, links: int = LINKS):
         nodes = np.flatnonzero(height >= level)
         levels += [len(nodes), *nodes.tolist()]
         rows.append(_level(unit, nodes, links).ravel())
-    return ids[by_node], starts, distinct, levels, np.concatenate(rows)
+    return ids[by_node], times[by_node], starts, distinct.ravel(), levels, np.concatenate(rows)
+
+
+def written(folder: str, name: str, arrays, kinds) -> str:
+    """A file of arrays: their lengths, then each one."""
+    values = [np.asarray(a, kind) for a, kind in zip(arrays, kinds)]
+    return write_file(folder, name, [struct.pack(f"<{len(values)}q", *map(len, values)), *(v.tobytes() for v in values)])
+
+
+def loaded(file: str, kinds) -> list[np.ndarray]:
+    with open_file(file) as stream:
+        value = stream.read_buffer()
+    sizes, at, out = struct.unpack_from(f"<{len(kinds)}q", value), 8 * len(kinds), []
+    for size, kind in zip(sizes, map(np.dtype, kinds)):
+        out.append(np.frombuffer(value, kind, size, at))
+        at += size * kind.itemsize
+    return out
 
 
 class Graph:
     """A shard's index, ready for searches."""
 
-    def __init__(self, ids, starts, flat, dim, levels, links):
-        self.ids, self.starts, self.vectors = ids, starts, flat.reshape(-1, dim)
-        double = self.vectors.astype(np.float64)
-        self.norms = np.linalg.norm(double, axis=1)
-        self.unit = (double / self.norms[:, None]).astype(np.float32)
+    def __init__(self, dim, ids, times, starts, flat, levels, links):
+        self.ids, self.times, self.starts, self.vectors = ids, times, starts, scaled(flat.reshape(-1, dim))
+        self.norms = np.linalg.norm(self.vectors, axis=1)
+        self.unit = (self.vectors / self.norms[:, None]).astype(np.float32)
         self.layers, at, row = [], 0, 0
         count = len(self.vectors)
         width = len(links) // max(1, sum(self._sizes(levels)))
@@ -179,13 +211,13 @@ class Graph:
 
     def search(self, query_ids, queries, k: int, breadth: int):
         """(query_id, vec_id, score): up to k rows a query, exact scores."""
-        double = queries.astype(np.float64)
+        double = scaled(queries)
         norms = np.linalg.norm(double, axis=1)
         found = self.nearest((double / norms[:, None]).astype(np.float32), breadth)
         out = ([], [], [])
         for q, nodes in enumerate(found):
             nodes = nodes[nodes >= 0]
-            values = self.vectors[nodes].astype(np.float64) @ double[q] / (self.norms[nodes] * norms[q])
+            values = self.vectors[nodes] @ double[q] / (self.norms[nodes] * norms[q])
             best = nodes[np.argsort(-values, kind="stable")]
             values = np.sort(values)[::-1]
             rows = self._rows(best, values, int(query_ids[q]), k)
@@ -199,64 +231,71 @@ class Graph:
         for n, v in zip(best.tolist(), values.tolist()):
             if len(rows) >= k and -v > rows[k - 1][0]:
                 break
-            members = self.ids[self.starts[n]:self.starts[n + 1]]
-            members = members[members != own][:k]
+            span = slice(self.starts[n], self.starts[n + 1])
+            other = np.flatnonzero(self.ids[span] != own)[:k]
+            members = np.repeat(self.ids[span][other], np.minimum(self.times[span][other], k))[:k]
             rows = sorted(rows + [(-v, i) for i in members.tolist()])
         return rows[:k]
 
 
 def index(rows: DataFrame, shard_rows: int = SHARD_ROWS, links: int = LINKS) -> DataFrame:
-    """The index of (vec_id, v) as a written table of flat arrays, one row per shard."""
+    """The index of (vec_id, v): a written table with one row per shard and the file of its arrays."""
+    folder = new_folder(rows.sparkSession, "index")
+    # equal rows are counted first, so neither a frequent id nor a frequent row fills a shard
+    rows = materialise(rows.groupBy("vec_id", "v").agg(F.count("*").alias("times")), "vectors")
     shards = -(-rows.count() // shard_rows) or 1
-    dealt = rows.select((F.size("v").cast("bigint") * shards + F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
-                        .alias("shard"), "vec_id", "v")
+    dealt = rows.select((F.size("v").cast("bigint") * shards + F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)))
+                        .alias("shard"), "vec_id", "times", "v")
 
     def run(table: pa.Table) -> pa.Table:
-        ids = table.column("vec_id").to_numpy()
-        flat = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        names, starts, distinct, levels, rows_ = build(ids, flat.reshape(len(ids), -1), links)
-        one = lambda x, kind: pa.array([x], pa.list_(kind))
+        ids, times = (table.column(c).to_numpy() for c in ("vec_id", "times"))
+        flat = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        arrays = build(ids, times, flat, links)
         return pa.table({
-            "shard": table.column("shard")[:1], "dim": pa.array([distinct.shape[1]], pa.int32()),
-            "ids": one(names, pa.int64()), "starts": one(starts.astype(np.int32), pa.int32()),
-            "vectors": one(distinct.ravel(), pa.float32()), "levels": one(levels, pa.int32()),
-            "links": one(rows_, pa.int32())})
+            "shard": table.column("shard")[:1], "dim": pa.array([flat.shape[1]], pa.int32()),
+            "n_nodes": pa.array([len(arrays[2]) - 1], pa.int64()),
+            "file": pa.array([written(folder, "graph", arrays, KINDS.values())])})
     return materialise(dealt.groupBy("shard").applyInArrow(run, INDEX), "graphs")
 
 
-def search(built: DataFrame, queries: DataFrame, k: int = 5, breadth: int = BREADTH, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score) of queries (vec_id, v), which go in blocks to every shard."""
-    def pack(batches):
+def questions(queries: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(dim, asked): queries (vec_id, v) in files of up to `block` ids and vectors of one length, equal ones once."""
+    folder = new_folder(queries.sparkSession, "questions")
+
+    def run(batches):
         for batch in batches:
-            for dim in sorted(set(np.diff(batch.column(1).offsets.to_numpy()))):
-                rows = batch.filter(pa.array(np.diff(batch.column(1).offsets.to_numpy()) == dim))
+            dims = np.diff(batch.column(1).offsets.to_numpy())
+            for dim in sorted(set(dims.tolist())):
+                rows = batch.filter(pa.array(dims == dim))
                 for a in range(0, len(rows), block):
                     part = rows.slice(a, block)
-                    flat = part.column(1).flatten().to_numpy(zero_copy_only=False)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([dim], pa.int32()), pa.array([part.column(0).to_numpy().tobytes()], pa.binary()),
-                         pa.array([flat.astype(np.float32).tobytes()], pa.binary())], ["dim", "qids", "qvectors"])
-    # a block asks every shard of its dimension; the shards' names come with the graphs' small key columns
-    packed = materialise(queries.mapInArrow(pack, "dim int, qids binary, qvectors binary"), "questions")
-    asked = packed.join(built.select("dim", "shard"), "dim").join(built.drop("dim"), "shard")
+                    file = written(folder, "block", (part.column(0).to_numpy(), part.column(1).flatten().to_numpy(
+                        zero_copy_only=False)), (np.int64, np.float64))
+                    yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([file])], ["dim", "asked"])
+    return materialise(queries.select("vec_id", "v").dropDuplicates(["vec_id", "v"]).mapInArrow(run, "dim int, asked string"), "questions")
+
 
+def search(built: DataFrame, queries: DataFrame, k: int = 5, breadth: int = BREADTH, block: int = BLOCK) -> DataFrame:
+    """(query_id, rank, vec_id, score) of queries (vec_id, v), which go in blocks to every shard."""
     def run(batches):
-        held = (None, None)
+        held, graph = None, None
         for batch in batches:
-            for k_ in range(len(batch)):
-                row = {c: batch.column(c)[k_] for c in batch.schema.names}
-                dim, shard = row["dim"].as_py(), row["shard"].as_py()
-                if held[0] != shard:
-                    array = lambda c: row[c].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
-                    held = (shard, Graph(array("ids"), array("starts"), array("vectors"), dim,
-                                         array("levels"), array("links")))
-                ids = np.frombuffer(row["qids"].as_buffer(), np.int64)
-                flat = np.frombuffer(row["qvectors"].as_buffer(), np.float32).reshape(-1, dim)
-                found = held[1].search(ids, flat, k, breadth)
+            for dim, file, asked in zip(*(batch.column(c).to_pylist() for c in ("dim", "file", "asked"))):
+                if held != file:
+                    held, graph = file, Graph(dim, *loaded(file, KINDS.values()))
+                ids, flat = loaded(asked, (np.int64, np.float64))
+                found = graph.search(ids, flat.reshape(-1, dim), k, breadth)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())],
                     ["query_id", "vec_id", "score"])
-    best = asked.repartition(parts(queries)).mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    # a block asks every shard of its length; what moves are two names of files. Most vectors have one length, so
+    # the blocks are salted and the short list of shards repeated per salt
+    n = parts(queries)
+    blocks = questions(queries, block).withColumn("_salt", F.pmod(F.xxhash64("asked"), F.lit(n)))
+    shards = built.select("dim", "file", F.explode(F.expr(f"sequence(0L, {n - 1}L)")).alias("_salt"))
+    pairs = blocks.join(shards, ["dim", "_salt"]).repartition(
+        n, "file", F.pmod(F.xxhash64("asked"), F.lit(SPREAD))).sortWithinPartitions("file")
+    best = pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

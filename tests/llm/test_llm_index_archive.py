@@ -41,6 +41,31 @@ def test_neighbours_reach_their_recall(spark):
     assert hnsw.search(hnsw.index(none), none).count() == 0
 
 
+def test_neighbours_of_doubles_and_shared_ids(spark):
+    """Doubles keep their precision and range; an id that many rows share is spread over the shards; equal rows are
+    all candidates; clashing columns are not read."""
+    rows = [(0, [0.3, 1.0]), (1, [0.30000001, 1.0]), (2, [1e39, 0.0]), (3, [1e300, 1e300]), (4, [1e-300, 0.0])]
+    rows += [(7, [1.0, 0.01 * k]) for k in range(40)] + [(8, [-1.0, 0.5])] * 4
+    kind = "vec_id long, embedding array<double>, v string, times string, file string"
+    table = spark.createDataFrame([(*r, "clash", "clash", "clash") for r in rows], kind)
+    good = hnsw.vectors(table)
+    built = hnsw.index(good, shard_rows=12)
+    assert built.where("n_nodes > 0").count() > 2
+    got = hnsw.search(built, good.where("vec_id in (0, 2, 3, 8)")).collect()
+    unit = [(i, *(np.array(v) / max(map(abs, v)) / np.linalg.norm(np.array(v) / max(map(abs, v))))) for i, v in rows]
+    for q in (0, 2, 3, 8):
+        x, y = next(u[1:] for u in unit if u[0] == q)
+        best = sorted((-(x * a + y * b), i) for i, a, b in unit if i != q)[:5]
+        mine = sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])
+        assert [r.vec_id for r in mine] == [i for _, i in best]
+        assert all(abs(r.score + s) < 1e-15 for r, (s, _) in zip(mine, best))
+    near = next(r for r in got if r.query_id == 0 and r["rank"] == 1)
+    assert near.vec_id == 1 and near.score <= 1.0
+    assert [r.vec_id for r in hnsw.search(built, good.where("vec_id = 1")).collect()].count(8) == 0
+    away = hnsw.search(built, spark.createDataFrame([(50, [-1.0, 0.5])], "vec_id long, v array<double>")).collect()
+    assert sorted(r.vec_id for r in away)[-4:] == [8] * 4
+
+
 PAGES = [(1, "http://a", "x" * 200), (2, "http://b c", "x" * 200), (3, None, "x" * 200), (4, "u", "short"), (5, "u", "short"),
          (6, "u", None), (None, "n", "x" * 200), (0, "z", "é" * 50), (2, "http://b c", "x" * 200), (8, "v", "a\r\n\r\nb" * 40),
          (9, "w", "WARC/1.0\r\n" * 30), (7, "v", "a\r\n\r\nb" * 40)]
