@@ -38,7 +38,7 @@ def set_aside(docs: DataFrame, needed: list[str], replaced: list[str]) -> tuple[
     way; and the columns that give these their names back."""
     names = {c: c if c in needed else f"_kept{k}_" for k, c in enumerate(docs.columns) if c.lower() not in replaced}
     return (docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]),
-            [F.col(n).alias(c) for c, n in names.items()])
+            [F.col(f"`{n}`").alias(c) for c, n in names.items()])
 
 
 def parts(df: DataFrame) -> int:

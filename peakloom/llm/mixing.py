@@ -7,7 +7,8 @@ again, up to `passes` times, its clock running on.
 
 Defined cases: a null text has size 0 and is never taken; a null source is a source of its own, sorted
 last; documents that share a doc_id are ordered by their text, equal rows tie and are taken alike; an
-empty table gives an empty result; other columns stay, those named like a result column are replaced.
+empty table gives an empty result; other columns stay whatever their names, those named like a result column are
+replaced.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peakloom.llm.common import masked, running_total, word_count
+from peakloom.llm.common import masked, running_total, set_aside, word_count
 from peakloom.session import materialise
 
 WEIGHTS = (3, 1, 2)
@@ -57,8 +58,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
         passes: int = PASSES, seed: str = "mix") -> DataFrame:
     """All rows and columns of `docs` with size, source_size, target, and taken: words the mix takes."""
-    rest = [c for c in docs.columns if c.lower() not in OUT]
-    keyed = docs.select(*rest).withColumns({
+    aside, kept = set_aside(docs, ["doc_id", "text", "source"], OUT)
+    keyed = aside.withColumns({
         "_null": F.col("source").isNull(), "_tie": F.md5(F.coalesce(F.col("text"), F.lit(""))),
         "_key": F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))})
     small = materialise(keyed.select("_null", "source", "_key", "_tie", word_count("text").alias("size")), "sizes")
@@ -91,7 +92,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     once = clock.dropDuplicates(["source", "_key", "_tie"]).withColumn("taken", taken.cast("bigint"))
     at = once.select(F.col("source").alias("_s"), F.col("_key").alias("_k"), F.col("_tie").alias("_t"), *OUT)
     return keyed.join(at, keyed["source"].eqNullSafe(at["_s"]) & (keyed["_key"] == at["_k"])
-                      & (keyed["_tie"] == at["_t"])).select(*rest, *OUT)
+                      & (keyed["_tie"] == at["_t"])).select(*kept, *OUT)
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:

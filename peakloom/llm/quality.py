@@ -5,8 +5,8 @@ policy, `ablations` counts from the bits alone what each rule of a policy adds.
 no shuffle; a policy can change without reading the texts again.
 
 Defined cases: a null text counts as an empty one (no words, fails `few_words`); an empty table gives an
-empty ledger; repeated rows are judged one by one; other columns are kept, and a column named like one of
-the measurements is replaced.
+empty ledger; repeated rows are judged one by one; other columns are kept whatever their names, but one named
+like a measurement, `failed`, or a verdict of `apply_policy` is replaced.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peakloom.llm.common import BLANKS, masked
+from peakloom.llm.common import BLANKS, masked, set_aside
 
 WINDOW = 5
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_exclaim", "n_repeat_words"]
@@ -73,9 +73,9 @@ def _repeat_columns(df: DataFrame) -> DataFrame:
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of `docs`, the measurements, and `failed`: one bit per rule."""
-    kept = [c for c in docs.columns if c.lower() not in {*MEASURES, "failed"}]
-    whole = F.coalesce(F.col(text), F.lit(""))
-    df = docs.withColumn("_text", whole).withColumn("_words", F.array_remove(F.split("_text", BLANKS), ""))
+    aside, kept = set_aside(docs, [text], [*MEASURES, "failed"])
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    df = aside.withColumn("_text", whole).withColumn("_words", F.array_remove(F.split("_text", BLANKS), ""))
     df = df.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     symbols: Column = F.regexp_count("_text", F.lit(r"[#*$%&|<>]"))
     df = df.withColumns({

@@ -20,10 +20,11 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from peakloom.llm.common import parts
+from peakloom.llm.common import masked, parts
 from peakloom.llm.components import components
 from peakloom.session import materialise
 
@@ -136,12 +137,28 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile: int = TILE) ->
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _hashable(field: T.StructField) -> Column:
+    """A column whose hash Spark can take: maps have none, so what holds one is hashed as JSON."""
+    value = F.col(f"`{field.name}`")
+    return F.to_json(F.struct(value)) if "map<" in field.dataType.simpleString() else value
+
+
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """All columns of one row per component: the row of its smallest doc_id. Rows that share an id count as
-    one document, the one with the smallest hash of its values stays; rows without an id all stay."""
-    named = near_duplicates(docs, radius)
+    one document, the one with the smallest hash of its values stays; rows without an id all stay. Other columns
+    stay whatever their names and types.
+
+    Hashes are grouped, not rows: a whole row meets its id's smallest hash once, and only rows equal in all
+    values are grouped."""
+    aside, back = masked(docs, "doc_id", "text")
+    named = near_duplicates(aside, radius)
     keep = named.where("doc_id = component_id").select("doc_id").distinct()
-    row = F.struct(*docs.columns)
-    kept = docs.join(keep, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("_id")).agg(
-        F.min_by(row, F.xxhash64(row)).alias("_row")).select("_row.*")
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    hashed = aside.withColumn("_hash", F.xxhash64(*map(_hashable, aside.schema.fields)))
+    least = hashed.groupBy("doc_id", "_hash").agg(F.count("*").alias("_n")).groupBy("doc_id").agg(
+        F.min(F.struct("_hash", "_n")).alias("_least"))
+    chosen = materialise(least.join(keep, "doc_id", "left_semi").select("doc_id", "_least.*"), "chosen")
+    kept = hashed.join(chosen.where("_n = 1"), ["doc_id", "_hash"])
+    ties = chosen.where("_n > 1")
+    if not ties.isEmpty():
+        kept = kept.unionByName(hashed.join(ties, ["doc_id", "_hash"]).dropDuplicates(["doc_id"]))
+    return back(kept.drop("_hash", "_n").unionByName(aside.where("doc_id is null")))

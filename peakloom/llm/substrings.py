@@ -30,7 +30,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from peakloom.llm import blocks as bl
 from peakloom.llm.bwt import smallest_owner
-from peakloom.llm.common import parts
+from peakloom.llm.common import masked, parts
 from peakloom.session import materialise
 
 LENGTH = 50
@@ -276,4 +276,5 @@ def deduplicate(docs: DataFrame, texts: bool = False) -> DataFrame:
 
 def strip(docs: DataFrame) -> DataFrame:
     """The columns of `docs`, their texts without the removed bytes and without characters cut in half."""
-    return deduplicate(docs, texts=True).select(*docs.columns)
+    aside, back = masked(docs, "doc_id", "text")
+    return back(deduplicate(aside, texts=True))

@@ -339,6 +339,27 @@ def test_shards_fit_their_limit(docs, empty):
     assert sharding.assign(empty, limit).count() == 0
 
 
+@pytest.mark.parametrize("operator, added", [
+    (lambda d: quality.apply_policy(quality.ledger(d), "web-2"), [*quality.MEASURES, "failed", "base_failed", "kept"]),
+    (lambda d: quality.keep(d, "web-2"), []), (mixing.mix, mixing.OUT), (mixing.mixed, []),
+    (simhash.keep_one, []), (substrings.strip, [])], ids=["ledger", "keep", "mix", "mixed", "keep_one", "strip"])
+def test_other_columns_stay(docs, operator, added):
+    """Columns that carry the operators' own helper names, dots or maps come back as they were."""
+    names = ["_text", "_words", "_lines", "_codes", "_grams", "_pairs", "_starts", "_row", "_key", "_tie", "_null", "_sum",
+             "_cum", "_pass", "_s", "_hash", "_n", "_least", "fp", "component_id", "rows", "codes", "_kept0_", "_kept1_", "a.b"]
+    rows = docs.select("doc_id", "text", "source").where("doc_id is null or doc_id not in (13, 14, 15)")
+    rows = rows.select("*", *[F.concat(F.lit(n), F.coalesce(F.md5("text"), F.lit("-"))).alias(n) for n in names],
+                       F.create_map(F.lit(1), F.coalesce("doc_id", F.lit(-1))).alias("m"))
+    got = operator(rows)
+    assert got.columns == rows.columns + added
+    want = {r.doc_id: r for r in rows.collect()}
+    found = got.collect()
+    assert found
+    for r in found:
+        assert all(r[n].startswith(n) and r[n][len(n):] == want[r.doc_id][n][len(n):] for n in names)
+        assert r.m == {1: -1 if r.doc_id is None else r.doc_id}
+
+
 def test_shards_leave_other_columns_alone(docs):
     names = ["prefix", "_prefix", "_depth", "a.b", "_kept0_"]
     wide = docs.select("doc_id", "text", *[F.lit(n).alias(n) for n in names], F.create_map(F.lit(1), F.lit(2)).alias("m"))
