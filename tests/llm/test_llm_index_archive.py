@@ -4,10 +4,13 @@ import hashlib
 import re
 
 import numpy as np
+import public_tokenizers
 import pytest
+import xxhash
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from peakloom.llm import hnsw, warc
+from peakloom.llm import bpe, hnsw, warc
 
 
 def test_neighbours_reach_their_recall(spark):
@@ -138,6 +141,105 @@ def test_pipeline_keeps_clean_documents_once(spark, tmp_path):
         assert stage(spark, none, "").count() == 0
 
 
+def by_rules(rows):
+    from test_llm_text import measure
+
+    def good(text):
+        n, chars, symbols, doubled, repeated = measure(text)
+        lines = sum(bool(x.strip(" \t\n\v\f\r")) for x in (text or "").split("\n"))
+        return (n >= 10 and 100 * repeated <= 20 * n and 10 * symbols <= 3 * n and 2 * n <= chars <= 15 * n
+                and 100 * doubled <= 40 * lines and 10 * (text or "").count("!") <= 5 * n)
+    return [r for r in rows if good(r[1])]
+
+
+def one_of_each(rows):
+    def fingerprint(text):
+        words = re.findall(r"[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        hashes = [xxhash.xxh64(" ".join(words[k:k + 4]).encode(), seed=42).intdigest()
+                  for k in range(max(1, len(words) - 3))] if words else []
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    marks, group = [fingerprint(r[1]) for r in rows], list(range(len(rows)))
+    for a, one in enumerate(marks):
+        for b, two in enumerate(marks):
+            if (one ^ two).bit_count() <= 4:
+                group = [group[a] if g == group[b] else g for g in group]
+    least = {}
+    for r, g in zip(rows, group):
+        if r[0] is not None:
+            least[g] = min(least.get(g, r[0]), r[0])
+    return [r for r, g in zip(rows, group) if r[0] is None or r[0] == least[g]]
+
+
+def without_passages(rows):
+    first, out = {}, []
+    for i, text, *_ in rows:
+        for k in range(len((text or "").encode()) - 49) if i is not None else ():
+            piece = text.encode()[k:k + 50]
+            first[piece] = min(first.get(piece, i), i)
+    for i, text, *rest in rows:
+        data = (text or "").encode()
+        gone = {k + j for k in range(len(data) - 49) for j in range(50)
+                if first.get(data[k:k + 50], 1 << 62) < (1 << 61 if i is None else i)}
+        out.append((i, bytes(b for k, b in enumerate(data) if k not in gone).decode("utf-8", "ignore"), *rest))
+    return out
+
+
+def in_mix(rows):
+    """Every row as often as it is taken; sources in order weigh 3, 1, 2."""
+    place = lambda s: (s is None, s or "")
+    size = [len(re.findall(r"[^\x20\x09-\x0d]+", r[1] or "")) for r in rows]
+    sources = sorted({r[3] for r in rows}, key=place)
+    total = {s: sum(n for r, n in zip(rows, size) if r[3] == s) for s in sources}
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sources)}
+    full: set = set()
+    while True:
+        level = (1.5 * sum(total.values()) - sum(2 * total[s] for s in full)) / sum(
+            weight[s] for s in sources if s not in full)
+        more = {s for s in sources if 2 * total[s] <= level * weight[s]}
+        if more <= full:
+            break
+        full |= more
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    visits = []
+    for s in sources:
+        target, upto = 2.0 * total[s] if s in full else level * weight[s], 0
+        keys = sorted((md5(f"mix:{'null' if r[0] is None else r[0]}"), md5(r[1] or ""), k)
+                      for k, r in enumerate(rows) if r[3] == s)
+        for key, tie, k in keys:
+            upto += size[k]
+            visits += [((p * total[s] + upto) / target, *place(s), p, key, tie, k) for p in (0, 1) if size[k]]
+    out, served = [], 0
+    for *_, k in sorted(visits):
+        served += size[k]
+        if served > 1.5 * sum(total.values()):
+            break
+        out.append(rows[k])
+    return out
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    """The whole result of `run`, ids and digests included, against the five stages in plain Python."""
+    from test_llm_text import prose
+    texts = [prose(200 + k, 30 + 11 * k) for k in range(14)]
+    rows = [(k, t, "en", ("s0", "s1", "s2", None)[k % 4 if k % 5 else 0], len(t)) for k, t in enumerate(texts)]
+    odd = [texts[3], "Intro words. " + texts[9][:500] + " and some more", texts[4].upper(), texts[6] + "!", None, "", "few words",
+           "!!! " * 50, prose(240, 4) * 12, "ünï " + texts[11][7:200] + " 日本語 " + prose(241, 40), "$ # " * 30 + prose(242, 20)]
+    rows += [(20 + k, t, None, f"s{k % 3}", None) for k, t in enumerate(odd)]
+    rows += [(None, prose(250, 50), "en", "s1", 1), (None, texts[2], "en", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    library, want = Tokenizer.from_file(public_tokenizers.path(bpe.VOCABULARY)), []
+    for i, text, *_ in in_mix(without_passages(one_of_each(by_rules(rows)))):
+        ids = library.encode(text, add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        want.append((i, len(ids), ids, hashlib.sha256(decoded.encode()).hexdigest()))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    taken = [r[0] for r in want]
+    assert 10 < len(set(taken)) < len(taken) and len(set(taken)) < len(rows) - 5
+
+
 def test_equal_records_have_ids_of_their_own(spark):
     page = "<p>" + "x" * 200
     rows = [(1, "http://a/", page)] * 2 + [(None, "http://a/", page)] * 3 + [(2, "http://b/", "short")] * 2
