@@ -257,7 +257,9 @@ def write_tokens(docs: DataFrame, folder: str | None = None, path: str | None =
             [pa.array([count["part"]], pa.int64()), pa.array([file]), pa.array([count["docs"]], pa.int64()),
              pa.array([count["ids"]], pa.int64())], ["part", "file", "n_docs", "n_ids"])
     rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
-    ranged = rows.repartitionByRange(parts(docs), "_id").sortWithinPartitions("_id", "_text").withColumn(
+    # a frequent id, null above all, is cut into several files by the hash of its texts
+    order = ["_id", F.xxhash64("_text"), "_text"]
+    ranged = rows.repartitionByRange(parts(docs), *order[:2]).sortWithinPartitions(*order).withColumn(
         "_part", F.spark_partition_id().cast("bigint"))
     return materialise(ranged.mapInArrow(run, "part bigint, file string, n_docs bigint, n_ids bigint"), "manifest")
 

@@ -428,6 +428,19 @@ def test_token_files_round_trip(spark, docs, empty, odd_texts):
     assert tokens.digests(empty).count() == 0
 
 
+def test_rows_without_an_id_fill_several_files(spark):
+    """Their texts are still read back whole, in one order, with starts that go on from file to file."""
+    rows = [(None, prose(k, 30)) for k in range(200)] + [(7, prose(300, 20)), (9, None)]
+    manifest = tokens.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert manifest.count() > 2 and max(r.n_docs for r in manifest.collect()) < 150
+    back = sorted(tokens.read_tokens(manifest).collect(), key=lambda r: r.start)
+    assert [r.start for r in back] == [sum(len(x.ids) // 4 for x in back[:k]) for k in range(len(back))]
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))
+    want = [(i, (*library.encode(t or "", add_special_tokens=False).ids, 0)) for i, t in rows]
+    got = [(r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in back]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and [i for i, _ in got][-2:] == [7, 9]
+
+
 def test_a_damaged_frame_is_noticed(spark, tmp_path):
     docs = spark.createDataFrame([(1, prose(1, 400))], "doc_id long, text string")
     uri = tokens.write_tokens(docs, f"file://{tmp_path}").first()["file"]
