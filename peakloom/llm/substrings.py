@@ -21,6 +21,7 @@ the counts and digests are those of the bytes.
 from __future__ import annotations
 
 import hashlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -153,66 +154,72 @@ def _runs(values: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
     return text, at - begins[text], end - begins[text], values[at], first
 
 
+def _meeting(order: np.ndarray, anchor: np.ndarray, size: np.ndarray, text):
+    """Passages in the order of their anchors, some whole anchors at a time: (their places, the distinct one each is,
+    the distinct ones). Only these are ever held as texts of their own."""
+    lengths = np.cumsum(size[order] + 1)
+    # cut between anchors, so equal windows stay together
+    ends = np.flatnonzero(np.append(anchor[order[1:]] != anchor[order[:-1]], True)) + 1
+    a = 0
+    while a < len(order):
+        found: dict[bytes, int] = {}
+        which, total, b = [], 0, a
+        while b < len(order) and total < BATCH:
+            reach = np.searchsorted(lengths, (lengths[b - 1] if b else 0) + BATCH - total, "right")
+            c = int(ends[min(np.searchsorted(ends, max(int(reach), b + 1)), len(ends) - 1)])
+            known = len(found)
+            which += [found.setdefault(text(k), len(found)) for k in order[b:c].tolist()]
+            total += sum(len(x) + 1 for x in islice(found, known, None))
+            b = c
+        yield order[a:b], np.array(which), list(found)
+        a = b
+
+
 def _owners(sent: DataFrame) -> DataFrame:
     """Answers per block: runs of windows of a passage with the smallest doc_id that holds them."""
     def run(batches):
-        blocks, sizes, parts_ = [], [], []
-        texts: list[bytes] = []
+        blocks, raw, parts_ = [], [], []
         for batch in batches:
             for row in zip(*(batch.column(k) for k in range(1, 8))):
-                size = np.frombuffer(row[5].as_buffer(), np.int64)
-                raw, ends = zstandard.decompress(row[6].as_py()), np.cumsum(size)
-                texts += [raw[b - n:b] for n, b in zip(size.tolist(), ends.tolist())]
+                parts_.append([np.frombuffer(x.as_buffer(), kind).copy() for x, kind in
+                               zip(row[1:6], (np.uint32, np.uint64, np.int64, np.int64, np.int64))])
                 blocks.append(row[0].as_py())
-                sizes.append(len(size))
-                parts_.append([np.frombuffer(x.as_buffer(), kind) for x, kind in
-                               zip(row[1:5], (np.uint32, np.uint64, np.int64, np.int64))])
+                raw.append(zstandard.decompress(row[6].as_py()))
+            del batch, row
         if not blocks:
             return
-        entry, anchor, least, most = (np.concatenate(x) for x in zip(*parts_))
-        found: dict[bytes, int] = {}
-        which = np.fromiter((found.setdefault(t, len(found)) for t in texts), np.int64, len(texts))
-        distinct = list(found)
-        owner, code = np.full(len(distinct), bl.NO_ID), np.zeros(len(distinct), np.uint64)
-        np.minimum.at(owner, which, least)
-        code[which] = anchor
-        by_code = np.argsort(code, kind="stable")
-        lengths = np.cumsum(np.fromiter((len(distinct[k]) + 1 for k in by_code), np.int64, len(by_code)))
-        # cut between anchors, so equal windows stay together
-        same = np.concatenate([[False], code[by_code[1:]] == code[by_code[:-1]], [False]])
-        back, answers = np.empty(len(distinct), np.int64), []
-        a = base = 0
-        while a < len(by_code):
-            b = int(np.searchsorted(lengths, base + BATCH, "right"))
-            b = max(b, a + 1)
-            while same[b]:
-                b += 1
-            group = by_code[a:b]
-            values, begins = smallest_owner([distinct[k] for k in group], owner[group], LENGTH)
-            answers.append((group, *_runs(values, begins)))
-            a, base = b, lengths[b - 1]
-        counts, starts, table = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64), []
-        total = 0
-        for group, _, start, end, value, first in answers:
-            counts[group], starts[group] = np.diff(first), first[:-1] + total
-            total += len(start)
-            table.append((start, end, value))
-        start, end, value = (np.concatenate(x) for x in zip(*table))
-        # back to every passage of every block; a run helps if some document there comes later
-        times = counts[which]
-        rep = np.repeat(np.arange(len(which)), times)
-        run_ = np.arange(len(rep)) - np.repeat(np.cumsum(times) - times, times) + starts[which][rep]
-        useful = value[run_] < most[rep]
-        block_of = np.repeat(np.arange(len(blocks)), sizes)
-        rep, run_ = rep[useful], run_[useful]
-        out = np.empty(len(rep), _RUN)
-        out["entry"], out["start"], out["end"], out["doc"] = entry[rep], start[run_], end[run_], value[run_]
-        cuts = np.searchsorted(block_of[rep], np.arange(len(blocks) + 1))
-        some = np.flatnonzero(np.diff(cuts))
-        if len(some):
+        sizes = [len(x[0]) for x in parts_]
+        ends = np.concatenate([np.cumsum(x[4]) for x in parts_])
+        entry, anchor, least, most, size = (np.concatenate(x) for x in zip(*parts_))
+        del parts_
+        block_of = np.repeat(np.arange(len(blocks), dtype=np.int32), sizes)
+
+        def text(k: int) -> bytes:
+            return raw[block_of[k]][ends[k] - size[k]:ends[k]]
+
+        kept = []
+        for group, which, distinct in _meeting(np.argsort(anchor, kind="stable"), anchor, size, text):
+            owner = np.full(len(distinct), bl.NO_ID)
+            np.minimum.at(owner, which, least[group])
+            values, begins = smallest_owner(distinct, owner, LENGTH)
+            _, start, end, value, first = _runs(values, begins)
+            # back to every passage of every block; a run helps if some document there comes later
+            times = np.diff(first)[which]
+            rep = np.repeat(np.arange(len(which)), times)
+            run_ = np.arange(len(rep)) - np.repeat(np.cumsum(times) - times, times) + first[:-1][which][rep]
+            useful = value[run_] < most[group][rep]
+            rep, run_ = group[rep[useful]], run_[useful]
+            out = np.empty(len(rep), _RUN)
+            out["entry"], out["start"], out["end"], out["doc"] = entry[rep], start[run_], end[run_], value[run_]
+            kept.append((block_of[rep], out))
+        block_of, out = (np.concatenate(x) for x in zip(*kept))
+        del kept, raw
+        order = np.argsort(block_of, kind="stable")
+        cuts = np.searchsorted(block_of[order], np.arange(len(blocks) + 1))
+        for k in np.flatnonzero(np.diff(cuts)):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([blocks[k] for k in some]),
-                 pa.array([out[cuts[k]:cuts[k + 1]].tobytes() for k in some], pa.binary())], ["block", "runs"])
+                [pa.array([blocks[k]]), pa.array([out[order[cuts[k]:cuts[k + 1]]].tobytes()], pa.binary())],
+                ["block", "runs"])
     return sent.repartition(parts(sent), "bucket").mapInArrow(run, "block bigint, runs binary")
 
 

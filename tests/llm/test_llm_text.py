@@ -3,12 +3,16 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -146,6 +150,42 @@ def test_windows_get_their_smallest_owner():
         assert got.tolist() == [least[t[i:i + length]] for t in texts for i in range(len(t) - length + 1)]
 
 
+def test_a_bucket_of_passages_takes_little_memory(monkeypatch):
+    """Passages of a bucket meet some anchors at a time, never all of them as texts of their own."""
+    rng, n, n_blocks = np.random.default_rng(3), 180_000, 3
+    letters = np.frombuffer(b"abcdefghij ", np.uint8)
+    known = [letters[rng.integers(0, 11, 52)].tobytes() for _ in range(n)]
+    rows, least = [], {}
+    for block in range(n_blocks):
+        some = known[60_000 * block:60_000 * block + 60_000] + known[:9000]
+        ids = rng.integers(1, 1000, len(some))
+        for text, i in zip(some, ids.tolist()):
+            for k in range(len(text) - 49):
+                least[text[k:k + 50]] = min(least.get(text[k:k + 50], i), i)
+        anchor = np.array([zlib.crc32(x) for x in some], np.uint64)
+        rows.append((0, block, np.arange(len(some), dtype=np.uint32).tobytes(), anchor.tobytes(), ids.tobytes(),
+                     ids.tobytes(), np.full(len(some), 52).tobytes(), zstandard.compress(b"".join(some)), some, ids))
+    names = ["bucket", "block", "entry", "anchor", "least", "most", "size", "bytes"]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in list(zip(*rows))[:8]], names)
+    sent = SimpleNamespace(repartition=lambda *_: sent, mapInArrow=lambda run, _: run)
+    monkeypatch.setattr(substrings, "parts", lambda _: 1)
+    tracemalloc.start()
+    try:
+        out = list(substrings._owners(sent)(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    got = {}
+    for part in out:
+        for block, runs in zip(*part.columns):
+            for entry, start, end, doc in np.frombuffer(runs.as_buffer(), substrings._RUN).tolist():
+                got |= {(block.as_py(), entry, k): doc for k in range(start, end)}
+    want = {(row[1], e, k): least[text[k:k + 50]] for row in rows for e, (text, i) in enumerate(zip(row[8], row[9]))
+            for k in range(3) if least[text[k:k + 50]] < i}
+    assert got == want
+    assert most < 5 * sum(len(x) for row in rows for x in row[8]), most
+
+
 def test_removed_bytes(docs, empty):
     first = {}
     for i, t in TEXTS:
