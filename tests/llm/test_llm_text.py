@@ -352,6 +352,40 @@ def test_every_pair_of_different_texts_is_linked(spark, monkeypatch):
     assert {r.class_id for r in got} == {0}
 
 
+@pytest.mark.parametrize("identity", [0.8, 0.6])
+def test_texts_without_a_passage_are_set_aside_unread(spark, monkeypatch, identity):
+    """Of the pairs that share a seed none with a passage is lost, and few others are compared: edits of every kind
+    around the identity, passages far from a seed of their own, stock phrases in every text."""
+    monkeypatch.setattr(chaining.pack, "__defaults__", (chaining.MIN_WORDS, 4000))
+    rng, stock = random.Random(4), fresh("s", 9)
+    parts_ = [fresh(f"p{k}", rng.choice([40, 41, 49, 59, 79, 120])) for k in range(6)]
+    texts = []
+    for k in range(90):
+        words = fresh(f"a{k}", rng.randint(30, 90)) + stock + fresh(f"b{k}", rng.randint(30, 90))
+        for part in rng.sample(parts_, k % 3):
+            rate = rng.choice([0, 0.05, 0.1, 0.15, 0.2])
+            for j, w in enumerate(part):
+                kind = rng.choice("sid") if rng.random() < rate else ""
+                words += {"s": [f"e{k}x{j}"], "i": [w, f"e{k}x{j}"], "d": [], "": [w]}[kind]
+            words += fresh(f"c{k}{part[0]}", rng.randint(0, 60))
+        texts.append(words)
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    kept, want, every = [], set(), 0
+    for row in chaining.tiles(docs)[1].collect():
+        one = chaining._Tile(*row[1:5])
+        two = one if row[5] == row[0] else chaining._Tile(*row[6:10])
+        kept += [(int(one.ids[i]), int(two.ids[j])) for i, j in chaining.near(one, two, 40, identity)]
+        for i in range(len(one.ids)):
+            for j in range(i + 1 if one is two else 0, len(two.ids)):
+                seeds = np.intersect1d(one.shared(i)[2], two.shared(j)[2])
+                later = [(one, i), (two, j)][::1 if one.ids[i] > two.ids[j] else -1]
+                every += len(seeds) > 0
+                if len(seeds) and chaining._compared(*later[0], *later[1], 40, identity):
+                    want.add((int(one.ids[i]), int(two.ids[j])))
+    assert len(kept) == len(set(kept)) and want and want <= set(kept)
+    assert every == 90 * 89 // 2 and (identity < 0.7 or len(kept) < len(want) + every // 4)
+
+
 def test_a_very_long_text_has_its_passages(spark):
     long, passage = fresh("v", 150_000), fresh("p", 60)
     texts = [long, fresh("a", 50) + passage, long[:70_000] + passage + long[70_000:]]
