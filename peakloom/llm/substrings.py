@@ -154,7 +154,7 @@ def _runs(values: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
     return text, at - begins[text], end - begins[text], values[at], first
 
 
-def _meeting(order: np.ndarray, anchor: np.ndarray, size: np.ndarray, text):
+def _meeting(order: np.ndarray, anchor: np.ndarray, size: np.ndarray, texts):
     """Passages in the order of their anchors, some whole anchors at a time: (their places, the distinct one each is,
     the distinct ones). Only these are ever held as texts of their own."""
     lengths = np.cumsum(size[order] + 1)
@@ -165,10 +165,10 @@ def _meeting(order: np.ndarray, anchor: np.ndarray, size: np.ndarray, text):
         found: dict[bytes, int] = {}
         which, total, b = [], 0, a
         while b < len(order) and total < BATCH:
-            reach = np.searchsorted(lengths, (lengths[b - 1] if b else 0) + BATCH - total, "right")
+            reach = np.searchsorted(lengths, (lengths[b - 1] if b else 0) + max(BATCH - total, BATCH >> 3), "right")
             c = int(ends[min(np.searchsorted(ends, max(int(reach), b + 1)), len(ends) - 1)])
             known = len(found)
-            which += [found.setdefault(text(k), len(found)) for k in order[b:c].tolist()]
+            which += [found.setdefault(x, len(found)) for x in texts(order[b:c])]
             total += sum(len(x) + 1 for x in islice(found, known, None))
             b = c
         yield order[a:b], np.array(which), list(found)
@@ -194,11 +194,12 @@ def _owners(sent: DataFrame) -> DataFrame:
         del parts_
         block_of = np.repeat(np.arange(len(blocks), dtype=np.int32), sizes)
 
-        def text(k: int) -> bytes:
-            return raw[block_of[k]][ends[k] - size[k]:ends[k]]
+        def texts(some: np.ndarray) -> list[bytes]:
+            places = zip(block_of[some].tolist(), (ends[some] - size[some]).tolist(), ends[some].tolist())
+            return [raw[block][a:b] for block, a, b in places]
 
         kept = []
-        for group, which, distinct in _meeting(np.argsort(anchor, kind="stable"), anchor, size, text):
+        for group, which, distinct in _meeting(np.argsort(anchor, kind="stable"), anchor, size, texts):
             owner = np.full(len(distinct), bl.NO_ID)
             np.minimum.at(owner, which, least[group])
             values, begins = smallest_owner(distinct, owner, LENGTH)
@@ -214,7 +215,7 @@ def _owners(sent: DataFrame) -> DataFrame:
             kept.append((block_of[rep], out))
         block_of, out = (np.concatenate(x) for x in zip(*kept))
         del kept, raw
-        order = np.argsort(block_of, kind="stable")
+        order = np.lexsort((out["start"], out["entry"], block_of))  # in order they take less room
         cuts = np.searchsorted(block_of[order], np.arange(len(blocks) + 1))
         for k in np.flatnonzero(np.diff(cuts)):
             yield pa.RecordBatch.from_arrays(
