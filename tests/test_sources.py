@@ -170,3 +170,43 @@ def test_an_id_with_two_originals_stops_the_ingest(spark, folder, monkeypatch):
         ingest.ingest_files(spark, str(folder / "later"), dst, str(folder / "c6")).processAllAvailable()
     kind = ingest.stream_export(spark, str(src)).schema
     assert ingest.read_ingested(spark, dst, kind).count() == 2
+
+
+def _cut(spark, n):
+    rows = [(g, f"a{k // 30}", f"f{k:03d}", None if k % 7 == 0 else float(k), 'x,"y' if k % 5 else None) for g in (1, 2) for k in range(n)]
+    return spark.createDataFrame(rows, f"{GROUP} bigint, {ANALYTE} string, {FRAGMENT} string, Area double, note string")
+
+
+def test_a_directory_per_analyte_is_written_by_the_tasks(spark, tmp_path, monkeypatch):
+    """Keys cut over partitions, odd names, replaced and kept directories; no directory goes through Spark's writer."""
+    df = _cut(spark, 90)
+    odd = df.filter(f"{FRAGMENT} < 'f003'").withColumn(ANALYTE, F.when(F.col(FRAGMENT) == "f001", F.lit("a=/b%")))
+    path, every = str(tmp_path / "ds"), df.unionByName(odd)
+    monkeypatch.setattr(dataset, "many_tasks", lambda _: 40)
+    for part in (every, every, every.filter(f"{ANALYTE} = 'a1'")):
+        dataset.write_indexed(part, path, [GROUP, ANALYTE])
+    back = dataset.read_partition(spark, path, df.schema)
+    key = lambda rows: sorted(map(tuple, rows), key=str)
+    assert key(back.select(*df.columns).collect()) == key(every.collect())
+    names = sorted(p.name for p in (tmp_path / "ds").iterdir())
+    assert names == [f"{GROUP}=1", f"{GROUP}=2"]
+    inside = sorted(p.name for p in (tmp_path / "ds" / f"{GROUP}=1").iterdir())
+    assert inside == sorted([f"{ANALYTE}={x}" for x in ("a0", "a1", "a2", "a%3D%2Fb%25", "__HIVE_DEFAULT_PARTITION__")])
+    assert not list((tmp_path / "ds").rglob("*.crc"))  # Spark's writer adds one to every file
+    assert len(list((tmp_path / "ds" / f"{GROUP}=1" / f"{ANALYTE}=a1").iterdir())) > 1
+
+
+def test_csv_of_every_analyte_is_that_of_sparks_writer(spark, tmp_path):
+    df = _cut(spark, 90).drop(GROUP)
+    dataset.export_all_csv(df, str(tmp_path / "csv"), ANALYTE)
+    df.repartition(1).sortWithinPartitions(ANALYTE, FRAGMENT).write.partitionBy(ANALYTE).option("header", True).options(
+        **export.QUOTED).csv(str(tmp_path / "plain"))
+    lines = lambda top: {p.name: sorted(x for f in p.glob("part-*") for x in f.read_text().splitlines()[1:])
+                         for p in (tmp_path / top).glob(f"{ANALYTE}=*")}
+    heads = {f.read_text().splitlines()[0] for top in ("csv", "plain") for f in (tmp_path / top).rglob("part-*.csv")}
+    assert lines("csv") == lines("plain") and heads == {f"{FRAGMENT},Area,note"}
+    assert not list((tmp_path / "csv").rglob("*.crc"))
+    back = dataset.read_exported_csv(spark, str(tmp_path / "csv"), df.schema).select(*df.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(Exception):
+        dataset.export_all_csv(df, str(tmp_path / "csv"), ANALYTE)
