@@ -210,3 +210,42 @@ def test_csv_of_every_analyte_is_that_of_sparks_writer(spark, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
     with pytest.raises(Exception):
         dataset.export_all_csv(df, str(tmp_path / "csv"), ANALYTE)
+
+
+def _colliding():
+    """Two peptides whose analyte ids are the same eight digits."""
+    import hashlib
+    seen = {}
+    for k in range(400_000):
+        name = f"PEP{k}"
+        short = hashlib.sha256(f"P1_{name}_2False".encode()).hexdigest()[:8]
+        if short in seen:
+            return seen[short], name, short
+        seen[short] = name
+    raise AssertionError
+
+
+def test_two_originals_of_one_hash_get_two_ids(spark, folder):
+    one, two, short = _colliding()
+    rows = add_ids(spark.createDataFrame([("P1", p, 2, False, "y5", 1, "r.raw") for p in (one, two, "PEP", one)],
+                                         "ProteinName string, PeptideModifiedSequence string, PrecursorCharge long, "
+                                         "IsDecoy boolean, FragmentIon string, ProductCharge long, FileName string"))
+    with pytest.raises(ValueError, match=short):
+        glossary.check_ids(rows)
+    split = glossary.split_ids(rows)
+    glossary.check_ids(split)
+    ids = {r.PeptideModifiedSequence: r[ANALYTE] for r in split.collect()}
+    first, second = sorted([one, two])
+    assert ids[first] == short and ids[second].startswith(short) and len(ids[second]) == 16 and len(ids["PEP"]) == 8
+    assert split.count() == 4 and split.columns == rows.columns
+    # the ingest: the one that came first keeps the id, also when both come again
+    text, dst = (folder / "in" / "a.csv").read_text(), str(folder / "two")
+    for batch, names in enumerate(([second], [first, second], [second, first])):
+        (folder / f"b{batch}").mkdir()
+        for name in names:
+            (folder / f"b{batch}" / f"{name}.csv").write_text(text.replace("PEPTIDE,PEPTIDE", f"{name},{name}"))
+        ingest.ingest_batch(spark, [f"file://{f}" for f in sorted((folder / f"b{batch}").iterdir())], str(batch), dst)
+    kind = ingest.stream_export(spark, str(folder / "in")).schema
+    got = {(r.PeptideModifiedSequence, r[ANALYTE][:8], len(r[ANALYTE])) for r in ingest.read_ingested(spark, dst, kind).collect()}
+    assert got == {(second, short, 8), (first, short, 16)}
+    assert ingest.read_ingested(spark, dst, kind).count() == 10
