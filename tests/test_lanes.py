@@ -19,3 +19,10 @@ def test_export_files_take_little_room(spark, tmp_path):
     read = lambda folder: sorted(map(tuple, spark.read.option("header", True).options(**QUOTED).csv(str(folder)).collect()))
     assert read(path) == read(tmp_path / "plain")
     assert spark.read.option("header", True).options(**QUOTED).csv(path).columns == EXPORT_HEADER
+
+
+def test_traces_that_are_read_once_are_not_written(spark, monkeypatch):
+    def stored(*_):
+        raise AssertionError("the export is written")
+    monkeypatch.setattr(queries.tb, "stored_export", stored)
+    assert queries.similarity_traces(spark, SF_DIR).count() > 0
